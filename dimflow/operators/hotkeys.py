@@ -1,0 +1,58 @@
+"""Finding keys that hold too many rows for one task, and setting them apart.
+
+A window over a key puts all rows of that key into one task. That is fine for
+keys of bounded size and is lost on a key that holds a third of the table. The
+functions here find such keys with one partially aggregated count and split a
+DataFrame into its ordinary and its hot rows, so each part can take the plan
+that suits it.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Rows of one key a single task is asked to sort; a few hundred MB at most.
+ROWS_PER_TASK = 2_000_000
+# A list of hot keys up to this length is held as a local table and broadcast.
+MAX_LISTED = 10_000
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    keys: list[str]
+    table: DataFrame  # key columns and __n, one row per hot key
+    listed: bool  # at most MAX_LISTED rows, so it may be broadcast
+    rows: int | None  # rows held by the listed keys
+
+    def side(self) -> DataFrame:
+        return F.broadcast(self.table) if self.listed else self.table
+
+
+def hot_keys(df: DataFrame, keys: list[str], limit: int = ROWS_PER_TASK) -> HotKeys | None:
+    """Keys with more than ``limit`` rows, or None. Reads only the key columns."""
+    heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
+    found = heavy.limit(MAX_LISTED + 1).collect()
+    if not found:
+        return None
+    if len(found) > MAX_LISTED:
+        return HotKeys(keys, heavy, False, None)
+    table = df.sparkSession.createDataFrame(found, heavy.schema)
+    return HotKeys(keys, table, True, sum(r["__n"] for r in found))
+
+
+def _same_keys(keys: list[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"l.`{k}`").eqNullSafe(F.col(f"h.`{k}`"))
+    return cond
+
+
+def split_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
+    """(ordinary rows, hot rows); together they are exactly ``df``."""
+    side = hot.side().select(*hot.keys).alias("h")
+    left = df.alias("l")
+    cond = _same_keys(hot.keys)
+    return left.join(side, cond, "left_anti"), left.join(side, cond, "left_semi")
