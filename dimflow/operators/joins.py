@@ -3,8 +3,7 @@
 No side is ever forced to broadcast here: Spark broadcasts a side whose known
 size is under spark.sql.autoBroadcastJoinThreshold, and adaptive execution
 does so again with the sizes measured at run time. Larger sides meet in a
-shuffle join whose oversized partitions adaptive execution splits. Only
-one-row aggregates carry a hint.
+shuffle join whose oversized partitions adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -116,8 +115,11 @@ def join_per_key_max(df: DataFrame, keys: list[str], col: str, name: str) -> Dat
 
 
 def join_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Add the columns of a global aggregate (one row by construction)."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Add the columns of a global aggregate to every row.
+
+    The one row is computed once and put in as constants (scalar subqueries).
+    """
+    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
 
 
 def unseen(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
@@ -202,8 +204,6 @@ def join_nullable(
             out = out.withColumn(f"__{prefix}{c}", F.when(both, F.col(prefix + c).cast("string")))
         return out.withColumnsRenamed({"__lm": f"__{prefix}lm", "__rm": f"__{prefix}rm"})
 
-    if how == "left":
-        left = left.withColumn("__id", F.monotonically_increasing_id())
     a = repeated(left, "l_", "__lm", "__rm", right_masks)
     b = repeated(right, "r_", "__rm", "__lm", left_masks)
     cond = (a["__l_lm"] == b["__r_lm"]) & (a["__l_rm"] == b["__r_rm"])

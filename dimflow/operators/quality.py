@@ -68,9 +68,10 @@ def reconcile(source_rows: int, written: int, rejected: int = 0) -> None:
 
 def reconcile_tables(source: DataFrame, out: DataFrame, rejected: DataFrame) -> DataFrame:
     """One row with the three counts and whether they add up."""
-    n = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    all_three = n(source, "n_source").crossJoin(n(out, "n_out")).crossJoin(n(rejected, "n_rejected"))
-    return all_three.withColumn("balanced", F.col("n_source") == F.col("n_out") + F.col("n_rejected"))
+    counts = source.agg(F.count(F.lit(1)).alias("n_source"))
+    for name, df in (("n_out", out), ("n_rejected", rejected)):
+        counts = counts.withColumn(name, df.agg(F.count(F.lit(1))).scalar())
+    return counts.withColumn("balanced", F.col("n_source") == F.col("n_out") + F.col("n_rejected"))
 
 
 # -- masking -----------------------------------------------------------------

@@ -82,8 +82,7 @@ def keep_recent(df: DataFrame, col: str, days: int, today: dt.date) -> DataFrame
 
 def not_at_maximum(df: DataFrame, col: str) -> DataFrame:
     """Rows whose value differs from the table's maximum."""
-    top = df.agg(F.max(col).alias("__top"))
-    return df.crossJoin(F.broadcast(top)).filter(F.col(col) != F.col("__top")).drop("__top")
+    return df.filter(F.col(col) != df.agg(F.max(col)).scalar())
 
 
 def changes_only(df: DataFrame, value: str = "current_value", prior: str = "prior_value") -> DataFrame:

@@ -284,5 +284,4 @@ def close_intervals(
 def disappeared(df: DataFrame, keys: list[str], date_col: str, name: str = "last_seen_dt") -> DataFrame:
     """Keys whose last date is before the feed's last date, with that last date."""
     last = df.groupBy(*keys).agg(F.max(date_col).alias(name))
-    feed = last.agg(F.max(name).alias("__feed"))
-    return last.crossJoin(F.broadcast(feed)).filter(F.col(name) != F.col("__feed")).drop("__feed")
+    return last.filter(F.col(name) != last.agg(F.max(name)).scalar())

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.functions.dates import open_end
 from dimflow.functions.keys import row_hash, surrogate_key
 from dimflow.operators.hierarchy import hierarchy_paths
 from dimflow.operators.reshape import explode_path
-from dimflow.operators.windows import Lead, close_intervals, daily, islands, keyed_window
+from dimflow.operators.windows import close_intervals, daily, islands
 
 
 def build_position_dim(
@@ -28,23 +28,24 @@ def build_position_dim(
     the position. The last of them stays open while the position's newest
     version still has the overlap; else it ends before the next version.
 
-    Everything is read off the position's versions in one sorted pass: the
-    next overlap start is the next version's, carried back over the others.
+    All of it is read off the position's versions in one pass from the newest
+    back: the next start, the next overlap start and the newest indicator. A
+    position has one row per report date at most, so the window is bounded.
     """
     attrs = attrs or [c for c in snapshots.columns if c not in (key, date_col)]
     rows = snapshots.select(key, *attrs, date_col)
     rows = rows if one_row_a_day else daily(rows, [key], date_col, attrs)
     runs = islands(rows, [key], attrs, date_col).withColumn("eff_dt", F.col(date_col).cast("date"))
     has = F.col(overlap).cast("int") == 1
-    marked = runs.withColumn("__has", has).withColumn("__ovl", F.when(has, F.col("eff_dt")))
-    nexts = keyed_window(marked, [key], ["eff_dt"], {"__next": Lead("eff_dt")}, bounded=True)
-    # Latest version's indicator and the overlap starts, per position.
-    by_overlap = keyed_window(
-        nexts.filter("__has"), [key], ["eff_dt"], {"__next_ovl": Lead("eff_dt")}, bounded=True
-    ).select(F.col(key).alias("__k"), F.col("eff_dt").alias("__e"), "__next_ovl")
-    newest = runs.groupBy(key).agg(F.max_by(overlap, "eff_dt").cast("int").alias("__newest"))
-    joined = nexts.join(by_overlap, (F.col(key) == F.col("__k")) & (F.col("eff_dt") == F.col("__e")), "left").join(
-        newest, key, "left"
+    back = Window.partitionBy(key).orderBy(F.col("eff_dt").desc())
+    later = back.rowsBetween(Window.unboundedPreceding, -1)
+    upto = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = runs.withColumn("__has", has).withColumns(
+        {
+            "__next": F.lag("eff_dt").over(back),
+            "__next_ovl": F.last(F.when(has, F.col("eff_dt")), ignorenulls=True).over(later),
+            "__newest": F.first(F.col(overlap).cast("int")).over(upto),
+        }
     )
     before_next = F.when(F.col("__next") == F.col("eff_dt"), F.col("eff_dt")).otherwise(F.date_sub("__next", 1))
     overlapping = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -46,8 +46,10 @@ def ingest_landing_stream(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         start = utc_now()
+        read, kept = Observation(), Observation()
+        one = F.count(F.lit(1)).alias("n")
         rows = timeclock_rows(
-            batch.withColumn("load_date", F.lit(today)),
+            batch.withColumn("load_date", F.lit(today)).observe(read, one),
             time_col=time_col,
             partition_col=partition_col or time_col,
             fmt=fmt,
@@ -56,9 +58,9 @@ def ingest_landing_stream(
             days=days,
         )
         target = f"{out.rstrip('/')}/batch_id={batch_id}"
-        rows.repartition(*levels).write.mode("overwrite").partitionBy(*levels).parquet(target)
+        rows.observe(kept, one).repartition(*levels).write.mode("overwrite").partitionBy(*levels).parquet(target)
         if audit is not None:
-            n_read, n_kept = batch.count(), spark.read.parquet(target).count()
+            n_read, n_kept = read.get["n"], kept.get["n"]
             append_audit(
                 spark,
                 audit,
