@@ -246,12 +246,17 @@ def intersect_intervals(
     """
     kept = log.filter(F.col(attr_col).isin(attrs) & (F.col(eff) <= F.col(disc)))
     state = F.struct(F.col(value_col).alias("value"), F.col(disc).alias("until"))
-    starts = kept.groupBy(*keys, F.col(eff).alias("__cut")).agg(
-        *[F.max(F.when(F.col(attr_col) == a, state)).alias(f"__a{i}") for i, a in enumerate(attrs)]
+    begin = F.struct(F.col(eff).alias("cut"), F.col(attr_col).alias("attr"), state.alias("state"))
+    none = F.lit(None)
+    after = F.struct(
+        F.when(F.col(disc) < open_end(), F.date_add(disc, 1)).alias("cut"),
+        none.cast("string").alias("attr"),
+        none.cast(log.select(state.alias("s")).schema["s"].dataType).alias("state"),
+    )
+    cuts = kept.select(*keys, F.explode(F.array(begin, after)).alias("__p")).filter(F.col("__p.cut").isNotNull())
+    merged = cuts.groupBy(*keys, F.col("__p.cut").alias("__cut")).agg(
+        *[F.max(F.when(F.col("__p.attr") == a, F.col("__p.state"))).alias(f"__a{i}") for i, a in enumerate(attrs)]
     )
-    ends = kept.filter(F.col(disc) < open_end()).select(*keys, F.date_add(disc, 1).alias("__cut")).distinct()
-    cuts = starts.unionByName(ends, allowMissingColumns=True)
-    merged = cuts.groupBy(*keys, "__cut").agg(*[F.max(f"__a{i}").alias(f"__a{i}") for i in range(len(attrs))])
     w = Window.partitionBy(*keys).orderBy("__cut")
     filled = merged.withColumns(
         {f"__a{i}": F.last(f"__a{i}", ignorenulls=True).over(w) for i in range(len(attrs))}

@@ -41,7 +41,9 @@ class EmployeeColumns:
     snapshot_terms: tuple[str, ...] = ("pay_through_dt", "termination_dt", "termination_reason_sens")
 
 
-def employee_versions(snapshots: DataFrame, c: EmployeeColumns = EmployeeColumns()) -> DataFrame:
+def employee_versions(
+    snapshots: DataFrame, c: EmployeeColumns = EmployeeColumns(), *, one_row_a_day: bool = False
+) -> DataFrame:
     """Runs of equal state, without termination data on active days."""
     rows = exclude_superseded(
         snapshots, c.key, c.worker_type, CONTINGENT, F.col(c.status) == TERMINATED
@@ -49,7 +51,8 @@ def employee_versions(snapshots: DataFrame, c: EmployeeColumns = EmployeeColumns
     nulled = [t for t in c.snapshot_terms if t in snapshots.columns]
     rows = null_out(rows, F.col(c.active).cast("int") == 1, nulled)
     attrs = [a for a in snapshots.columns if a not in (c.key, c.date)]
-    runs = islands(daily(rows, [c.key], c.date, attrs), [c.key], attrs, c.date)
+    rows = rows if one_row_a_day else daily(rows, [c.key], c.date, attrs)
+    runs = islands(rows, [c.key], attrs, c.date)
     return runs.withColumn("eff_dt", F.col(c.date).cast("date"))
 
 
@@ -93,11 +96,12 @@ def build_employee_dim(
     events: DataFrame,
     *,
     columns: EmployeeColumns = EmployeeColumns(),
+    one_row_a_day: bool = False,
     rec_src: str | None = None,
     now: dt.datetime | None = None,
 ) -> DataFrame:
     c = columns
-    versions = hire_dates(employee_versions(snapshots, c), events, c.key)
+    versions = hire_dates(employee_versions(snapshots, c, one_row_a_day=one_row_a_day), events, c.key)
     own = [x for x in versions.columns if x not in (*c.snapshot_terms, "__hire")]
     versions = versions.select(*own, "__hire")
 

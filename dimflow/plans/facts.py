@@ -15,6 +15,7 @@ from dimflow.operators.merge import merge_upsert
 from dimflow.operators.reshape import stamp
 from dimflow.operators.windows import latest_per_key
 from dimflow.plans.incremental import incremental_facts, new_entities, unresolved
+from dimflow.sources.sinks import stage_table
 
 
 @dataclass(frozen=True)
@@ -86,7 +87,7 @@ def build_fact(
     out = resolve(rows, spec)
     if target is None or not merged:
         return out
-    return merge_upsert(target, out, [spec.pk], check=False)
+    return merge_upsert(target, stage_table(out, spec.pk), [spec.pk], check=False)
 
 
 def requisition_ids(stage: DataFrame, text_cols: list[str]) -> DataFrame:
@@ -125,7 +126,7 @@ def build_requisition_fact(
     ids = requisition_ids(latest, text_cols)
     found = lookup_sk_multi(ids, dim, "req_ids", dim_key, sk)
     out = found.select(pk, sk, "job_req_id", "position_id", *columns)
-    return out if target is None else merge_upsert(target, out, [pk], check=False)
+    return out if target is None else merge_upsert(target, stage_table(out, pk), [pk], check=False)
 
 
 def payroll_rows(
@@ -184,4 +185,4 @@ def build_payroll_fact(
         sk_cols=[lk.name for lk in spec.lookups if lk.retry],
     )
     out = resolve(rows, spec)
-    return out if target is None else merge_upsert(target, out, [spec.pk], check=False)
+    return out if target is None else merge_upsert(target, stage_table(out, spec.pk), [spec.pk], check=False)

@@ -14,6 +14,7 @@ from dimflow.functions.text import correct_cost_center
 from dimflow.operators.merge import scd2_merge
 from dimflow.operators.reshape import min_max_dates, stamp
 from dimflow.operators.windows import latest_per_key
+from dimflow.sources.sinks import stage_table
 
 # Levels of the hierarchy as (name, code column, description column).
 LEVELS = (
@@ -157,7 +158,7 @@ def build_org_dim(
     )
     if rec_src is not None:
         out = stamp(out, rec_src, now)
-    return out if target is None else scd2_merge(target, out, ["org_pk"], check=False)
+    return out if target is None else scd2_merge(target, stage_table(out, "org"), ["org_pk"], check=False)
 
 
 # -- current views -------------------------------------------------------------

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.functions.convert import flag
 from dimflow.functions.dates import open_end
 from dimflow.functions.keys import row_hash, surrogate_key
 from dimflow.functions.text import split_part_safe
-from dimflow.operators.joins import join_nullable, join_one_row, join_per_key_max
+from dimflow.operators.joins import join_nullable, join_one_row
 from dimflow.operators.reshape import append_rows, explode_list, stamp, sum_as_text, union_extracts
 from dimflow.operators.windows import Lead, Number, close_intervals, daily, first_seen, islands, keyed_window, latest_per_key
 
@@ -169,12 +169,13 @@ def build_role_assignments(
 ) -> DataFrame:
     """Runs of equal state; the last run of a key that left the feed ends on its last date."""
     rows = stage.select(*key, *attrs, date_col)
-    runs = islands(rows if one_row_a_day else daily(rows, key, date_col, attrs), key, attrs, date_col)
-    nexts = keyed_window(
-        runs.withColumn("eff_dt", F.col(date_col).cast("date")), key, ["eff_dt"], {"__next": Lead("eff_dt")}, bounded=True
-    )
-    last = stage.groupBy(*key).agg(F.max(F.col(date_col).cast("date")).alias("__last"))
-    seen = join_one_row(nexts.join(last, key), last.agg(F.max("__last").alias("__feed")))
+    rows = rows if one_row_a_day else daily(rows, key, date_col, attrs)
+    # A key's last date is read on the partitioning the runs need anyway.
+    dated = rows.withColumn("eff_dt", F.col(date_col).cast("date"))
+    dated = dated.withColumn("__last", F.max("eff_dt").over(Window.partitionBy(*key)))
+    runs = islands(dated, key, attrs, date_col)
+    nexts = keyed_window(runs, key, ["eff_dt"], {"__next": Lead("eff_dt")}, bounded=True)
+    seen = join_one_row(nexts, stage.agg(F.max(F.col(date_col).cast("date")).alias("__feed")))
     end = (
         F.when(F.col("__next") == F.col("eff_dt"), F.col("eff_dt"))
         .when(F.col("__next").isNull() & (F.col("__last") < F.col("__feed")), F.col("__last"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.functions.dates import open_end
@@ -24,6 +24,7 @@ from dimflow.operators.windows import (
     latest_per_key,
 )
 from dimflow.sources.readers import history_of_changed_keys, since_watermark, since_watermark_by_key
+from dimflow.sources.sinks import stage_table
 
 
 def build_scd1(
@@ -58,7 +59,7 @@ def build_scd1(
         out = stamp(out, rec_src, now)
     if target is None:
         return out
-    return merge.merge_upsert(target, out, [sk], no_update_cols=("ins_batch_id",), check=False)
+    return merge.merge_upsert(target, stage_table(out, sk), [sk], no_update_cols=("ins_batch_id",), check=False)
 
 
 def type2_versions(
@@ -128,7 +129,7 @@ def build_scd2(
     out = type2_versions(history_of_changed_keys(stage, changed, key), key, attrs, date_col, sk=sk, **how)
     if rec_src is not None:
         out = stamp(out, rec_src, now)
-    return merge.merge_upsert(target, out, [sk], no_update_cols=("ins_batch_id",), check=False)
+    return merge.merge_upsert(target, stage_table(out, sk), [sk], no_update_cols=("ins_batch_id",), check=False)
 
 
 def load_scd2_history(
@@ -163,10 +164,16 @@ def close_disappeared(
     )
 
 
-def _finish_log(
-    changes: DataFrame, stage: DataFrame, key: list[str], date_col: str, sk: str, deleted: str
-) -> DataFrame:
-    """Validity, next value, current/deleted/rescind flags of a log of changes."""
+# Column that carries a key's last report date from the snapshots to the finished log.
+LAST_SEEN = "__last_seen"
+
+
+def _finish_log(changes: DataFrame, key: list[str], feed_end: Column, sk: str, deleted: str) -> DataFrame:
+    """Validity, next value, current/deleted/rescind flags of a log of changes.
+
+    ``changes`` carries each key's last report date, so no second look at the
+    snapshots is needed to tell which keys have left the feed.
+    """
     series = [*key, "change_column"]
     # One row per key, attribute and start: a window is bounded by the days.
     nexts = keyed_window(
@@ -176,12 +183,10 @@ def _finish_log(
         {"__next_eff": Lead("eff_dt"), "next_value": Lead("current_value")},
         bounded=True,
     )
-    closed = nexts.withColumn("disc_dt", F.coalesce(F.date_sub("__next_eff", 1), open_end())).withColumn(
+    marked = nexts.withColumn("disc_dt", F.coalesce(F.date_sub("__next_eff", 1), open_end())).withColumn(
         "is_current", F.col("__next_eff").isNull().cast("int")
     )
-    gone = disappeared(stage, key, date_col, "__last").select(*key, F.date_add("__last", 1).alias("__deleted_dt"))
-    marked = closed.join(gone, key, "left")
-    is_deleted = F.col("__deleted_dt").isNotNull() & (F.col("is_current") == 1)
+    is_deleted = (F.col(LAST_SEEN) != feed_end) & (F.col("is_current") == 1)
     return marked.select(
         surrogate_key("change_column", *key, "rpt_dt").alias(sk),
         "change_column",
@@ -193,24 +198,42 @@ def _finish_log(
         "disc_dt",
         "is_current",
         F.when(is_deleted, 1).otherwise(0).alias("is_deleted"),
-        F.when(is_deleted, F.col("__deleted_dt")).alias("deleted_dt"),
+        F.when(is_deleted, F.date_add(LAST_SEEN, 1)).alias("deleted_dt"),
         F.when(is_deleted, F.lit(deleted))
         .when(F.col("eff_dt") > F.col("disc_dt"), F.lit("Rescind"))
         .alias("change_type"),
     )
 
 
+def _feed_end(stage: DataFrame, date_col: str) -> Column:
+    """The feed's last date: a scan of one column, put in as a constant."""
+    return stage.agg(F.max(F.col(date_col).cast("date"))).scalar()
+
+
 def attribute_changes(
-    stage: DataFrame, key: list[str], attrs: list[str], date_col: str, order: list[Column | str] | None = None
+    stage: DataFrame,
+    key: list[str],
+    attrs: list[str],
+    date_col: str,
+    order: list[Column | str] | None = None,
+    *,
+    one_row_a_day: bool = False,
+    keep: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """(key, attribute, value, prior value, date) for every change of a known value."""
-    rows = daily(stage.select(*key, *attrs, date_col), key, date_col, order or list(attrs))
-    tall = unpivot_attrs(rows, [*key, date_col], attrs)
+    """(key, attribute, value, prior value, date) for every change of a known value.
+
+    Everything after the daily rows runs on one partitioning by key.
+    """
+    keep = keep or {}
+    rows = stage.select(*key, *attrs, date_col, *[c.alias(n) for n, c in keep.items()])
+    rows = rows if one_row_a_day else daily(rows, key, date_col, order or list(attrs))
+    day = F.col(date_col).cast("date")
+    dated = rows.withColumn(LAST_SEEN, F.max(day).over(Window.partitionBy(*key)))
+    tall = unpivot_attrs(dated.withColumn("rpt_dt", day), [*key, "rpt_dt", LAST_SEEN, *keep], attrs)
     lagged = keyed_window(
-        tall, [*key, "change_column"], [date_col], {"prior_value": Lag("current_value")}, bounded=True
+        tall, [*key, "change_column"], ["rpt_dt"], {"prior_value": Lag("current_value")}, bounded=True
     )
-    day = F.col(date_col).cast("date")
-    return changes_only(lagged).withColumns({"eff_dt": day, "rpt_dt": day}).drop(*{date_col} - {"eff_dt", "rpt_dt"})
+    return changes_only(lagged).withColumn("eff_dt", F.col("rpt_dt"))
 
 
 def build_attribute_log(
@@ -222,9 +245,11 @@ def build_attribute_log(
     sk: str = "event_sk",
     deleted: str = "Deleted",
     order: list[Column | str] | None = None,
+    one_row_a_day: bool = False,
 ) -> DataFrame:
     """Change log: one row per change of one attribute, with prior and next value."""
-    return _finish_log(attribute_changes(stage, key, attrs, date_col, order), stage, key, date_col, sk, deleted)
+    changes = attribute_changes(stage, key, attrs, date_col, order, one_row_a_day=one_row_a_day)
+    return _finish_log(changes, key, _feed_end(stage, date_col), sk, deleted)
 
 
 def termination_changes(
@@ -242,19 +267,25 @@ def termination_changes(
     that termination itself. Absence is carried as a sentinel date, so that an
     absence is a value with a prior and a next; it is null in the result.
     A termination takes effect on the day after its date.
+
+    The snapshots are reduced to one row per key, day and date before the one
+    shuffle by key, on which all steps run.
     """
     # Fixed value: stands for 'no termination' while changes are detected.
     none = F.lit("1900-01-01")
-    rows = stage if until is None else stage.filter(F.col(date_col) <= F.lit(until))
-    rows = rows.select(key, F.col(term_col).cast("date").alias("term"), F.col(date_col).cast("date").alias("day"))
-    known = latest_per_key(rows.filter(F.col("term").isNotNull()), [key], [F.col("day").desc(), F.col("term").desc()])
-    absent = rows.filter(F.col("term").isNull()).distinct()
-    last = known.select(key, F.col("term").alias("__last_term"))
-    usable = absent.join(last, key, "left").filter(
-        F.col("__last_term").isNull() | (F.col("day") < F.col("__last_term"))
-    )
-    points = usable.select(key, none.alias("current_value"), "day").unionByName(
-        known.select(key, F.col("term").cast("string").alias("current_value"), F.col("term").alias("day"))
+    rows = stage.select(key, F.col(term_col).cast("date").alias("term"), F.col(date_col).cast("date").alias("day"))
+    rows = rows.distinct()
+    usable = F.lit(True) if until is None else F.col("day") <= F.lit(until)
+    by_key = Window.partitionBy(key)
+    known = F.when(usable & F.col("term").isNotNull(), F.struct("day", "term"))
+    rows = rows.withColumns({LAST_SEEN: F.max("day").over(by_key), "__known": F.max(known).over(by_key)})
+    is_last = F.col("term").isNotNull() & (F.struct("day", "term") == F.col("__known"))
+    is_absent = F.col("term").isNull() & (F.col("__known").isNull() | (F.col("day") < F.col("__known.term")))
+    points = rows.filter(usable & (is_last | is_absent)).select(
+        key,
+        LAST_SEEN,
+        F.coalesce(F.col("term").cast("string"), none).alias("current_value"),
+        F.coalesce("term", "day").alias("day"),
     )
     lagged = keyed_window(
         points, [key], ["day", "current_value"], {"prior_value": Lag("current_value")}, bounded=True
@@ -267,6 +298,7 @@ def termination_changes(
         F.nullif("prior_value", none).alias("prior_value"),
         F.when(F.col("current_value") != none, F.date_add("day", 1)).otherwise(F.col("day")).alias("eff_dt"),
         F.col("day").alias("rpt_dt"),
+        LAST_SEEN,
     )
 
 
@@ -281,7 +313,7 @@ def build_termination_log(
     deleted: str = "Deleted",
 ) -> DataFrame:
     changes = termination_changes(stage, key, term_col, date_col, until=until)
-    return _finish_log(changes, stage, [key], date_col, sk, deleted)
+    return _finish_log(changes, [key], _feed_end(stage, date_col), sk, deleted)
 
 
 def build_employee_log(
@@ -302,17 +334,15 @@ def build_employee_log(
     A first value starts on the original hire date, but not before
     ``first_report``, the day the feed began.
     """
-    hires = stage.select(key, F.col(date_col).alias("__d"), F.col(hire_col).cast("date").alias("__hire"))
-    hires = hires.groupBy(key, "__d").agg(F.max("__hire").alias("__hire"))
-    plain = attribute_changes(stage, [key], attrs, date_col)
-    dated = plain.join(hires, (plain[key] == hires[key]) & (plain["eff_dt"] == hires["__d"].cast("date")), "left")
+    hire = F.col(hire_col).cast("date")
+    plain = attribute_changes(stage, [key], attrs, date_col, keep={"__hire": hire})
     start = F.when(
         F.col("prior_value").isNull() & F.col("__hire").isNotNull(),
         F.greatest(F.col("__hire"), F.lit(first_report)),
     ).otherwise(F.col("eff_dt"))
-    plain = dated.select("change_column", plain[key], "current_value", "prior_value", start.alias("eff_dt"), "rpt_dt")
+    plain = plain.withColumn("eff_dt", start).drop("__hire")
     terms = termination_changes(stage, key, term_col, date_col, until=until)
-    return _finish_log(plain.unionByName(terms), stage, [key], date_col, sk, deleted)
+    return _finish_log(plain.unionByName(terms), [key], _feed_end(stage, date_col), sk, deleted)
 
 
 def wide_view(log: DataFrame, key: str, attrs: list[str], *, sk: str = "emp_sk") -> DataFrame:

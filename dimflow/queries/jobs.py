@@ -9,6 +9,7 @@ from dimflow.plans import employee, facts, landing, organization, pay, position,
 from dimflow.queries.columns import INTERSECT, LOG, graded_snapshot
 from dimflow.queries.incremental import SPLIT
 from dimflow.queries.joins import TEXT_IDS, order_texts, requisition_dim
+from dimflow.queries.sinks import stored
 from dimflow.queries.registry import SHIPMENTS, SNAP, SNAP_VERSIONS, VERSIONS, query
 
 OPEN = "DATE '9999-12-31'"
@@ -39,7 +40,7 @@ def _(t):
 def _(t):
     old = t.orders.filter(F.col("o_orderdate") < F.lit(SPLIT).cast("date"))
     how = dict(sk="cust_sk", rename=RENAME, rec_src="CRM")
-    target = scd.build_scd1(old, ["customer_id"], NEWEST, now=dt.datetime(2024, 1, 1), **how)
+    target = stored(t, scd.build_scd1(old, ["customer_id"], NEWEST, now=dt.datetime(2024, 1, 1), **how), "scd1")
     return scd.build_scd1(
         t.orders, ["customer_id"], NEWEST, target=target, date_col="order_dtm", now=dt.datetime(2024, 2, 1), **how
     )
@@ -52,7 +53,8 @@ def _(t):
         CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END, o_orderkey DESC) = 1""",
 )
 def _(t):
-    target = scd.build_scd1(t.orders.filter("o_orderstatus = 'F'"), ["customer_id"], NEWEST, sk="cust_sk", rename=RENAME)
+    old = t.orders.filter("o_orderstatus = 'F'")
+    target = stored(t, scd.build_scd1(old, ["customer_id"], NEWEST, sk="cust_sk", rename=RENAME), "scd1")
     return scd.build_scd1(
         t.orders, ["customer_id"], NEWEST, sk="cust_sk", rename=RENAME, target=target, date_col="order_dtm", per_key_mark=True
     )
@@ -85,7 +87,7 @@ def _(t):
     snap = t.snapshot()
     how = dict(sk="user_sk")
     first = scd.build_scd2(snap.filter("rpt_dt <= '2024-01-15'"), ["user_id"], ["event_type"], "rpt_dt", **how)
-    return scd.build_scd2(snap, ["user_id"], ["event_type"], "rpt_dt", target=first, **how)
+    return scd.build_scd2(snap, ["user_id"], ["event_type"], "rpt_dt", target=stored(t, first, "scd2"), **how)
 
 
 UNTIL = "rpt_dt <= DATE '2024-01-20'"
@@ -242,9 +244,7 @@ def _(t):
     # First run: shipments up to a day, a third of the customers still unknown.
     early = t.shipments().filter(F.col("ship_dt") < F.lit("1999-01-01").cast("date"))
     first = facts.build_fact(early, shipment_spec(t, F.col("o_custkey") % 3 != 0))
-    path = t.scratch("fact")
-    first.write.parquet(path)
-    return facts.build_fact(t.shipments(), shipment_spec(t), target=t.spark.read.parquet(path))
+    return facts.build_fact(t.shipments(), shipment_spec(t), target=stored(t, first, "fact"))
 
 
 @query(
@@ -303,9 +303,7 @@ def _(t):
     lines = pay_lines(t)
     early = lines.filter((F.col("o_custkey") % 2 == 0) & (F.col("pay_dt") < F.lit(SPLIT).cast("date")))
     first = facts.build_payroll_fact(early, payroll_spec(t, F.col("pay_cd") != "3"), entity="o_custkey")
-    path = t.scratch("payroll")
-    first.write.parquet(path)
-    target = t.spark.read.parquet(path)
+    target = stored(t, first, "payroll")
     return facts.build_payroll_fact(lines, payroll_spec(t, F.lit(True)), entity="o_custkey", target=target)
 
 
@@ -553,12 +551,11 @@ def _(t):
 def _(t):
     # A month later every second division has a new name; unchanged ones keep their version.
     hier, company = org_inputs(t)
-    path = t.scratch("org")
-    organization.build_org_dim(hier, company, today=dt.date(2024, 2, 1)).write.parquet(path)
+    target = stored(t, organization.build_org_dim(hier, company, today=dt.date(2024, 2, 1)), "org")
     renamed = F.when(F.col("div_nbr").cast("int") % 2 == 0, F.concat(F.lit("New "), "div_nm")).otherwise(F.col("div_nm"))
     # The undated start is the day of the run; keep it out of the comparison of states.
     out = organization.build_org_dim(
-        hier.withColumn("div_nm", renamed), company, t.spark.read.parquet(path), today=dt.date(2024, 3, 1)
+        hier.withColumn("div_nm", renamed), company, target, today=dt.date(2024, 3, 1)
     )
     return out.select("org_pk", "division_desc", "rpt_eff_dt", "disc_dt", "is_current")
 

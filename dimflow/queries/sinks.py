@@ -16,8 +16,15 @@ NEW = latest_orders_sql("o_orderdate >= DATE '1998-01-01'")
 SPLIT = "1998-01-01"
 
 
+def stored(t, df, name):
+    """A merge target is a stored table; store it as an earlier run would have."""
+    path = t.scratch(name)
+    df.write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
 def old_new(t):
-    return t.latest_orders(before=SPLIT), t.latest_orders(since=SPLIT)
+    return stored(t, t.latest_orders(before=SPLIT), "target"), t.latest_orders(since=SPLIT)
 
 
 @query("snk_full_rebuild", "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer")
@@ -117,7 +124,7 @@ def _(t):
         F.lit(True).alias("is_current"),
         hashed,
     )
-    return M.scd2_merge(tgt, src, ["o_custkey"]).drop("dbt_hash")
+    return M.scd2_merge(stored(t, tgt, "versions"), src, ["o_custkey"]).drop("dbt_hash")
 
 
 @query(

@@ -19,6 +19,7 @@ from pyspark.sql.types import (
 )
 
 from dimflow.operators.merge import update_from
+from dimflow.session import scratch_path
 
 
 def write_full(df: DataFrame, path: str) -> None:
@@ -61,6 +62,18 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, properties: dict[str, str
     df.write.mode("overwrite").jdbc(url, table, properties=properties)
 
 
+def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Compute once, store in the shared folder, go on from the stored table.
+
+    For a result that is used several times, like a merge source: without it
+    every use would compute it again. It also ends the lineage, so a lost
+    executor costs a reread only.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # -- JSON chunks -------------------------------------------------------------
 
 MEGABYTE = 1024 * 1024
