@@ -17,7 +17,11 @@ OPEN = "DATE '9999-12-31'"
 # -- Type-1 and Type-2 dimensions ------------------------------------------------
 
 RENAME = {"o_custkey": "customer_id", "o_orderkey": "order_id", "o_orderstatus": "status", "o_orderdate": "order_dtm"}
-NEWEST = [F.desc("order_dtm"), F.desc("order_id")]
+
+
+def newest():
+    return [F.desc("order_dtm"), F.desc("order_id")]
+
 
 
 @query(
@@ -26,7 +30,7 @@ NEWEST = [F.desc("order_dtm"), F.desc("order_id")]
       o_orderdate AS order_dtm FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
 )
 def _(t):
-    return scd.build_scd1(t.orders, ["customer_id"], NEWEST, sk="cust_sk", rename=RENAME)
+    return scd.build_scd1(t.orders, ["customer_id"], newest(), sk="cust_sk", rename=RENAME)
 
 
 @query(
@@ -40,9 +44,9 @@ def _(t):
 def _(t):
     old = t.orders.filter(F.col("o_orderdate") < F.lit(SPLIT).cast("date"))
     how = dict(sk="cust_sk", rename=RENAME, rec_src="CRM")
-    target = stored(t, scd.build_scd1(old, ["customer_id"], NEWEST, now=dt.datetime(2024, 1, 1), **how), "scd1")
+    target = stored(t, scd.build_scd1(old, ["customer_id"], newest(), now=dt.datetime(2024, 1, 1), **how), "scd1")
     return scd.build_scd1(
-        t.orders, ["customer_id"], NEWEST, target=target, date_col="order_dtm", now=dt.datetime(2024, 2, 1), **how
+        t.orders, ["customer_id"], newest(), target=target, date_col="order_dtm", now=dt.datetime(2024, 2, 1), **how
     )
 
 
@@ -54,9 +58,9 @@ def _(t):
 )
 def _(t):
     old = t.orders.filter("o_orderstatus = 'F'")
-    target = stored(t, scd.build_scd1(old, ["customer_id"], NEWEST, sk="cust_sk", rename=RENAME), "scd1")
+    target = stored(t, scd.build_scd1(old, ["customer_id"], newest(), sk="cust_sk", rename=RENAME), "scd1")
     return scd.build_scd1(
-        t.orders, ["customer_id"], NEWEST, sk="cust_sk", rename=RENAME, target=target, date_col="order_dtm", per_key_mark=True
+        t.orders, ["customer_id"], newest(), sk="cust_sk", rename=RENAME, target=target, date_col="order_dtm", per_key_mark=True
     )
 
 
