@@ -41,6 +41,10 @@ def lookup_sk(
     return joined.withColumn(out or sk, value).drop(*side.columns)
 
 
+def _bucket(col: Column, days: int) -> Column:
+    return F.floor(F.datediff(col, F.lit("1970-01-01").cast("date")) / days)
+
+
 def lookup_asof(
     fact: DataFrame,
     dim: DataFrame,
@@ -52,17 +56,32 @@ def lookup_asof(
     disc: str = "disc_dt",
     out: str | None = None,
     default: str | None = UNKNOWN,
+    bucket_days: int | None = None,
 ) -> DataFrame:
     """Surrogate key of the version valid on the fact's date, both ends included.
 
     The range is a condition on top of the equi join, so each fact row meets
-    only the versions of its own key.
+    only the versions of its own key. ``bucket_days`` adds the time bucket to
+    the equi join, for keys with many versions or very many facts: a version is
+    repeated once per bucket it spans within the facts' dates, a fact meets the
+    versions of its bucket only, and a hot key's facts spread over its buckets.
     """
     side = _prepare(dim, [*on.values(), eff, disc, sk], "d")
+    begin, end = side[f"__d_{eff}"].cast("date"), side[f"__d_{disc}"].cast("date")
     at = fact[date_col].cast("date")
-    cond = _equal(fact, side, on, "d") & at.between(
-        side[f"__d_{eff}"].cast("date"), side[f"__d_{disc}"].cast("date")
-    )
+    cond = _equal(fact, side, on, "d") & at.between(begin, end)
+    if bucket_days:
+        dates = fact.agg(F.min(at).alias("low"), F.max(at).alias("high"))
+        low, high = dates.select("low").scalar(), dates.select("high").scalar()
+        first, last = F.greatest(begin, low), F.least(end, high)
+        spans = F.sequence(_bucket(first, bucket_days), _bucket(last, bucket_days))
+        # No span where the version lies outside the facts' dates; such a version finds no fact.
+        side = side.withColumn("__d_bucket", F.explode(F.when(first <= last, spans)))
+        cond = (
+            _equal(fact, side, on, "d")
+            & (_bucket(at, bucket_days) == side["__d_bucket"])
+            & at.between(side[f"__d_{eff}"].cast("date"), side[f"__d_{disc}"].cast("date"))
+        )
     value = F.col(f"__d_{sk}")
     value = value if default is None else F.coalesce(value, F.lit(default))
     return fact.join(side, cond, "left").withColumn(out or sk, value).drop(*side.columns)
@@ -166,9 +185,24 @@ def events_in_interval(
     disc: str = "disc_dt",
     how: str = "left",
 ) -> DataFrame:
-    """Each version with the events dated inside its interval."""
+    """Each version with the events dated inside its interval.
+
+    The events look for their version, not the other way round: an event meets
+    the few versions of its key, and the events of a hot key can be split over
+    tasks. Versions no event has found are added afterwards.
+    """
     eq = reduce(lambda a, b: a & b, [versions[a] == events[b] for a, b in on.items()])
-    return versions.join(events, eq & events[date_col].between(versions[eff], versions[disc]), how)
+    within = eq & events[date_col].between(versions[eff], versions[disc])
+    met = events.join(versions, within, "inner").select(
+        *[versions[c] for c in versions.columns], *[events[c] for c in events.columns]
+    )
+    if how == "inner":
+        return met
+    ids = [*on, eff, disc]
+    found = met.select([F.col(c).alias(f"__f_{c}") for c in ids]).distinct()
+    same = reduce(lambda a, b: a & b, [versions[c].eqNullSafe(found[f"__f_{c}"]) for c in ids])
+    lone = versions.join(found, same, "left_anti")
+    return met.unionByName(lone, allowMissingColumns=True)
 
 
 def join_nullable(

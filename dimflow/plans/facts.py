@@ -35,6 +35,7 @@ class Lookup:
     eff: str = "eff_dt"
     disc: str = "disc_dt"
     retry: bool = True
+    bucket_days: int | None = None
 
     @property
     def name(self) -> str:
@@ -44,7 +45,15 @@ class Lookup:
         if self.date_col is None:
             return lookup_sk(fact, self.dim, self.on, self.sk, out=self.name)
         return lookup_asof(
-            fact, self.dim, self.on, self.date_col, self.sk, eff=self.eff, disc=self.disc, out=self.name
+            fact,
+            self.dim,
+            self.on,
+            self.date_col,
+            self.sk,
+            eff=self.eff,
+            disc=self.disc,
+            out=self.name,
+            bucket_days=self.bucket_days,
         )
 
 

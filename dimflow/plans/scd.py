@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dimflow.functions.dates import open_end
 from dimflow.functions.keys import row_hash, surrogate_key
 from dimflow.operators import merge
+from dimflow.operators.hotkeys import hot_keys
 from dimflow.operators.joins import intersect_intervals
 from dimflow.operators.reshape import changes_only, rename_map, stamp, unpivot_attrs
 from dimflow.operators.windows import (
@@ -85,14 +86,17 @@ def type2_versions(
         # the number of days it lasted.
         starts = first_seen(rows, [*key, *attrs], date_col)
         ranked = [date_col, *attrs]
+        # Several states a day are possible here, so a key is not bounded by days.
+        # The count reads the key columns only, before any shuffle of rows.
+        bounded = one_row_a_day or hot_keys(stage, key) is None
     elif method == "islands":
         rows = rows if one_row_a_day else daily(rows, key, date_col, order or list(attrs))
         starts = islands(rows, key, attrs, date_col, gap_days=gap_days).select(*key, *attrs, date_col)
-        ranked = [date_col]
+        ranked, bounded = [date_col], True
     else:
         raise ValueError(f"unknown method {method!r}")
     dated = starts.withColumn("eff_dt", F.col(date_col).cast("date"))
-    closed = close_intervals(dated, key, "eff_dt", order=ranked)
+    closed = close_intervals(dated, key, "eff_dt", order=ranked, bounded=bounded)
     return closed.select(
         surrogate_key(*key, "eff_dt").alias(sk),
         *key,
@@ -133,11 +137,18 @@ def build_scd2(
 
 
 def load_scd2_history(
-    stage: DataFrame, key: list[str], attrs: list[str], date_col: str, *, sk: str, until: dt.date | None = None
+    stage: DataFrame,
+    key: list[str],
+    attrs: list[str],
+    date_col: str,
+    *,
+    sk: str,
+    until: dt.date | None = None,
+    one_row_a_day: bool = False,
 ) -> DataFrame:
     """One-off backfill for an absent target, from the states first seen up to a date."""
     past = stage if until is None else stage.filter(F.col(date_col) <= F.lit(until))
-    return type2_versions(past, key, attrs, date_col, sk=sk, method="first_seen")
+    return type2_versions(past, key, attrs, date_col, sk=sk, method="first_seen", one_row_a_day=one_row_a_day)
 
 
 def close_disappeared(

@@ -335,7 +335,7 @@ INTERSECT = f"""WITH {LOG}
 
 @query("sem_pivot_asof", INTERSECT)
 def _(t):
-    log = build_attribute_log(graded_snapshot(t), ["user_id"], ["state", "grade"], "rpt_dt")
+    log = build_attribute_log(graded_snapshot(t), ["user_id"], ["state", "grade"], "rpt_dt", one_row_a_day=True)
     return intersect_intervals(log, ["user_id"], ["state", "grade"])
 
 
@@ -365,5 +365,5 @@ def _(t):
     from dimflow.operators.windows import latest_per_key
 
     days = latest_per_key(rows, ["o_custkey", "rpt_dt"], [F.desc("o_orderkey")]).drop("o_orderkey")
-    log = build_attribute_log(days, ["o_custkey"], ["priority", "status"], "rpt_dt")
+    log = build_attribute_log(days, ["o_custkey"], ["priority", "status"], "rpt_dt", one_row_a_day=True)
     return intersect_intervals(log, ["o_custkey"], ["priority", "status"])

@@ -71,7 +71,7 @@ SCD2_KEYS = """md5(CAST(user_id AS VARCHAR) || '-' || CAST(eff_dt AS VARCHAR)) A
 
 @query("job_scd2_islands", f"WITH {SNAP}, {SNAP_VERSIONS} SELECT {SCD2_KEYS} FROM snap_versions")
 def _(t):
-    return scd.build_scd2(t.snapshot(), ["user_id"], ["event_type"], "rpt_dt", sk="user_sk")
+    return scd.build_scd2(t.snapshot(), ["user_id"], ["event_type"], "rpt_dt", sk="user_sk", one_row_a_day=True)
 
 
 FIRST_SEEN = f"""{SNAP}, seen AS (SELECT user_id, event_type, min(rpt_dt) AS rpt_dt FROM snap WHERE %s GROUP BY 1, 2),
@@ -82,14 +82,14 @@ c AS (SELECT user_id, event_type, rpt_dt, eff_dt, CASE WHEN nxt IS NULL THEN {OP
 
 @query("job_scd2_first_seen", f"WITH {FIRST_SEEN % 'true'} SELECT {SCD2_KEYS} FROM c")
 def _(t):
-    return scd.build_scd2(t.snapshot(), ["user_id"], ["event_type"], "rpt_dt", sk="user_sk", method="first_seen")
+    return scd.build_scd2(t.snapshot(), ["user_id"], ["event_type"], "rpt_dt", sk="user_sk", method="first_seen", one_row_a_day=True)
 
 
 @query("job_scd2_incremental", f"WITH {SNAP}, {SNAP_VERSIONS} SELECT {SCD2_KEYS} FROM snap_versions")
 def _(t):
     # Loading up to a day and then the rest gives the same table as one full load.
     snap = t.snapshot()
-    how = dict(sk="user_sk")
+    how = dict(sk="user_sk", one_row_a_day=True)
     first = scd.build_scd2(snap.filter("rpt_dt <= '2024-01-15'"), ["user_id"], ["event_type"], "rpt_dt", **how)
     return scd.build_scd2(snap, ["user_id"], ["event_type"], "rpt_dt", target=stored(t, first, "scd2"), **how)
 
@@ -100,7 +100,7 @@ UNTIL = "rpt_dt <= DATE '2024-01-20'"
 @query("job_scd2_history", f"WITH {FIRST_SEEN % UNTIL} SELECT {SCD2_KEYS} FROM c")
 def _(t):
     return scd.load_scd2_history(
-        t.snapshot(), ["user_id"], ["event_type"], "rpt_dt", sk="user_sk", until=dt.date(2024, 1, 20)
+        t.snapshot(), ["user_id"], ["event_type"], "rpt_dt", sk="user_sk", until=dt.date(2024, 1, 20), one_row_a_day=True
     )
 
 
@@ -114,7 +114,7 @@ def _(t):
 )
 def _(t):
     snap = t.snapshot()
-    dim = scd.build_scd2(snap, ["user_id"], ["event_type"], "rpt_dt", sk="user_sk")
+    dim = scd.build_scd2(snap, ["user_id"], ["event_type"], "rpt_dt", sk="user_sk", one_row_a_day=True)
     return scd.close_disappeared(dim, snap, ["user_id"], "rpt_dt")
 
 
@@ -139,7 +139,7 @@ CHANGES = LOG.rsplit(",\nlog AS", 1)[0] + ", changes AS (SELECT *, rpt_dt AS eff
 
 @query("job_attribute_log", f"WITH {CHANGES}, {finish_log('changes', 'user_id', 'Deleted')}")
 def _(t):
-    return scd.build_attribute_log(graded_snapshot(t), ["user_id"], ["state", "grade"], "rpt_dt")
+    return scd.build_attribute_log(graded_snapshot(t), ["user_id"], ["state", "grade"], "rpt_dt", one_row_a_day=True)
 
 
 def leavers(t):
@@ -203,7 +203,7 @@ def _(t):
     SELECT md5(CAST(user_id AS VARCHAR) || CAST(eff_dt AS VARCHAR)) AS emp_sk, * FROM w""",
 )
 def _(t):
-    log = scd.build_attribute_log(graded_snapshot(t), ["user_id"], ["state", "grade"], "rpt_dt")
+    log = scd.build_attribute_log(graded_snapshot(t), ["user_id"], ["state", "grade"], "rpt_dt", one_row_a_day=True)
     return scd.wide_view(log, "user_id", ["state", "grade"])
 
 
@@ -412,7 +412,7 @@ STAFF = f"""{SNAP}, stage AS (SELECT user_id AS ein, rpt_dt, event_type AS job_c
 )
 def _(t):
     snapshots, events, _ = staff(t)
-    out = employee.build_employee_dim(snapshots, events)
+    out = employee.build_employee_dim(snapshots, events, one_row_a_day=True)
     return out.select(
         "emp_sk", "ein", "job_code", "worker_type", "eff_dt", "disc_dt", "is_curr", "hire_dt", "term_dt",
         "term_completed_dt", "term_reason_sens", "term_wid", "cost_center_cd",

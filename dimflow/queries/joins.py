@@ -41,6 +41,20 @@ def _(t):
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "ship_dt", "cust_sk")
 
 
+@query(
+    "jn_lookup_asof_bucketed",
+    f"""WITH {VERSIONS}, {SHIPMENTS}
+    SELECT s.l_orderkey, s.l_linenumber, s.l_partkey, s.ship_dt, coalesce(v.cust_sk, '-1') AS cust_sk
+    FROM shipments s LEFT JOIN prio_versions v
+      ON v.o_custkey = s.o_custkey AND s.ship_dt BETWEEN v.eff_dt AND v.disc_dt""",
+)
+def _(t):
+    out = J.lookup_asof(
+        t.shipments(), t.priority_versions(), {"o_custkey": "o_custkey"}, "ship_dt", "cust_sk", bucket_days=365
+    )
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "ship_dt", "cust_sk")
+
+
 @query(
     "jn_lookup_roles",
     f"""WITH {SNAP}, moves AS (

@@ -45,10 +45,11 @@ def reliable_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    named = named or sc.getCheckpointDir()
     if named is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        named = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="dimflow-")
+        named = tempfile.mkdtemp(prefix="dimflow-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named

@@ -32,18 +32,19 @@ def register_view(df: DataFrame, name: str) -> str:
     return name
 
 
-def write_partitioned(df: DataFrame, path: str, parts: list[str], *, files_per_part: int = 1) -> None:
-    """Append parquet under one folder per value of the partition columns.
+def by_partition(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Rows of one partition value brought together, without overfilling a task.
 
-    Rows are brought together by partition value first, else every task would
-    write a small file into every folder. ``files_per_part`` spreads each value
-    over several tasks, for values that hold much of the table.
+    Else every task would write a small file into every folder. The rebalance
+    hint lets adaptive execution split a value that holds much of the table
+    over several tasks, and merge small ones, by measured size.
     """
-    spread = [F.col(p) for p in parts]
-    if files_per_part > 1:
-        rest = [c for c in df.columns if c not in parts]
-        spread.append(F.pmod(F.xxhash64(*rest), F.lit(files_per_part)))
-    df.repartition(*spread).write.mode("append").partitionBy(*parts).parquet(path)
+    return df.hint("rebalance", *[F.col(p) for p in parts])
+
+
+def write_partitioned(df: DataFrame, path: str, parts: list[str]) -> None:
+    """Append parquet under one folder per value of the partition columns."""
+    by_partition(df, parts).write.mode("append").partitionBy(*parts).parquet(path)
 
 
 def export_parquet(df: DataFrame, path: str, codec: str = "gzip") -> dict:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from dimflow.plans.landing import RETENTION_DAYS, timeclock_rows, utc_now
-from dimflow.sources.sinks import append_audit
+from dimflow.sources.sinks import append_audit, by_partition
 
 
 def ingest_landing_stream(
@@ -58,7 +58,7 @@ def ingest_landing_stream(
             days=days,
         )
         target = f"{out.rstrip('/')}/batch_id={batch_id}"
-        rows.observe(kept, one).repartition(*levels).write.mode("overwrite").partitionBy(*levels).parquet(target)
+        by_partition(rows.observe(kept, one), list(levels)).write.mode("overwrite").partitionBy(*levels).parquet(target)
         if audit is not None:
             n_read, n_kept = read.get["n"], kept.get["n"]
             append_audit(

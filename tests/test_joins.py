@@ -21,6 +21,27 @@ def test_asof_includes_both_ends(spark, versions, day, as_rows):
     assert as_rows(out, "i", "sk") == [(1, "a1"), (2, "a1"), (3, "a2"), (4, "-1"), (5, "-1"), (6, "-1")]
 
 
+@pytest.mark.parametrize("days", [1, 7, 400])
+def test_bucketed_asof_equals_plain(spark, versions, as_rows, days):
+    import datetime as dt
+
+    rng = random.Random(2)
+    start = dt.date(2023, 12, 25)
+    data = [(i, rng.choice(["a", "b", "z", None]), start + dt.timedelta(rng.randint(0, 60))) for i in range(200)]
+    facts = spark.createDataFrame(data, "i int, k string, dt date")
+    plain = J.lookup_asof(facts, versions, {"k": "k"}, "dt", "sk")
+    assert as_rows(J.lookup_asof(facts, versions, {"k": "k"}, "dt", "sk", bucket_days=days)) == as_rows(plain)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_events_in_interval(spark, versions, day, as_rows, how):
+    data = [("a", "2024-01-02", 1), ("a", "2024-01-10", 2), ("a", "2023-01-01", 3), ("z", "2024-01-02", 4), (None, "2024-01-02", 5)]
+    events = spark.createDataFrame([(k, day(x), i) for k, x, i in data], "who string, dt date, i int")
+    got = as_rows(J.events_in_interval(versions, events, {"k": "who"}, "dt", how=how), "sk", "i")
+    want = [("a1", 1), ("a1", 2)] + ([("a2", None), ("b1", None)] if how == "left" else [])
+    assert got == sorted(want, key=repr)
+
+
 def test_asof_on_a_timestamp_compares_days(spark, versions, as_rows):
     facts = spark.sql("SELECT 1 i, 'a' k, TIMESTAMP '2024-01-10 23:59:00' dt")
     assert as_rows(J.lookup_asof(facts, versions, {"k": "k"}, "dt", "sk"), "sk") == [("a1",)]

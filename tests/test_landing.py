@@ -136,7 +136,7 @@ def test_partitioned_append(spark, tmp_path):
     df = spark.range(100).withColumn("p", F.col("id") % 3)
     path = str(tmp_path / "p")
     S.write_partitioned(df, path, ["p"])
-    S.write_partitioned(df, path, ["p"], files_per_part=2)
+    S.write_partitioned(df, path, ["p"])
     assert spark.read.parquet(path).count() == 200
     assert sorted(x.name for x in (tmp_path / "p").glob("p=*")) == ["p=0", "p=1", "p=2"]
 
@@ -145,3 +145,17 @@ def test_sorted_csv(spark, tmp_path):
     S.export_csv(spark.range(50).orderBy(F.rand(1)), str(tmp_path / "s"), ["id"])
     text = [ln for f in sorted((tmp_path / "s").glob("part-*")) for ln in f.read_text().split() if ln != "id"]
     assert text == [str(i) for i in range(50)]
+
+
+def test_a_heavy_partition_value_is_split(spark, tmp_path):
+    """Most rows under one value: it must not be one task's work alone."""
+    conf = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "64KB")
+    try:
+        df = spark.range(0, 200_000, 1, 8).select(F.rand(3).alias("v"), F.when(F.col("id") % 10 == 0, 1).otherwise(0).alias("p"))
+        S.write_partitioned(df, str(tmp_path / "h"), ["p"])
+    finally:
+        spark.conf.set(conf, before)
+    assert len(list((tmp_path / "h" / "p=0").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "h")).count() == 200_000
