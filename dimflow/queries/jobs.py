@@ -481,8 +481,9 @@ def _(t):
 def org_inputs(t):
     """Hierarchy and company feeds: one place per customer."""
     key = F.col("c_custkey")
-    div = F.lpad(key.cast("string"), 4, "0")
-    dept = F.lpad(F.col("c_nationkey").cast("string"), 3, "0")
+    # The code fields have fixed widths; division and department together tell customers apart.
+    div = F.lpad((key % 10_000).cast("string"), 4, "0")
+    dept = F.lpad(F.expr("c_custkey div 10000 % 1000").cast("string"), 3, "0")
     local = F.when(key % 4 == 0, None).otherwise(F.lpad((1000 + key % 7).cast("string"), 4, "0"))
     places = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     levels = {
@@ -515,14 +516,16 @@ def org_inputs(t):
     return hier, company
 
 
-ORG = """base AS (SELECT c_custkey AS k, lpad(CAST(c_custkey AS VARCHAR), 4, '0') AS div, lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS dept,
+ORG = """base AS (SELECT c_custkey AS k, lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS div, lpad(CAST(c_custkey // 10000 % 1000 AS VARCHAR), 3, '0') AS dept,
     CASE WHEN c_custkey % 4 <> 0 THEN lpad(CAST(1000 + c_custkey % 7 AS VARCHAR), 4, '0') END AS loc, c_mktsegment, c_name, n_name, n_regionkey, c_nationkey
     FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 9 <> 0),
+  firms AS (SELECT DISTINCT lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS div FROM customer WHERE c_custkey % 6 <> 0),
   org AS (SELECT k, CAST(CAST(div AS INTEGER) AS VARCHAR) AS division_cd, c_name AS division_desc, CAST(CAST(dept AS INTEGER) AS VARCHAR) AS department_cd,
     'dept ' || dept AS department_desc, coalesce(loc, '0000') AS local_use_cd, 'local ' || loc AS local_use_desc,
     CAST(n_regionkey AS VARCHAR) AS region_cd, 'R' || n_regionkey AS region_desc, CAST(c_nationkey AS VARCHAR) AS area_cd, n_name AS area_desc,
     left(c_mktsegment, 2) AS business_unit_cd, c_mktsegment AS business_unit_desc,
-    CASE WHEN k % 6 <> 0 THEN 'F' || div END AS legal_entity_cd, CASE WHEN k % 6 <> 0 THEN 'Firm ' || div END AS legal_entity_desc,
+    CASE WHEN div IN (SELECT div FROM firms) THEN 'F' || div END AS legal_entity_cd,
+    CASE WHEN div IN (SELECT div FROM firms) THEN 'Firm ' || div END AS legal_entity_desc,
     CASE WHEN k % 6 <> 0 THEN 'CC_' || div || coalesce(loc, '0000') || dept END AS cost_center_cd,
     CASE WHEN k % 6 <> 0 THEN div || ' - ' || coalesce(loc, '0000') || ' - ' || dept || ' desk' END AS cost_center_desc,
     CASE WHEN k % 6 = 0 THEN NULL WHEN loc IS NULL THEN div || ' - 0000 -' || substring(' ' || dept || ' desk', 1, 4)
@@ -564,11 +567,15 @@ def _(t):
     return out.select("org_pk", "division_desc", "rpt_eff_dt", "disc_dt", "is_current")
 
 
-def org_view_sql(level: str) -> str:
-    base = ["region", "area", "business_unit", "division"]
-    more = {"div": [], "local": ["department", "local_use", "legal_entity", "cost_center"]}[level]
-    cols = [f"{n}_{s}" for n in base + more for s in ("cd", "desc")] + (["cost_center_id"] if more else [])
-    return f"WITH {ORG} SELECT DISTINCT {', '.join(cols)}, DATE '2024-02-01' AS rpt_eff_dt, DATE '9999-12-31' AS disc_dt FROM org"
+def org_view_sql(level: str, lob: bool = False) -> str:
+    names = ["region", "area", "business_unit", "division"]
+    names += {"div": [], "local": ["department", "local_use", "legal_entity", "cost_center"]}[level]
+    codes = ", ".join(f"{n}_cd" for n in names)
+    other = ", ".join([f"{n}_desc" for n in names] + (["cost_center_id"] if level == "local" else []))
+    fixed = "'L1' AS lob_cd, CAST(NULL AS VARCHAR) AS lob_desc, 'LC' AS lob_category, " if lob else ""
+    return f"""WITH {ORG}, places AS (SELECT DISTINCT {codes}, {other} FROM org)
+    SELECT {codes}, {other}, {fixed}DATE '2024-02-01' AS rpt_eff_dt, DATE '9999-12-31' AS disc_dt FROM places
+    QUALIFY row_number() OVER (PARTITION BY {codes} ORDER BY {other}) = 1"""
 
 
 def org_dim(t):
@@ -586,7 +593,7 @@ def _(t):
     return organization.current_org_views(org_dim(t))["local"]
 
 
-@query("job_org_view_lob", org_view_sql("local").replace("cost_center_id, DATE", "cost_center_id, 'L1' AS lob_cd, CAST(NULL AS VARCHAR) AS lob_desc, 'LC' AS lob_category, DATE"))
+@query("job_org_view_lob", org_view_sql("local", lob=True))
 def _(t):
     return organization.current_org_views(org_dim(t))["lob"]
 
