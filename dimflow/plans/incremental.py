@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.operators.joins import UNKNOWN
-from dimflow.sources.sinks import path_exists
+from dimflow.sources.sinks import path_exists, write_full
 
 
 def run_mode(spark: SparkSession, path: str, full_refresh: bool = False, *, protect: bool = False) -> str:
@@ -18,6 +19,14 @@ def run_mode(spark: SparkSession, path: str, full_refresh: bool = False, *, prot
     return "full" if full_refresh and not protect else "incremental"
 
 
+def backfill_once(spark: SparkSession, path: str, history: Callable[[], DataFrame]) -> bool:
+    """Write a one-off history load, but only where the target does not exist yet."""
+    if run_mode(spark, path) != "first":
+        return False
+    write_full(history(), path)
+    return True
+
+
 def unresolved(target: DataFrame, sk_cols: list[str]):
     return reduce(lambda a, b: a | b, [F.col(c) == UNKNOWN for c in sk_cols])
 

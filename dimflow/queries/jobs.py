@@ -245,9 +245,9 @@ def _(t):
 
 @query("job_fact_incremental", FACT_SQL)
 def _(t):
-    # First run: shipments up to a day, a third of the customers still unknown.
+    # First run: shipments up to a day, versions of one priority still unknown.
     early = t.shipments().filter(F.col("ship_dt") < F.lit("1999-01-01").cast("date"))
-    first = facts.build_fact(early, shipment_spec(t, F.col("o_custkey") % 3 != 0))
+    first = facts.build_fact(early, shipment_spec(t, F.col("o_orderpriority") != "2-HIGH"))
     return facts.build_fact(t.shipments(), shipment_spec(t), target=stored(t, first, "fact"))
 
 
@@ -301,11 +301,12 @@ def payroll_spec(t, codes):
     FROM orders o LEFT JOIN prio_versions v ON v.o_custkey = o.o_custkey AND CAST(o_orderdate AS DATE) BETWEEN v.eff_dt AND v.disc_dt""",
 )
 def _(t):
-    # First run: half of the customers, one pay code unknown. The second run adds
+    # First run: without one segment's customers, one pay code unknown. The second run adds
     # each known customer's rows past their own mark, retries the unknown code
     # and takes new customers whole.
     lines = pay_lines(t)
-    early = lines.filter((F.col("o_custkey") % 2 == 0) & (F.col("pay_dt") < F.lit(SPLIT).cast("date")))
+    known = t.customer.filter("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    early = lines.filter(F.col("pay_dt") < F.lit(SPLIT).cast("date")).join(known, "o_custkey", "left_semi")
     first = facts.build_payroll_fact(early, payroll_spec(t, F.col("pay_cd") != "3"), entity="o_custkey")
     target = stored(t, first, "payroll")
     return facts.build_payroll_fact(lines, payroll_spec(t, F.lit(True)), entity="o_custkey", target=target)
@@ -448,7 +449,7 @@ def _(t):
     "job_manager_hierarchy",
     """WITH RECURSIVE pos AS (
       SELECT c_custkey AS position_id, c_custkey AS emp, c_custkey // 10 AS mgr, DATE '2020-01-01' + CAST(c_custkey % 3 AS INTEGER) AS eff_dt,
-        CASE WHEN c_custkey % 10 = 5 THEN DATE '2020-01-02' ELSE DATE '9999-12-31' END AS disc_dt FROM customer WHERE c_custkey > 0),
+        CASE WHEN c_custkey % 10 = 5 THEN DATE '2020-01-02' ELSE DATE '9999-12-31' END AS disc_dt FROM customer),
     paths AS (
       SELECT position_id, emp, eff_dt, disc_dt, CAST(emp AS VARCHAR) AS path, 1 AS depth FROM pos WHERE emp BETWEEN 1 AND 9
       UNION ALL
@@ -464,7 +465,7 @@ def _(t):
 def _(t):
     key = F.col("c_custkey")
     end = F.when(key % 10 == 5, F.lit("2020-01-02").cast("date")).otherwise(F.lit("9999-12-31").cast("date"))
-    rows = t.customer.filter("c_custkey > 0").select(
+    rows = t.customer.select(
         key.alias("position_id"),
         key.cast("string").alias("emp_id"),
         F.expr("cast(c_custkey div 10 as string)").alias("mgr_id"),
@@ -499,14 +500,14 @@ def org_inputs(t):
     hier = places.select(
         *[c.alias(n) for n, c in levels.items()],
         *[c.alias(f"cur_{n}") for n, c in own.items()],
-        F.when(key % 9 == 0, "XX").otherwise("OFC").alias("source_system"),
+        F.when(F.col("c_mktsegment") == "MACHINERY", "XX").otherwise("OFC").alias("source_system"),
         F.when(key % 5 == 0, F.lit("1900-01-01")).otherwise(F.lit("2020-05-01")).cast("date").alias("eff_dt"),
         F.when(key % 3 == 0, None).when(key % 3 == 1, F.lit("1816-03-29")).otherwise(F.lit("2030-01-01")).cast("date").alias("disc_dt"),
         F.lit(True).alias("is_current"),
     )
     block = F.when(key % 4 == 0, F.lit("0999")).otherwise(F.lpad((1000 + key % 7).cast("string"), 4, "0"))
     center = F.concat(div, F.lit(" - "), block, F.lit(" - "), dept, F.lit(" desk"))
-    company = t.customer.filter("c_custkey % 6 <> 0").select(
+    company = t.customer.filter("c_mktsegment <> 'HOUSEHOLD'").select(
         center.alias("cost_center"),
         F.concat(F.lit("CC_"), div, block, dept).alias("cc_code"),
         F.concat(F.lit("F"), div).alias("fein"),
@@ -518,17 +519,17 @@ def org_inputs(t):
 
 ORG = """base AS (SELECT c_custkey AS k, lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS div, lpad(CAST(c_custkey // 10000 % 1000 AS VARCHAR), 3, '0') AS dept,
     CASE WHEN c_custkey % 4 <> 0 THEN lpad(CAST(1000 + c_custkey % 7 AS VARCHAR), 4, '0') END AS loc, c_mktsegment, c_name, n_name, n_regionkey, c_nationkey
-    FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 9 <> 0),
-  firms AS (SELECT DISTINCT lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS div FROM customer WHERE c_custkey % 6 <> 0),
+    FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_mktsegment <> 'MACHINERY'),
+  firms AS (SELECT DISTINCT lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS div FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
   org AS (SELECT k, CAST(CAST(div AS INTEGER) AS VARCHAR) AS division_cd, c_name AS division_desc, CAST(CAST(dept AS INTEGER) AS VARCHAR) AS department_cd,
     'dept ' || dept AS department_desc, coalesce(loc, '0000') AS local_use_cd, 'local ' || loc AS local_use_desc,
     CAST(n_regionkey AS VARCHAR) AS region_cd, 'R' || n_regionkey AS region_desc, CAST(c_nationkey AS VARCHAR) AS area_cd, n_name AS area_desc,
     left(c_mktsegment, 2) AS business_unit_cd, c_mktsegment AS business_unit_desc,
     CASE WHEN div IN (SELECT div FROM firms) THEN 'F' || div END AS legal_entity_cd,
     CASE WHEN div IN (SELECT div FROM firms) THEN 'Firm ' || div END AS legal_entity_desc,
-    CASE WHEN k % 6 <> 0 THEN 'CC_' || div || coalesce(loc, '0000') || dept END AS cost_center_cd,
-    CASE WHEN k % 6 <> 0 THEN div || ' - ' || coalesce(loc, '0000') || ' - ' || dept || ' desk' END AS cost_center_desc,
-    CASE WHEN k % 6 = 0 THEN NULL WHEN loc IS NULL THEN div || ' - 0000 -' || substring(' ' || dept || ' desk', 1, 4)
+    CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN 'CC_' || div || coalesce(loc, '0000') || dept END AS cost_center_cd,
+    CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN div || ' - ' || coalesce(loc, '0000') || ' - ' || dept || ' desk' END AS cost_center_desc,
+    CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL WHEN loc IS NULL THEN div || ' - 0000 -' || substring(' ' || dept || ' desk', 1, 4)
       ELSE substring(div || ' - ' || loc || ' - ' || dept || ' desk', 1, 17) END AS cost_center_id,
     md5(CAST(CAST(div AS INTEGER) AS VARCHAR) || '-' || coalesce(loc, '0000') || '-' || CAST(CAST(dept AS INTEGER) AS VARCHAR)) AS org_pk,
     CASE WHEN k % 3 = 0 THEN DATE '1950-01-01' WHEN k % 5 = 0 THEN DATE '2024-02-01' ELSE DATE '2020-05-01' END AS eff_dt FROM base)"""
@@ -647,23 +648,24 @@ def codes(t, keep):
 def _(t):
     size = F.datediff("sf_insert_timestamp", F.lit("2024-01-01").cast("date")).alias("p_size")
     shown = ["pay_cd", "pay_cd_type", "sf_insert_timestamp", size]
-    earn = codes(t, "p_partkey % 2 = 0").select(*shown)
-    deduct = codes(t, "p_partkey % 2 = 1").select(*shown).withColumn("priority_ind", F.lit(None).cast("string"))
+    earn = codes(t, "p_size < 25").select(*shown)
+    deduct = codes(t, "p_size >= 25").select(*shown).withColumn("priority_ind", F.lit(None).cast("string"))
     return pay.build_paycodes(earn, deduct)
 
 
 @query(
     "job_paycode_group_bridge",
-    """WITH e AS (SELECT DISTINCT CAST(c_nationkey AS VARCHAR) AS g, c_mktsegment AS x FROM customer WHERE c_nationkey % 5 <> 0),
-    d AS (SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS g, s_name AS y FROM supplier WHERE s_nationkey % 7 <> 0)
+    """WITH e AS (SELECT DISTINCT CAST(c_nationkey + 3 AS VARCHAR) AS g, c_mktsegment AS x FROM customer),
+    d AS (SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS g, s_name AS y FROM supplier)
     SELECT md5(coalesce(e.g, '') || '-' || coalesce(x, '') || '-' || coalesce(y, '')) AS paycode_component_group_sk, e.g AS pay_component_group_id,
       x AS pay_cd_earning_id, y AS pay_cd_deduction_id FROM e FULL OUTER JOIN d ON e.g = d.g""",
 )
 def _(t):
-    earn = t.customer.filter("c_nationkey % 5 <> 0").select(
-        F.col("c_nationkey").cast("string").alias("pay_component_group_id"), F.col("c_mktsegment").alias("paycode_earning_id")
+    # Groups are shifted, so that both sides have some the other lacks.
+    earn = t.customer.select(
+        (F.col("c_nationkey") + 3).cast("string").alias("pay_component_group_id"), F.col("c_mktsegment").alias("paycode_earning_id")
     )
-    deduct = t.supplier.filter("s_nationkey % 7 <> 0").select(
+    deduct = t.supplier.select(
         F.col("s_nationkey").cast("string").alias("pay_component_group_id"), F.col("s_name").alias("paycode_deduction_id")
     )
     return pay.build_paycode_group_bridge(earn, deduct)

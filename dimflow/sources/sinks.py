@@ -19,6 +19,7 @@ from pyspark.sql.types import (
 )
 
 from dimflow.operators.merge import update_from
+from dimflow.operators.quality import dedupe_intervals
 from dimflow.session import scratch_path
 
 
@@ -195,6 +196,11 @@ def purge_where(spark: SparkSession, path: str, predicate: Column) -> None:
     publish_swap(df.filter(~F.coalesce(predicate, F.lit(False))), path)
 
 
+def dedupe_table(spark: SparkSession, path: str, sk: str, *, eff: str = "eff_dt", disc: str = "disc_dt") -> None:
+    """Keep the row that ends last per key and start date, and swap the table in."""
+    publish_swap(dedupe_intervals(spark.read.parquet(path), sk, eff, disc), path)
+
+
 AUDIT_SCHEMA = StructType(
     [
         StructField("run_key", StringType()),

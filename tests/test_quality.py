@@ -82,3 +82,15 @@ def test_corrections_apply_in_order(spark, as_rows):
     df = spark.createDataFrame([("20211131",), ("20220101",)], "d string")
     out = P.apply_corrections(df, [("d", F.col("d") == "20211131", "20211130"), ("d", F.col("d") == "20211130", "20211201")])
     assert as_rows(out) == [("20211201",), ("20220101",)]
+
+
+def test_dedupe_table_and_backfill(spark, tmp_path, day):
+    from dimflow.plans.incremental import backfill_once
+    from dimflow.sources.sinks import dedupe_table
+
+    path = str(tmp_path / "t")
+    data = [("k", day("2024-01-01"), day("2024-01-05")), ("k", day("2024-01-01"), day("2024-01-09"))]
+    rows = spark.createDataFrame(data, "sk string, eff_dt date, disc_dt date")
+    assert backfill_once(spark, path, lambda: rows) and not backfill_once(spark, path, lambda: rows.limit(0))
+    dedupe_table(spark, path, "sk")
+    assert spark.read.parquet(path).collect() == [tuple(data[1])]
