@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.session import reliable_dir
+from dimflow.session import stage_table
 
 
 def hierarchy_paths(
@@ -26,12 +26,13 @@ def hierarchy_paths(
     interval. A row whose parent is itself has no parent. A path never visits
     an id twice, so cycles end; deeper than ``max_depth`` is an error, not a cut.
 
-    One join per level. Each level is checkpointed: the plan stays one join
-    deep, and a lost executor costs a reread, not the levels before.
+    One join per level. Each level is stored in the shared folder: the plan
+    stays one join deep, a lost executor costs a reread, not the levels before,
+    and the known size of a level lets Spark broadcast a small one.
     """
-    reliable_dir(df.sparkSession)
     nodes = df.withColumn("__parent", F.when(F.col(parent_col) != F.col(id_col), F.col(parent_col)))
-    level = df.filter(F.col(id_col).isin(roots)).withColumn("path", F.array(F.col(id_col))).checkpoint()
+    level = df.filter(F.col(id_col).isin(roots)).withColumn("path", F.array(F.col(id_col)))
+    level = stage_table(level, "level")
     levels = [level]
     while len(levels) <= max_depth:
         up = level.select(
@@ -41,13 +42,13 @@ def hierarchy_paths(
             F.col("path").alias("__ppath"),
         )
         cond = (F.col("__parent") == F.col("__pid")) & F.col(eff).between(F.col("__peff"), F.col("__pdisc"))
-        level = (
+        below = (
             nodes.join(up, cond, "inner")
             .filter(~F.array_contains("__ppath", F.col(id_col)))
             .withColumn("path", F.array_append("__ppath", F.col(id_col)))
             .select(*df.columns, "path")
-            .checkpoint()
         )
+        level = stage_table(below, "level")
         if level.isEmpty():
             return reduce(DataFrame.unionByName, levels)
         levels.append(level)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from dimflow.functions.dates import day_before, open_end
 from dimflow.operators.hotkeys import ROWS_PER_TASK, HotKeys, hot_keys, split_hot
-from dimflow.session import reliable_dir
+from dimflow.session import stage_table
 
 Order = str | Column
 
@@ -90,10 +90,8 @@ def _sliced(
     slices = max(shuffle_default, -(-hot.rows // limit) if hot.rows else 0)
     # The slice number becomes a stored column: both passes below must see the
     # same slices, also when an executor is lost between them.
-    reliable_dir(spark)
-    stored = (
-        df.repartitionByRange(slices, *keys, *order).withColumn("__slice", F.spark_partition_id()).checkpoint()
-    )
+    sliced = df.repartitionByRange(slices, *keys, *order).withColumn("__slice", F.spark_partition_id())
+    stored = stage_table(sliced, "slices")
     w = Window.partitionBy(*keys, "__slice").orderBy(*order)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = {f"__l_{n}": _local(s, w, running) for n, s in specs.items()}

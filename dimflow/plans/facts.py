@@ -15,7 +15,7 @@ from dimflow.operators.merge import merge_upsert
 from dimflow.operators.reshape import stamp
 from dimflow.operators.windows import latest_per_key
 from dimflow.plans.incremental import incremental_facts, new_entities, unresolved
-from dimflow.sources.sinks import stage_table
+from dimflow.session import stage_table
 
 
 @dataclass(frozen=True)

@@ -14,7 +14,7 @@ from dimflow.functions.text import correct_cost_center
 from dimflow.operators.merge import scd2_merge
 from dimflow.operators.reshape import min_max_dates, stamp
 from dimflow.operators.windows import latest_per_key
-from dimflow.sources.sinks import stage_table
+from dimflow.session import stage_table
 
 # Levels of the hierarchy as (name, code column, description column).
 LEVELS = (

@@ -25,7 +25,7 @@ from dimflow.operators.windows import (
     latest_per_key,
 )
 from dimflow.sources.readers import history_of_changed_keys, since_watermark, since_watermark_by_key
-from dimflow.sources.sinks import stage_table
+from dimflow.session import stage_table
 
 
 def build_scd1(

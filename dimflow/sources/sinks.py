@@ -20,7 +20,7 @@ from pyspark.sql.types import (
 
 from dimflow.operators.merge import update_from
 from dimflow.operators.quality import dedupe_intervals
-from dimflow.session import scratch_path
+from dimflow.session import stage_table
 
 
 def write_full(df: DataFrame, path: str) -> None:
@@ -64,18 +64,6 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, properties: dict[str, str
     df.write.mode("overwrite").jdbc(url, table, properties=properties)
 
 
-def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Compute once, store in the shared folder, go on from the stored table.
-
-    For a result that is used several times, like a merge source: without it
-    every use would compute it again. It also ends the lineage, so a lost
-    executor costs a reread only.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 # -- JSON chunks -------------------------------------------------------------
 
 MEGABYTE = 1024 * 1024
@@ -135,11 +123,8 @@ def write_json_chunks(df: DataFrame, path: str, max_mb: float = 10, *, root: str
     """
     limit = int(max_mb * MEGABYTE)
     # The documents are staged once: the listing below describes the written files.
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex[:8]}"
-    json_chunks(even_partitions(df, max_bytes=limit), max_bytes=limit, root=root).write.parquet(staged)
-    docs = df.sparkSession.read.parquet(staged)
-    out = docs.select("document").repartition(docs.count() or 1)
-    out.write.mode("overwrite").option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
+    docs = stage_table(json_chunks(even_partitions(df, max_bytes=limit), max_bytes=limit, root=root), "chunks")
+    docs.select("document").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
     return docs.select("chunk_id", "n_records", F.octet_length("document").cast("long").alias("n_bytes"))
 
 
