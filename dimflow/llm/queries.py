@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import decontaminate, ngram_join, quality_rules
+from dimflow.llm import decontaminate, mixing, ngram_join, quality_rules, surrogates
 from dimflow.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,21 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(docs, quality_rules.fit_weights(docs, trusted))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("row.doc_id", *counts, "base_failed", "kept", "score")
+
+
+#: Secret of the surrogates in the registered query; a user passes their own.
+SURROGATE_KEY = "registered-query"
+
+
+@query("op3_mixing")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of every document in the stream mixed to the square root of the sources' sizes."""
+    mixed = mixing.mix(read(spark, folder, "documents").select("doc_id", "source", "text"))
+    return mixed.select("row.doc_id", "row.source", "block", "slot", "offset")
+
+
+@query("op4_surrogates")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, SURROGATE_KEY).select("row.doc_id", "text", "n_entities")
