@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import decontaminate, mixing, ngram_join, quality_rules, surrogates
+from dimflow.llm import (
+    chat_format,
+    decontaminate,
+    html_blocks,
+    mixing,
+    ngram_join,
+    quality_rules,
+    surrogates,
+    token_counts,
+    url_filter,
+)
 from dimflow.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +76,43 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its personal data replaced."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
     return surrogates.replace_entities(docs, SURROGATE_KEY).select("row.doc_id", "text", "n_entities")
+
+
+#: A conversation whose texts are control strings.
+PROBE = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query("op5_chat_format")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every conversation, read back from its tokens and mask."""
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string")
+    return chat_format.digests(chat_format.format_conversations(turns.union(probe)))
+
+
+@query("op9_token_counts")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document under the unigram vocabulary."""
+    return token_counts.token_counts(read(spark, folder, "documents"))
+
+
+@query("op1_html_blocks")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_blocks.extract(read(spark, folder, "pages"))
+
+
+RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@query("op2_url_filter")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict of every page's url."""
+    rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
+    return url_filter.judge(read(spark, folder, "pages"), rules)
