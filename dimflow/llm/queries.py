@@ -14,6 +14,7 @@ from dimflow.llm import (
     mixing,
     ngram_join,
     quality_rules,
+    suffix_dedup,
     surrogates,
     token_counts,
     url_filter,
@@ -116,3 +117,9 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict of every page's url."""
     rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
     return url_filter.judge(read(spark, folder, "pages"), rules)
+
+
+@query("op6_suffix_dedup")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """What every document loses to strings of 50 bytes in documents before it."""
+    return suffix_dedup.remove_repeats(read(spark, folder, "documents"))
