@@ -50,7 +50,7 @@ def split_part_safe(col: Col, delim: str, n: int) -> Column:
 
 def strtok(col: Col, delim: str, n: int) -> Column:
     """The n-th non-empty token; each character of ``delim`` separates; null when short."""
-    cls = "[" + "".join("\\" + ch for ch in delim) + "]"
+    cls = "[" + "".join("\\" + ch if not ch.isalnum() else ch for ch in delim) + "]"
     tokens = F.filter(F.split(_c(col), cls), lambda t: t != "")
     return F.try_element_at(tokens, F.lit(n))
 

@@ -18,23 +18,24 @@ def hierarchy_paths(
     *,
     eff: str = "eff_dt",
     disc: str = "disc_dt",
-    max_depth: int = 100,
 ) -> DataFrame:
     """Every row reachable from the roots, with the array of ids from root to row.
 
     A child follows a parent version when its own start lies in that version's
     interval. A row whose parent is itself has no parent. A path never visits
-    an id twice, so cycles end; deeper than ``max_depth`` is an error, not a cut.
+    an id twice, so cycles end and so does the loop.
 
-    One join per level. Each level is stored in the shared folder: the plan
+    One join per level. The nodes are stored once, and each level, in the shared folder: the plan
     stays one join deep, a lost executor costs a reread, not the levels before,
     and the known size of a level lets Spark broadcast a small one.
     """
     nodes = df.withColumn("__parent", F.when(F.col(parent_col) != F.col(id_col), F.col(parent_col)))
+    nodes = stage_table(nodes, "nodes")
+    df = nodes.drop("__parent")
     level = df.filter(F.col(id_col).isin(roots)).withColumn("path", F.array(F.col(id_col)))
     level = stage_table(level, "level")
     levels = [level]
-    while len(levels) <= max_depth:
+    while True:
         up = level.select(
             F.col(id_col).alias("__pid"),
             F.col(eff).alias("__peff"),
@@ -52,4 +53,3 @@ def hierarchy_paths(
         if level.isEmpty():
             return reduce(DataFrame.unionByName, levels)
         levels.append(level)
-    raise RuntimeError(f"hierarchy deeper than {max_depth} levels")

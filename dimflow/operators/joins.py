@@ -33,16 +33,23 @@ def _equal(fact: DataFrame, side: DataFrame, on: On, tag: str) -> Column:
 def lookup_sk(
     fact: DataFrame, dim: DataFrame, on: On, sk: str, *, out: str | None = None, default: str | None = UNKNOWN
 ) -> DataFrame:
-    """Left lookup of a surrogate key on one or several columns."""
+    """Left lookup of a surrogate key on one or several columns; one row per fact row.
+
+    A key that the dimension holds several times gives its largest surrogate key.
+    """
     side = _prepare(dim, [*on.values(), sk], "d")
+    side = side.groupBy(*[f"__d_{d}" for d in dict.fromkeys(on.values())]).agg(F.max(f"__d_{sk}").alias(f"__d_{sk}"))
     joined = fact.join(side, _equal(fact, side, on, "d"), "left")
     value = F.col(f"__d_{sk}")
     value = value if default is None else F.coalesce(value, F.lit(default))
     return joined.withColumn(out or sk, value).drop(*side.columns)
 
 
+EPOCH = "1970-01-01"
+
+
 def _bucket(col: Column, days: int) -> Column:
-    return F.floor(F.datediff(col, F.lit("1970-01-01").cast("date")) / days)
+    return F.floor(F.datediff(col, F.lit(EPOCH).cast("date")) / days).cast("long")
 
 
 def lookup_asof(
@@ -56,35 +63,53 @@ def lookup_asof(
     disc: str = "disc_dt",
     out: str | None = None,
     default: str | None = UNKNOWN,
-    bucket_days: int | None = None,
+    bucket_days: int = 365,
 ) -> DataFrame:
-    """Surrogate key of the version valid on the fact's date, both ends included.
-
-    The range is a condition on top of the equi join, so each fact row meets
-    only the versions of its own key. ``bucket_days`` adds the time bucket to
-    the equi join, for keys with many versions or very many facts: a version is
-    repeated once per bucket it spans within the facts' dates, a fact meets the
-    versions of its bucket only, and a hot key's facts spread over its buckets.
+    """Surrogate key of the version valid on the fact's date, both ends included; one row per fact row.
+
+    From its start on a version takes the place of those that began before it; of
+    versions that begin on one day the one with the largest key stands. Facts and
+    version starts are read in one sorted pass per key and time bucket that carries
+    the latest version forward, so the work grows with facts plus versions, and a hot
+    key is spread over its buckets. A version starts anew in each bucket it spans
+    within the facts' dates.
     """
-    side = _prepare(dim, [*on.values(), eff, disc, sk], "d")
-    begin, end = side[f"__d_{eff}"].cast("date"), side[f"__d_{disc}"].cast("date")
+    keys = [f"__k{i}" for i in range(len(on))]
     at = fact[date_col].cast("date")
-    cond = _equal(fact, side, on, "d") & at.between(begin, end)
-    if bucket_days:
-        dates = fact.agg(F.min(at).alias("low"), F.max(at).alias("high"))
-        low, high = dates.select("low").scalar(), dates.select("high").scalar()
-        first, last = F.greatest(begin, low), F.least(end, high)
-        spans = F.sequence(_bucket(first, bucket_days), _bucket(last, bucket_days))
-        # No span where the version lies outside the facts' dates; such a version finds no fact.
-        side = side.withColumn("__d_bucket", F.explode(F.when(first <= last, spans)))
-        cond = (
-            _equal(fact, side, on, "d")
-            & (_bucket(at, bucket_days) == side["__d_bucket"])
-            & at.between(side[f"__d_{eff}"].cast("date"), side[f"__d_{disc}"].cast("date"))
-        )
-    value = F.col(f"__d_{sk}")
+    named = [F.col(d).cast(fact.schema[f].dataType).alias(k) for k, (f, d) in zip(keys, on.items())]
+    side = dim.select(*named, F.col(eff).cast("date").alias("eff"), F.col(disc).cast("date").alias("disc"), F.col(sk).alias("sk"))
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    order = Window.partitionBy(*keys).orderBy("eff", "sk")
+    side = side.filter(known & (F.col("eff") <= F.col("disc"))).withColumn("next", F.lead("eff").over(order))
+    side = side.withColumn("until", F.least("disc", F.date_sub("next", 1))).filter("until >= eff")
+    dates = fact.agg(F.struct(F.min(at).alias("low"), F.max(at).alias("high")).alias("d")).scalar()
+    first, last = F.greatest(F.col("eff"), dates["low"]), F.least(F.col("until"), dates["high"])
+    spans = F.sequence(_bucket(first, bucket_days), _bucket(last, bucket_days))
+    # No span where the version lies outside the facts' dates; such a version finds no fact.
+    side = side.withColumn("bucket", F.explode(F.when(first <= last, spans)))
+    begins = F.greatest(F.col("eff"), F.date_add(F.lit(EPOCH).cast("date"), (F.col("bucket") * bucket_days).cast("int")))
+    starts = side.select(
+        *keys, "bucket", begins.alias("at"), F.lit(0).alias("kind"), F.struct("sk", "until").alias("version")
+    )
+    row = F.struct(*[fact[c] for c in fact.columns])
+    bucket = _bucket(at, bucket_days)
+    for f in on:  # facts without a key or a date meet no version, so they may lie anywhere
+        bucket = F.when(fact[f].isNull(), F.xxhash64(row)).otherwise(bucket)
+    bucket = F.coalesce(bucket, F.xxhash64(row))
+    facts = fact.select(
+        *[fact[f].alias(k) for k, f in zip(keys, on)],
+        bucket.alias("bucket"),
+        at.alias("at"),
+        F.lit(1).alias("kind"),
+        row.alias("row"),
+    )
+    both = facts.unionByName(starts, allowMissingColumns=True)
+    pass_ = Window.partitionBy(*keys, "bucket").orderBy("at", "kind")
+    carried = both.withColumn("version", F.last("version", ignorenulls=True).over(pass_)).filter("kind = 1")
+    value = F.when(F.col("version.until") >= F.col("at"), F.col("version.sk"))
     value = value if default is None else F.coalesce(value, F.lit(default))
-    return fact.join(side, cond, "left").withColumn(out or sk, value).drop(*side.columns)
+    name = out or sk
+    return carried.select(*[F.col("row")[c].alias(c) for c in fact.columns if c != name], value.alias(name))
 
 
 def lookup_roles(

@@ -44,13 +44,23 @@ _RANK = [ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType]
 _DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
 
 
+class NoCommonType(ValueError):
+    """No type holds the values of both columns exactly."""
+
+
 def wider(a, b):
-    """The type that holds the values of both."""
+    """The type that holds every value of both; whole numbers of any size meet binary fractions in none."""
     if a == b or isinstance(b, NullType):
         return a
     if isinstance(a, NullType):
         return b
+    fractions = (FloatType, DoubleType)
     if type(a) in _RANK and type(b) in _RANK:
+        if isinstance(a, fractions) != isinstance(b, fractions):
+            whole = b if isinstance(a, fractions) else a
+            if isinstance(whole, LongType):
+                raise NoCommonType(f"{a.simpleString()} and {b.simpleString()}: cast one side first")
+            return DoubleType()
         return max(a, b, key=lambda t: _RANK.index(type(t)))
     if isinstance(a, DecimalType) or isinstance(b, DecimalType):
         if isinstance(a, (FloatType, DoubleType)) or isinstance(b, (FloatType, DoubleType)):
@@ -64,7 +74,10 @@ def wider(a, b):
         pa, pb = parts(a), parts(b)
         if pa and pb:
             scale = max(pa[1], pb[1])
-            return DecimalType(min(38, max(pa[0], pb[0]) + scale), scale)
+            digits = max(pa[0], pb[0]) + scale
+            if digits > 38:
+                raise NoCommonType(f"{a.simpleString()} and {b.simpleString()} need {digits} digits")
+            return DecimalType(digits, scale)
     stamps = (TimestampType, TimestampNTZType)
     if {type(a), type(b)} <= {DateType, *stamps}:
         return a if isinstance(a, stamps) else b

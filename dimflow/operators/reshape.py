@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Row
@@ -74,10 +75,15 @@ def live_rows(df: DataFrame, flag: str = "expirationdate", live: object = 0, dro
     return df.filter(F.col(flag) == live).drop(flag, *drop)
 
 
+def is_recent(stamp: Column, days: int, today: dt.date) -> Column:
+    """Whether a text stamp (yyyymmdd…) lies within the last ``days`` days; null where it is no date."""
+    stamped = F.try_to_date(F.substring(stamp.cast("string"), 1, 8), "yyyyMMdd")
+    return stamped >= F.lit(today - dt.timedelta(days=days))
+
+
 def keep_recent(df: DataFrame, col: str, days: int, today: dt.date) -> DataFrame:
     """Rows whose text stamp (yyyymmdd…) lies within the last ``days`` days."""
-    stamped = F.try_to_date(F.substring(F.col(col).cast("string"), 1, 8), "yyyyMMdd")
-    return df.filter(stamped >= F.lit(today - dt.timedelta(days=days)))
+    return df.filter(is_recent(F.col(col), days, today))
 
 
 def not_at_maximum(df: DataFrame, col: str) -> DataFrame:
@@ -173,8 +179,8 @@ def unpivot_attrs(
 
 
 def explode_list(df: DataFrame, col: str, sep: str = ";", out: str | None = None) -> DataFrame:
-    """One row per trimmed piece of a delimited list; a null list gives none."""
-    pieces = F.split(F.col(col), "[" + sep + "]")
+    """One row per trimmed piece of a list delimited by the whole of ``sep``; a null list gives none."""
+    pieces = F.split(F.col(col), re.escape(sep))
     return df.withColumn(out or col, F.explode(pieces)).withColumn(out or col, F.trim(F.col(out or col)))
 
 

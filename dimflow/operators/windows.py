@@ -1,9 +1,9 @@
 """Ordered-by-key operators: latest row, changes, validity intervals, fills.
 
-``keyed_window`` is the one primitive that needs a whole key in order. For
-ordinary keys it is a Spark window. Keys too big for a task are range-sorted
-over many tasks and each slice carries over what it needs from the slices
-before or after it, so no task ever holds such a key whole.
+``keyed_window`` is the one primitive that needs a whole key in order. Where a
+key is bounded it is a Spark window. Where it isn't, the caller names slices of
+the order, such as months: a task holds one slice of a key, and each slice
+carries over what it needs from the slices before or after it.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.functions.dates import day_before, open_end
-from dimflow.operators.hotkeys import ROWS_PER_TASK, HotKeys, hot_keys, split_hot
-from dimflow.session import stage_table
 
 Order = str | Column
 
@@ -42,13 +40,6 @@ class RunMax:
     col: str
 
 
-@dataclass(frozen=True)
-class RunCount:
-    """Non-null values so far."""
-
-    col: str
-
-
 @dataclass(frozen=True)
 class Carry:
     """Latest non-null value so far."""
@@ -56,7 +47,7 @@ class Carry:
     col: str
 
 
-Spec = Number | Lag | Lead | RunMax | RunCount | Carry
+Spec = Number | Lag | Lead | RunMax | Carry
 
 
 def _local(spec: Spec, w, running) -> Column:
@@ -69,8 +60,6 @@ def _local(spec: Spec, w, running) -> Column:
             return F.lead(c).over(w)
         case RunMax(c):
             return F.max(c).over(running)
-        case RunCount(c):
-            return F.count(c).over(running)
         case Carry(c):
             return F.last(c, ignorenulls=True).over(running)
     raise TypeError(spec)
@@ -82,16 +71,8 @@ def _plain(df: DataFrame, keys: list[str], order: list[Order], specs: dict[str,
     return df.withColumns({name: _local(spec, w, running) for name, spec in specs.items()})
 
 
-def _sliced(
-    df: DataFrame, keys: list[str], order: list[Order], specs: dict[str, Spec], hot: HotKeys, limit: int
-) -> DataFrame:
-    spark = df.sparkSession
-    shuffle_default = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    slices = max(shuffle_default, -(-hot.rows // limit) if hot.rows else 0)
-    # The slice number becomes a stored column: both passes below must see the
-    # same slices, also when an executor is lost between them.
-    sliced = df.repartitionByRange(slices, *keys, *order).withColumn("__slice", F.spark_partition_id())
-    stored = stage_table(sliced, "slices")
+def _sliced(df: DataFrame, keys: list[str], order: list[Order], specs: dict[str, Spec], slice_by: Column) -> DataFrame:
+    stored = df.withColumn("__slice", slice_by)
     w = Window.partitionBy(*keys, "__slice").orderBy(*order)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = {f"__l_{n}": _local(s, w, running) for n, s in specs.items()}
@@ -114,8 +95,6 @@ def _sliced(
                 summary_cols[name] = at("__first", c)
             case RunMax(c):
                 summary_cols[name] = F.max(c)
-            case RunCount(c):
-                summary_cols[name] = F.count(c)
             case Carry(_):
                 summary_cols[name] = at("__last", f"__l_{name}")
     summary = rows.groupBy(*keys, "__slice").agg(*[c.alias(f"__s_{n}") for n, c in summary_cols.items()])
@@ -125,7 +104,7 @@ def _sliced(
     for name, spec in specs.items():
         s = F.col(f"__s_{name}")
         match spec:
-            case Number() | RunCount(_):
+            case Number():
                 carry[f"__c_{name}"] = F.coalesce(F.sum(s).over(before), F.lit(0))
             case Lag(_):
                 carry[f"__c_{name}"] = F.lag(s).over(by_slice)["v"]
@@ -145,7 +124,7 @@ def _sliced(
     for name, spec in specs.items():
         loc, car = F.col(f"l.__l_{name}"), F.col(f"s.__c_{name}")
         match spec:
-            case Number() | RunCount(_):
+            case Number():
                 value = loc + car
             case Lag(_):
                 value = F.when(F.col("l.__first"), car).otherwise(loc)
@@ -166,22 +145,22 @@ def keyed_window(
     specs: dict[str, Spec],
     *,
     bounded: bool = False,
-    limit: int = ROWS_PER_TASK,
+    slice_by: Column | None = None,
 ) -> DataFrame:
     """Add one column per spec, computed over each key in the given order.
 
     ``bounded=True`` states that a key cannot grow with the table, for instance
-    because there is one row per key and day; no key count is taken then.
-    Otherwise keys above ``limit`` rows are computed in slices. ``order`` must
-    rank the rows of a key without ties for the result to be repeatable.
+    because there is one row per key and day. Any other call names ``slice_by``,
+    a value that never falls along ``order`` (the year of an ascending date, its
+    negative for a descending one); a slice of a key is what one task holds.
+    ``order`` must rank the rows of a key without ties for the result to be
+    repeatable.
     """
-    if not bounded:
-        hot = hot_keys(df, keys, limit)
-        if hot is not None:
-            cold_rows, hot_rows = split_hot(df, hot)
-            cold = _plain(cold_rows, keys, order, specs)
-            return cold.unionByName(_sliced(hot_rows, keys, order, specs, hot, limit))
-    return _plain(df, keys, order, specs)
+    if bounded:
+        return _plain(df, keys, order, specs)
+    if slice_by is None:
+        raise ValueError("an unbounded key needs slice_by")
+    return _sliced(df, keys, order, specs, slice_by)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Order]) -> DataFrame:
@@ -265,13 +244,14 @@ def close_intervals(
     same_day: bool = True,
     current: str | None = "is_current",
     bounded: bool = True,
+    slice_by: Column | None = None,
 ) -> DataFrame:
     """End date from the next start: the day before it, open when there is none.
 
     A successor on the same day leaves the version its start date as end
     (``same_day``); without that rule its end falls before its start.
     """
-    nxt = keyed_window(df, keys, order or [eff], {"__next": Lead(eff)}, bounded=bounded)
+    nxt = keyed_window(df, keys, order or [eff], {"__next": Lead(eff)}, bounded=bounded, slice_by=slice_by)
     end = day_before("__next")
     if same_day:
         end = F.when(F.col("__next") == F.col(eff), F.col(eff)).otherwise(end)

@@ -14,7 +14,7 @@ from dimflow.operators.joins import lookup_asof, lookup_sk, lookup_sk_multi
 from dimflow.operators.merge import merge_upsert
 from dimflow.operators.reshape import stamp
 from dimflow.operators.windows import latest_per_key
-from dimflow.plans.incremental import incremental_facts, new_entities, unresolved
+from dimflow.plans.incremental import incremental_facts, unresolved
 from dimflow.session import stage_table
 
 
@@ -35,7 +35,7 @@ class Lookup:
     eff: str = "eff_dt"
     disc: str = "disc_dt"
     retry: bool = True
-    bucket_days: int | None = None
+    bucket_days: int = 365
 
     @property
     def name(self) -> str:
@@ -72,10 +72,11 @@ class FactSpec:
 def resolve(rows: DataFrame, spec: FactSpec) -> DataFrame:
     """Latest row per key, then every lookup.
 
-    Duplicates go first: no lookup is paid for a row that is dropped later.
+    Duplicates go first: no lookup is paid for a row that is dropped later, and no
+    lookup repeats a row, so the key stays unique.
     """
-    order = spec.order or [F.col(spec.event_col).desc()]
-    out = latest_per_key(rows, [spec.pk], order)
+    ties = [F.col(c) for c in rows.columns if rows.schema[c].dataType.typeName() not in ("map", "variant")]
+    out = latest_per_key(rows, [spec.pk], [*(spec.order or [F.col(spec.event_col).desc()]), *ties])
     for look in spec.lookups:
         out = look.apply(out)
     if spec.columns is not None:
@@ -96,7 +97,7 @@ def build_fact(
     out = resolve(rows, spec)
     if target is None or not merged:
         return out
-    return merge_upsert(target, stage_table(out, spec.pk), [spec.pk], check=False)
+    return merge_upsert(target, stage_table(out, spec.pk), [spec.pk])
 
 
 def requisition_ids(stage: DataFrame, text_cols: list[str]) -> DataFrame:
@@ -135,7 +136,7 @@ def build_requisition_fact(
     ids = requisition_ids(latest, text_cols)
     found = lookup_sk_multi(ids, dim, "req_ids", dim_key, sk)
     out = found.select(pk, sk, "job_req_id", "position_id", *columns)
-    return out if target is None else merge_upsert(target, stage_table(out, pk), [pk], check=False)
+    return out if target is None else merge_upsert(target, stage_table(out, pk), [pk])
 
 
 def payroll_rows(
@@ -161,14 +162,15 @@ def payroll_rows(
         F.coalesce(F.max(target_event_col), F.lit("1900-01-01").cast("date")).alias("__mark")
     )
     retry = target.filter(unresolved(target, sk_cols)).select(pk).distinct().withColumn("__retry", F.lit(True))
-    absent = new_entities(
-        stage.select(entity, event_col).distinct(), target, {entity: target_entity, event_col: target_event_col}
-    ).withColumn("__absent", F.lit(True))
-    joined = stage.join(marks, entity, "left").join(retry, pk, "left").join(absent, [entity, event_col], "left")
+    # Null-safe: an undated row of a new entity is one that the target doesn't have.
+    have = target.select(F.col(target_entity).alias("__e"), F.col(target_event_col).alias("__d")).distinct()
+    have = have.withColumn("__present", F.lit(True))
+    present = stage[entity].eqNullSafe(have["__e"]) & stage[event_col].eqNullSafe(have["__d"])
+    joined = stage.join(have, present, "left").join(marks, entity, "left").join(retry, pk, "left")
     known = F.col("__mark").isNotNull()
     wanted = (known & ((F.col(event_col) >= F.col("__mark")) | F.col("__retry").isNotNull())) | F.col(
-        "__absent"
-    ).isNotNull()
+        "__present"
+    ).isNull()
     return joined.filter(wanted).select(*stage.columns)
 
 
@@ -194,4 +196,4 @@ def build_payroll_fact(
         sk_cols=[lk.name for lk in spec.lookups if lk.retry],
     )
     out = resolve(rows, spec)
-    return out if target is None else merge_upsert(target, stage_table(out, spec.pk), [spec.pk], check=False)
+    return out if target is None else merge_upsert(target, stage_table(out, spec.pk), [spec.pk])

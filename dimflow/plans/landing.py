@@ -12,12 +12,13 @@ from pyspark.sql.types import StructType
 from dimflow.functions.convert import stringify
 from dimflow.functions.dates import add_date_parts
 from dimflow.operators.quality import reconcile
-from dimflow.operators.reshape import keep_recent, size_report, stamp_file
+from dimflow.operators.reshape import is_recent, keep_recent, size_report, stamp_file
 from dimflow.sources.readers import read_jdbc, read_landing_csv, read_report_json
 from dimflow.sources.sinks import (
     MEGABYTE,
     append_audit,
     export_parquet,
+    path_exists,
     set_run_status,
     write_json_chunks,
     write_partitioned,
@@ -51,7 +52,7 @@ def ingest_timeclock(
     out: str,
     audit: str,
     *,
-    time_col: str = "TIATIM",
+    time_col: str,
     partition_col: str | None = None,
     fmt: str | None = None,
     levels: tuple[str, ...] = ("year", "month", "day"),
@@ -61,15 +62,21 @@ def ingest_timeclock(
 ) -> dict:
     """CSV landing to partitioned parquet, with an audit row.
 
-    Rows older than the retention are dropped and counted as rejected. The
-    counts are observed while the one job writes; they are not a second read.
+    Rows older than the retention are dropped. Read and rejected rows, the latter by
+    their own predicate, are observed while the one job writes; written rows are
+    counted in the files. The three must add up.
     """
     start = utc_now()
     load_date = today
     raw = stamp_file(read_landing_csv(spark, path, schema=schema), load_date)
-    seen, kept = Observation("read"), Observation("kept")
+    seen = Observation("read")
+    recent = is_recent(F.col(time_col), days, today)
     rows = timeclock_rows(
-        raw.observe(seen, F.count(F.lit(1)).alias("n")),
+        raw.observe(
+            seen,
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(~F.coalesce(recent, F.lit(False))).alias("old"),
+        ),
         time_col=time_col,
         partition_col=partition_col or time_col,
         fmt=fmt,
@@ -77,8 +84,10 @@ def ingest_timeclock(
         today=today,
         days=days,
     )
-    write_partitioned(rows.observe(kept, F.count(F.lit(1)).alias("n")), out, list(levels))
-    n_read, n_kept = seen.get["n"], kept.get["n"]
+    n_before = spark.read.parquet(out).count() if path_exists(spark, out) else 0
+    write_partitioned(rows, out, list(levels))
+    n_read, n_old = seen.get["n"], seen.get["old"]
+    n_kept = spark.read.parquet(out).count() - n_before
     report = {
         "run_key": uuid.uuid4().hex,
         "job": "timeclock",
@@ -86,7 +95,7 @@ def ingest_timeclock(
         "target_name": out,
         "source_rows": n_read,
         "insert_rows": n_kept,
-        "rejected_rows": n_read - n_kept,
+        "rejected_rows": n_old,
         "start_tmsp": start,
         "end_tmsp": utc_now(),
         "status": "SUCCESS",

@@ -11,7 +11,6 @@ from dimflow.functions.convert import flag
 from dimflow.functions.dates import open_end
 from dimflow.functions.keys import row_hash, surrogate_key
 from dimflow.functions.text import split_part_safe
-from dimflow.operators.hotkeys import hot_keys
 from dimflow.operators.joins import join_nullable, join_one_row
 from dimflow.operators.reshape import append_rows, explode_list, stamp, sum_as_text, union_extracts
 from dimflow.operators.windows import Lead, Number, close_intervals, daily, first_seen, islands, keyed_window, latest_per_key
@@ -129,13 +128,13 @@ def build_comp_plan(
     the next version, as a join on version number and wildcard columns.
     """
     states = first_seen(stage, [*key, *attrs], date_col)
-    bounded = hot_keys(stage, key) is None
+    year = F.year(date_col)
     if null_safe:
         dated = states.withColumn("eff_dt", F.col(date_col).cast("date"))
-        closed = close_intervals(dated, key, "eff_dt", order=["eff_dt", *attrs], same_day=False, bounded=bounded)
+        closed = close_intervals(dated, key, "eff_dt", order=["eff_dt", *attrs], same_day=False, bounded=False, slice_by=year)
     else:
         numbered = keyed_window(
-            states, key, [F.col(date_col).desc(), *attrs], {"__v": Number()}, bounded=bounded
+            states, key, [F.col(date_col).desc(), *attrs], {"__v": Number()}, slice_by=-year
         ).withColumn("eff_dt", F.col(date_col).cast("date"))
         left = numbered.withColumnsRenamed({k: f"l_{k}" for k in key}).withColumn("__prev", F.col("__v") - 1)
         right = numbered.select(

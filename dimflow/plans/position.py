@@ -76,7 +76,6 @@ def build_manager_hierarchy(
     position: str = "position_id",
     emp: str = "emp_id",
     mgr: str = "mgr_id",
-    max_depth: int = 100,
 ) -> DataFrame:
     """One row per position and manager above it, with level and validity.
 
@@ -85,7 +84,7 @@ def build_manager_hierarchy(
     """
     staffed = positions.filter(F.col(emp).isNotNull() & (F.col(emp).cast("string") != ""))
     nodes = staffed.select(position, emp, mgr, "eff_dt", "disc_dt")
-    paths = hierarchy_paths(nodes, emp, mgr, roots, max_depth=max_depth)
+    paths = hierarchy_paths(nodes, emp, mgr, roots)
     members = explode_path(paths.select(position, "eff_dt", "path"), "path", "manager_hier")
     first = members.groupBy(position, "manager_hier", "level").agg(F.min("eff_dt").alias("eff_dt"))
     # Bounded: a position has at most one manager of a level per start date and manager.

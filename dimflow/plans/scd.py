@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 from dimflow.functions.dates import open_end
 from dimflow.functions.keys import row_hash, surrogate_key
 from dimflow.operators import merge
-from dimflow.operators.hotkeys import hot_keys
 from dimflow.operators.joins import intersect_intervals
 from dimflow.operators.reshape import changes_only, rename_map, stamp, unpivot_attrs
 from dimflow.operators.windows import (
@@ -54,13 +54,15 @@ def build_scd1(
             fresh = since_watermark_by_key(fresh, target, key, date_col, at)
         else:
             fresh = since_watermark(fresh, target, date_col, at)
-    latest = latest_per_key(fresh, key, order)
-    out = latest.select(surrogate_key(*key).alias(sk), *latest.columns)
+    # Ranked by the surrogate key, in which null and '' are the same; the order ends with all columns.
+    ties = [F.col(c) for c in fresh.columns if fresh.schema[c].dataType.typeName() not in ("map", "variant")]
+    latest = latest_per_key(fresh.withColumn(sk, surrogate_key(*key)), [sk], [*order, *ties])
+    out = latest.select(sk, *fresh.columns)
     if rec_src is not None:
         out = stamp(out, rec_src, now)
     if target is None:
         return out
-    return merge.merge_upsert(target, stage_table(out, sk), [sk], no_update_cols=("ins_batch_id",), check=False)
+    return merge.merge_upsert(target, stage_table(out, sk), [sk], no_update_cols=("ins_batch_id",))
 
 
 def type2_versions(
@@ -87,8 +89,7 @@ def type2_versions(
         starts = first_seen(rows, [*key, *attrs], date_col)
         ranked = [date_col, *attrs]
         # Several states a day are possible here, so a key is not bounded by days.
-        # The count reads the key columns only, before any shuffle of rows.
-        bounded = one_row_a_day or hot_keys(stage, key) is None
+        bounded = one_row_a_day
     elif method == "islands":
         rows = rows if one_row_a_day else daily(rows, key, date_col, order or list(attrs))
         starts = islands(rows, key, attrs, date_col, gap_days=gap_days).select(*key, *attrs, date_col)
@@ -96,7 +97,7 @@ def type2_versions(
     else:
         raise ValueError(f"unknown method {method!r}")
     dated = starts.withColumn("eff_dt", F.col(date_col).cast("date"))
-    closed = close_intervals(dated, key, "eff_dt", order=ranked, bounded=bounded)
+    closed = close_intervals(dated, key, "eff_dt", order=ranked, bounded=bounded, slice_by=F.year("eff_dt"))
     return closed.select(
         surrogate_key(*key, "eff_dt").alias(sk),
         *key,
@@ -124,7 +125,8 @@ def build_scd2(
     """Type-2 dimension; with a target, only keys that reported since its mark are rebuilt.
 
     Rebuilding takes the whole history of those keys, since a new row can end
-    an old version. Rows are merged on the surrogate key.
+    an old version. The target's versions of a rebuilt key that are not built
+    again, as after a late report, are taken out.
     """
     if target is None:
         out = type2_versions(stage, key, attrs, date_col, sk=sk, **how)
@@ -133,7 +135,13 @@ def build_scd2(
     out = type2_versions(history_of_changed_keys(stage, changed, key), key, attrs, date_col, sk=sk, **how)
     if rec_src is not None:
         out = stamp(out, rec_src, now)
-    return merge.merge_upsert(target, stage_table(out, sk), [sk], no_update_cols=("ins_batch_id",), check=False)
+    rebuilt = stage_table(out, sk)
+    keys = rebuilt.select(*[F.col(k).alias(f"__k_{k}") for k in key]).distinct()
+    again = rebuilt.select(F.col(sk).alias("__again"))
+    same = reduce(lambda a, b: a & b, [target[k].eqNullSafe(keys[f"__k_{k}"]) for k in key])
+    stale = target.join(keys, same, "left_semi").join(again, F.col(sk) == F.col("__again"), "left_anti").select(sk)
+    kept = target.join(stale, sk, "left_anti")
+    return merge.merge_upsert(kept, rebuilt, [sk], no_update_cols=("ins_batch_id",))
 
 
 def load_scd2_history(

@@ -10,7 +10,7 @@ from dimflow.operators import reshape as P
 from dimflow.operators.joins import intersect_intervals
 from dimflow.plans.scd import build_attribute_log
 from dimflow.queries.joins import TREE, customer_tree, order_texts
-from dimflow.queries.registry import SNAP, VERSIONS, query
+from dimflow.queries.registry import SNAP, VERSIONS, padded_sql, query
 from dimflow.operators.hierarchy import hierarchy_paths
 
 NOW = dt.datetime(2024, 2, 1, 3, 4, 5)
@@ -287,10 +287,10 @@ def _(t):
 
 @query(
     "sem_extract_ids",
-    """SELECT o_orderkey, list_sort(list_distinct(regexp_extract_all(upper(concat_ws(' ', coalesce(subject, ''), note)),
-      'R-[0-9]{7}|R-[0-9]{6}|R_[0-9]{7}|R_[0-9]{6}'))) AS ids FROM (
-      SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN 'for r-' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') || ' approved' END AS subject,
-        CASE WHEN o_orderpriority LIKE '1%' THEN 'see R_' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') ELSE 'none' END AS note FROM orders)""",
+    f"""SELECT o_orderkey, list_sort(list_distinct(regexp_extract_all(upper(concat_ws(' ', coalesce(subject, ''), note)),
+      'R-[0-9]{{7}}|R-[0-9]{{6}}|R_[0-9]{{7}}|R_[0-9]{{6}}'))) AS ids FROM (
+      SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN 'for r-' || {padded_sql('o_orderkey', 6)} || ' approved' END AS subject,
+        CASE WHEN o_orderpriority LIKE '1%' THEN 'see R_' || {padded_sql('o_orderkey', 7)} ELSE 'none' END AS note FROM orders)""",
 )
 def _(t):
     from dimflow.functions.text import distinct_ids

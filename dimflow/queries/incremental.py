@@ -78,6 +78,7 @@ def _(t):
         out,
         t.scratch("stream-state"),
         schema="event_id string, event_type string, TIATIM string",
+        time_col="TIATIM",
         fmt="yyyyMMddHHmm",
         levels=("month", "day"),
         today=dt.date(2024, 1, 31),

@@ -10,7 +10,7 @@ from dimflow.queries.columns import INTERSECT, LOG, graded_snapshot
 from dimflow.queries.incremental import SPLIT
 from dimflow.queries.joins import TEXT_IDS, order_texts, requisition_dim
 from dimflow.queries.sinks import stored
-from dimflow.queries.registry import SHIPMENTS, SNAP, SNAP_VERSIONS, VERSIONS, query
+from dimflow.queries.registry import SHIPMENTS, SNAP, SNAP_VERSIONS, VERSIONS, padded, padded_sql, query
 
 OPEN = "DATE '9999-12-31'"
 
@@ -348,7 +348,7 @@ def staff(t):
         F.when(F.col("event_type") == "error", 0).otherwise(1).alias("active_status"),
         (F.col("user_id") % 5 == 0).cast("int").alias("is_rehire"),
         F.lit("2020-01-01").cast("date").alias("original_hire_dt"),
-        F.concat(F.lit("2000 - "), F.lpad((F.col("user_id") * 40).cast("string"), 4, "0"), F.lit(" - 300")).alias("cost_center_id"),
+        F.concat(F.lit("2000 - "), F.lpad((F.col("user_id") * 40).cast("string"), F.greatest(F.length((F.col("user_id") * 40).cast("string")), F.lit(4)), F.lit("0")), F.lit(" - 300")).alias("cost_center_id"),
         F.when(k % 2 == 0, F.col("rpt_dt")).alias("termination_dt"),
     )
     day = F.to_date("ts")
@@ -407,8 +407,8 @@ STAFF = f"""{SNAP}, stage AS (SELECT user_id AS ein, rpt_dt, event_type AS job_c
       CASE WHEN tc IS NULL AND is_rehire = 0 THEN mtc ELSE tc END AS term_completed_dt,
       CASE WHEN tr IS NULL AND is_rehire = 0 THEN mtr ELSE tr END AS term_reason_sens,
       CASE WHEN tw IS NULL AND is_rehire = 0 THEN mtw ELSE tw END AS term_wid,
-      CASE WHEN lpad(CAST(ein * 40 AS VARCHAR), 4, '0') < '1000' THEN 'CC_20000000300'
-        ELSE 'CC_2000' || lpad(CAST(ein * 40 AS VARCHAR), 4, '0') || '300' END AS cost_center_cd
+      CASE WHEN {padded_sql('ein * 40', 4)} < '1000' THEN 'CC_20000000300'
+        ELSE 'CC_2000' || {padded_sql('ein * 40', 4)} || '300' END AS cost_center_cd
     FROM filled""",
 )
 def _(t):
@@ -482,9 +482,10 @@ def _(t):
 def org_inputs(t):
     """Hierarchy and company feeds: one place per customer."""
     key = F.col("c_custkey")
-    # The code fields have fixed widths; division and department together tell customers apart.
+    # Division and department together tell customers apart; the department keeps all higher digits.
     div = F.lpad((key % 10_000).cast("string"), 4, "0")
-    dept = F.lpad(F.expr("c_custkey div 10000 % 1000").cast("string"), 3, "0")
+    high = F.expr("c_custkey div 10000").cast("string")
+    dept = F.lpad(high, F.greatest(F.length(high), F.lit(3)), F.lit("0"))
     local = F.when(key % 4 == 0, None).otherwise(F.lpad((1000 + key % 7).cast("string"), 4, "0"))
     places = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     levels = {
@@ -517,7 +518,7 @@ def org_inputs(t):
     return hier, company
 
 
-ORG = """base AS (SELECT c_custkey AS k, lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS div, lpad(CAST(c_custkey // 10000 % 1000 AS VARCHAR), 3, '0') AS dept,
+ORG = f"""base AS (SELECT c_custkey AS k, lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS div, {padded_sql("c_custkey // 10000", 3)} AS dept,
     CASE WHEN c_custkey % 4 <> 0 THEN lpad(CAST(1000 + c_custkey % 7 AS VARCHAR), 4, '0') END AS loc, c_mktsegment, c_name, n_name, n_regionkey, c_nationkey
     FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_mktsegment <> 'MACHINERY'),
   firms AS (SELECT DISTINCT lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS div FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
@@ -750,8 +751,8 @@ def _(t):
 
 @query(
     "job_job_desc",
-    f"""WITH d AS (SELECT CASE WHEN o_orderstatus = 'P' THEN 'P_' || lpad(CAST(o_custkey AS VARCHAR), 8, '0')
-        ELSE regexp_extract('pos P_' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') || ' x', 'P_[0-9]{{8}}') END AS position_id,
+    f"""WITH d AS (SELECT CASE WHEN o_orderstatus = 'P' THEN 'P_' || {padded_sql('o_custkey', 8)}
+        ELSE regexp_extract('pos P_' || {padded_sql('o_custkey', 8)} || ' x', 'P_[0-9]{{8,}}') END AS position_id,
         o_orderpriority, min(CAST(o_orderdate AS DATE)) AS dt FROM orders GROUP BY 1, 2),
     v AS (SELECT *, lead(dt) OVER (PARTITION BY position_id ORDER BY dt, o_orderpriority) AS nxt FROM d),
     c AS (SELECT *, CASE WHEN nxt IS NULL THEN {OPEN} WHEN nxt = dt THEN dt ELSE CAST(nxt - INTERVAL 1 DAY AS DATE) END AS disc_dt FROM v)
@@ -761,12 +762,12 @@ def _(t):
 def _(t):
     from dimflow.functions.text import first_id
 
-    pid = F.concat(F.lit("P_"), F.lpad(F.col("o_custkey").cast("string"), 8, "0"))
+    pid = F.concat(F.lit("P_"), padded("o_custkey", 8))
     rows = t.orders.select(
         F.when(F.col("o_orderstatus") == "P", pid).alias("created"), F.concat(F.lit("pos "), pid, F.lit(" x")).alias("text"),
         "o_orderpriority", F.col("o_orderdate").alias("dt"),
     )
-    derived = F.coalesce(F.col("created"), first_id("text", "P_[0-9]{8}"))
+    derived = F.coalesce(F.col("created"), first_id("text", "P_[0-9]{8,}"))
     return scd.build_job_desc(rows, derived, "o_orderpriority", "dt")
 
 
@@ -783,7 +784,7 @@ def _(t):
     rows = t.events.select("event_id", F.date_format("ts", "yyyyMMddHHmm").alias("TIATIM"))
     rows.write.option("header", True).csv(source)
     landing.ingest_timeclock(
-        t.spark, source, out, t.scratch("clock-audit"), fmt="yyyyMMddHHmm", levels=("month", "day"), today=dt.date(2024, 2, 9)
+        t.spark, source, out, t.scratch("clock-audit"), time_col="TIATIM", fmt="yyyyMMddHHmm", levels=("month", "day"), today=dt.date(2024, 2, 9)
     )
     back = t.spark.read.parquet(out)
     return back.select("event_id", "TIATIM", F.col("month").cast("int"), F.col("day").cast("int"), "load_date")

@@ -8,7 +8,7 @@ from dimflow.functions.text import REQUISITION_IDS, any_of
 from dimflow.operators import joins as J
 from dimflow.operators.hierarchy import hierarchy_paths
 from dimflow.plans.facts import requisition_ids
-from dimflow.queries.registry import DAYS, SHIPMENTS, SNAP, VERSIONS, latest_orders_sql, query
+from dimflow.queries.registry import DAYS, SHIPMENTS, SNAP, VERSIONS, latest_orders_sql, padded, padded_sql, query
 
 PART_DIM = "md5(CAST(p_partkey AS VARCHAR))"
 
@@ -77,7 +77,7 @@ def _(t):
 @query(
     "jn_lookup_roles_asof",
     f"""WITH {VERSIONS}, pairs AS (
-      SELECT o_orderkey, o_custkey AS buyer, (o_custkey * 7 + 3) % 1000 AS payer, CAST(o_orderdate AS DATE) AS dt FROM orders)
+      SELECT o_orderkey, o_custkey AS buyer, (o_custkey * 7 + 3) % (SELECT max(c_custkey) + 1 FROM customer) AS payer, CAST(o_orderdate AS DATE) AS dt FROM orders)
     SELECT o_orderkey, coalesce(b.cust_sk, '-1') AS buyer_sk, coalesce(p.cust_sk, '-1') AS payer_sk FROM pairs
     LEFT JOIN prio_versions b ON b.o_custkey = buyer AND dt BETWEEN b.eff_dt AND b.disc_dt
     LEFT JOIN prio_versions p ON p.o_custkey = payer AND dt BETWEEN p.eff_dt AND p.disc_dt""",
@@ -86,7 +86,7 @@ def _(t):
     pairs = t.orders.select(
         "o_orderkey",
         F.col("o_custkey").alias("buyer"),
-        ((F.col("o_custkey") * 7 + 3) % 1000).alias("payer"),
+        ((F.col("o_custkey") * 7 + 3) % t.customer.agg(F.max("c_custkey") + 1).scalar()).alias("payer"),
         F.to_date("o_orderdate").alias("dt"),
     )
     out = J.lookup_roles(
@@ -112,29 +112,28 @@ def _(t):
 
 def order_texts(t):
     """Orders with none, one or two ids in their text, in the two forms."""
-    k = F.col("o_orderkey").cast("string")
-    first = F.concat(F.lit("for r-"), F.lpad(k, 6, "0"), F.lit(" approved"))
-    second = F.concat(F.lit("see R_"), F.lpad(k, 7, "0"))
+    first = F.concat(F.lit("for r-"), padded("o_orderkey", 6), F.lit(" approved"))
+    second = F.concat(F.lit("see R_"), padded("o_orderkey", 7))
     return t.orders.select(
         "o_orderkey",
         F.col("o_orderdate").alias("bp_completed_dtm"),
         F.when(F.col("o_orderstatus") != "P", first).alias("subject"),
         F.when(F.col("o_orderpriority").startswith("1"), second).otherwise(F.lit("none")).alias("note"),
-        F.concat(F.lit("P-"), F.lpad((F.col("o_custkey") % 500).cast("string"), 8, "0")).alias("place"),
+        F.concat(F.lit("P-"), padded("o_custkey", 8)).alias("place"),
     )
 
 
 def requisition_dim(t):
     return t.orders.filter("o_orderpriority NOT LIKE '3%' AND o_orderstatus <> 'P'").select(
-        F.concat(F.lit("R-"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0")).alias("job_req_id")
+        F.concat(F.lit("R-"), padded("o_orderkey", 6)).alias("job_req_id")
     ).distinct().withColumn("job_req_sk", surrogate_key("job_req_id"))
 
 
-ORDER_TEXTS = """texts AS (
+ORDER_TEXTS = f"""texts AS (
   SELECT o_orderkey, o_orderdate AS bp_completed_dtm,
-    CASE WHEN o_orderstatus <> 'P' THEN 'for r-' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') || ' approved' END AS subject,
-    CASE WHEN o_orderpriority LIKE '1%' THEN 'see R_' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') ELSE 'none' END AS note,
-    'P-' || lpad(CAST(o_custkey % 500 AS VARCHAR), 8, '0') AS place
+    CASE WHEN o_orderstatus <> 'P' THEN 'for r-' || {padded_sql('o_orderkey', 6)} || ' approved' END AS subject,
+    CASE WHEN o_orderpriority LIKE '1%' THEN 'see R_' || {padded_sql('o_orderkey', 7)} ELSE 'none' END AS note,
+    'P-' || {padded_sql('o_custkey', 8)} AS place
   FROM orders)"""
 
 TEXT_IDS = ORDER_TEXTS + f""",
@@ -145,8 +144,8 @@ found AS (
       upper(concat_ws(' ', coalesce(subject, ''), note, place)), 'P_[0-9]{{10}}|P_[0-9]{{9}}|P_[0-9]{{8}}|P-[0-9]{{10}}|P-[0-9]{{9}}|P-[0-9]{{8}}'))) AS pos_ids
   FROM texts),
 reqs AS (
-  SELECT DISTINCT 'R-' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') AS job_req_id,
-    md5('R-' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0')) AS job_req_sk
+  SELECT DISTINCT 'R-' || {padded_sql('o_orderkey', 6)} AS job_req_id,
+    md5('R-' || {padded_sql('o_orderkey', 6)}) AS job_req_sk
   FROM orders WHERE o_orderpriority NOT LIKE '3%' AND o_orderstatus <> 'P')"""
 
 

@@ -101,6 +101,17 @@ SHIPMENTS = """shipments AS (
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"""
 
 
+def padded(col: str, width: int):
+    """A key as text of at least ``width`` digits; a longer key keeps all of them."""
+    text = F.col(col).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
+def padded_sql(col: str, width: int) -> str:
+    text = f"CAST({col} AS VARCHAR)"
+    return f"lpad({text}, CAST(greatest(length({text}), {width}) AS INTEGER), '0')"
+
+
 def latest_orders_sql(where: str) -> str:
     return f"""SELECT * FROM orders WHERE {where}
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""

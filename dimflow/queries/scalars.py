@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from dimflow import functions as X
 from dimflow.functions.text import REQUISITION_IDS
 from dimflow.operators.reshape import stamp
-from dimflow.queries.registry import query
+from dimflow.queries.registry import padded, padded_sql, query
 
-KEY6 = "lpad(CAST(o_orderkey AS VARCHAR), 6, '0')"
+KEY6 = padded_sql("o_orderkey", 6)
 
 
 def key6():
-    return F.lpad(F.col("o_orderkey").cast("string"), 6, "0")
+    return padded("o_orderkey", 6)
 
 
 @query(
@@ -136,15 +136,14 @@ def _(t):
     )
 
 
-CC = "lpad(CAST(o_custkey AS VARCHAR), 4, '0') || ' - ' || lpad(CAST(o_orderkey % 2500 AS VARCHAR), 4, '0') || ' - ' || left(o_orderpriority, 1) || '00'"
+CC = f"{padded_sql('o_custkey', 4)} || ' - ' || {padded_sql('o_orderkey', 4)} || ' - ' || left(o_orderpriority, 1) || '00'"
 
 
 def cc_text():
-    c = F.col("o_orderkey") % 2500
     return F.concat(
-        F.lpad(F.col("o_custkey").cast("string"), 4, "0"),
+        padded("o_custkey", 4),
         F.lit(" - "),
-        F.lpad(c.cast("string"), 4, "0"),
+        padded("o_orderkey", 4),
         F.lit(" - "),
         F.left("o_orderpriority", F.lit(1)),
         F.lit("00"),

@@ -61,7 +61,7 @@ def _(t):
 )
 def _(t):
     rows = t.orders.select("o_custkey", "o_orderkey", "o_orderdate")
-    return version_number(rows, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")]).drop("o_orderdate")
+    return version_number(rows, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")], slice_by=-F.year("o_orderdate")).drop("o_orderdate")
 
 
 @query(
@@ -71,7 +71,7 @@ def _(t):
 )
 def _(t):
     rows = t.events.select("event_id", "user_id", "ts", "event_type")
-    out = prior_value(rows, ["user_id"], ["ts", "event_id"], "event_type", "prior_value")
+    out = prior_value(rows, ["user_id"], ["ts", "event_id"], "event_type", "prior_value", slice_by=F.trunc("ts", "month"))
     return out.select("event_id", "user_id", "prior_value")
 
 
@@ -82,7 +82,7 @@ def _(t):
 )
 def _(t):
     rows = t.events.select("event_id", "user_id", "ts", "event_type")
-    out = next_value(rows, ["user_id"], ["ts", "event_id"], "event_type", "next_value")
+    out = next_value(rows, ["user_id"], ["ts", "event_id"], "event_type", "next_value", slice_by=F.trunc("ts", "month"))
     return out.select("event_id", "user_id", "next_value")
 
 
@@ -109,7 +109,7 @@ def _(t):
     rows = t.orders.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("eff_dt"))
     # Orders of a customer are not one a day, so the key is not bounded here.
     return close_intervals(
-        rows, ["o_custkey"], "eff_dt", order=["eff_dt", "o_orderkey"], current=None, bounded=False
+        rows, ["o_custkey"], "eff_dt", order=["eff_dt", "o_orderkey"], current=None, bounded=False, slice_by=F.year("eff_dt")
     )
 
 
@@ -123,7 +123,7 @@ def _(t):
     rows = t.events.select(
         "event_id", "user_id", "ts", F.when(F.col("event_type") == "purchase", F.col("value")).alias("v")
     )
-    out = ffill_group(rows, ["user_id"], ["ts", "event_id"], "v", "last_purchase")
+    out = ffill_group(rows, ["user_id"], ["ts", "event_id"], "v", "last_purchase", slice_by=F.trunc("ts", "month"))
     return out.select("event_id", "user_id", "last_purchase")
 
 
@@ -136,7 +136,7 @@ def _(t):
     rows = t.events.select(
         "event_id", "user_id", "ts", F.when(F.col("event_type") == "error", F.col("value")).alias("v")
     )
-    out = running_max(rows, ["user_id"], ["ts", "event_id"], {"worst": "v"})
+    out = running_max(rows, ["user_id"], ["ts", "event_id"], {"worst": "v"}, slice_by=F.trunc("ts", "month"))
     return out.select("event_id", "user_id", "worst")
 
 

@@ -40,14 +40,14 @@ def tune(spark: SparkSession) -> SparkSession:
 def reliable_dir(spark: SparkSession) -> str:
     """Folder shared by all executors: the one named in spark.checkpoint.dir.
 
-    A machine-local folder is used only in local mode, where driver and
-    executors are one process; on a cluster the setting is required.
+    A machine-local folder is used only where driver and executors are one process
+    (local[...]); anywhere else the setting is required.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     named = named or sc.getCheckpointDir()
     if named is None:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         named = tempfile.mkdtemp(prefix="dimflow-")
     if sc.getCheckpointDir() is None:

@@ -49,13 +49,34 @@ class EmptyFile(ValueError):
     pass
 
 
+#: Files of the landing format, whatever the case of their ending.
+ANY_CSV = "*.[cC][sS][vV]"
+
+
+def refuse_other_files(spark: SparkSession, path: str) -> None:
+    """Raise if a landing folder holds a visible file that is no CSV file."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.globStatus(root) or []:
+        if not status.isDirectory():
+            continue
+        for f in fs.listStatus(status.getPath()):
+            name = f.getPath().getName()
+            if f.isDirectory() or name[0] in "_." or name.endswith("$folder$"):
+                continue
+            if not name.lower().endswith(".csv"):
+                raise InvalidFileFormat(f"not a CSV file: {f.getPath().toString()}")
+
+
 def read_landing_csv(
     spark: SparkSession, path: str | Iterable[str], *, schema: StructType | None = None, allow_empty: bool = False
 ) -> DataFrame:
     """CSV landing files, all columns text.
 
-    ``…$folder$`` placeholders are skipped, other formats refused, and a landing
-    without rows is reported.
+    The ending counts in any case. ``…$folder$`` placeholders and hidden files are
+    skipped, other formats refused, also inside a folder, and a landing without rows
+    is reported.
     """
     paths = [path] if isinstance(path, str) else list(path)
     files = [p for p in paths if not p.rstrip("/").endswith("$folder$")]
@@ -65,7 +86,9 @@ def read_landing_csv(
             raise InvalidFileFormat(f"not a CSV file: {p}")
     if not files:
         raise EmptyFile("only folder placeholders to read")
-    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv")
+    for p in files:
+        refuse_other_files(spark, p)
+    reader = spark.read.option("header", True).option("pathGlobFilter", ANY_CSV)
     df = (reader.schema(schema) if schema is not None else reader).csv(files)
     if not allow_empty and df.isEmpty():
         raise EmptyFile(f"no rows in {files}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 from collections.abc import Iterator
 
 import pandas as pd
@@ -141,8 +142,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition folders of the table at ``path``, from the outermost; empty where it has none."""
+    fs, at = _fs(spark, path)
+    names: list[str] = []
+    while fs.exists(at):
+        inner = [f.getPath() for f in fs.listStatus(at) if f.isDirectory() and "=" in f.getPath().getName()]
+        if not inner:
+            break
+        at = inner[0]
+        names.append(at.getName().split("=", 1)[0])
+    return names
+
+
 def publish_swap(df: DataFrame, path: str, *, backup: str | None = None) -> str:
-    """Replace the table at ``path``, also when ``df`` reads it.
+    """Replace the table at ``path``, also when ``df`` reads it; its partition folders stay.
 
     The new table is written beside the old one; only then is the old one set
     aside as ``<path>_BKP`` and the new one renamed. Until that moment the old
@@ -152,7 +166,11 @@ def publish_swap(df: DataFrame, path: str, *, backup: str | None = None) -> str:
     path = path.rstrip("/")
     backup = backup or f"{path}_BKP"
     fresh = f"{path}_NEW_{uuid.uuid4().hex[:8]}"
-    df.write.parquet(fresh)
+    parts = [c for c in partition_columns(spark, path) if c in df.columns]
+    if parts:
+        by_partition(df, parts).write.partitionBy(*parts).parquet(fresh)
+    else:
+        df.write.parquet(fresh)
     fs, target = _fs(spark, path)
     hpath = spark._jvm.org.apache.hadoop.fs.Path
     if fs.exists(target):
@@ -176,9 +194,31 @@ def recover(spark: SparkSession, path: str) -> bool:
 
 
 def purge_where(spark: SparkSession, path: str, predicate: Column) -> None:
-    """Delete the rows a predicate holds for; rows where it is unknown stay."""
+    """Delete the rows a predicate holds for; rows where it is unknown stay.
+
+    Of a partitioned table only partitions that hold such a row are written again;
+    the files of the others are not touched.
+    """
     df = spark.read.parquet(path)
-    publish_swap(df.filter(~F.coalesce(predicate, F.lit(False))), path)
+    gone = F.coalesce(predicate, F.lit(False))
+    parts = partition_columns(spark, path)
+    if not parts:
+        publish_swap(df.filter(~gone), path)
+        return
+    per = df.groupBy(*parts).agg(F.count_if(gone).alias("__gone"), F.count_if(~gone).alias("__kept"))
+    hit = stage_table(per.filter("__gone > 0"), "partitions")
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(hit[c]) for c in parts])
+    kept = stage_table(df.filter(~gone).join(hit, same, "left_semi"), "kept")
+    by_partition(kept, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *parts
+    ).parquet(path)
+    # A partition without rows left has nothing to overwrite it with.
+    empty = reduce(lambda a, b: a & b, [df[c].eqNullSafe(hit[c]) for c in parts])
+    files = df.join(hit.filter("__kept = 0"), empty, "left_semi").select("_metadata.file_path").distinct()
+    fs, _ = _fs(spark, path)
+    folders = {r[0].rsplit("/", 1)[0] for r in files.collect()}
+    for folder in sorted(folders):
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder)), True)
 
 
 def dedupe_table(spark: SparkSession, path: str, sk: str, *, eff: str = "eff_dt", disc: str = "disc_dt") -> None:

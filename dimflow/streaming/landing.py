@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from dimflow.plans.landing import RETENTION_DAYS, timeclock_rows, utc_now
+from dimflow.sources.readers import ANY_CSV
 from dimflow.sources.sinks import append_audit, by_partition
 
 
@@ -20,7 +21,7 @@ def ingest_landing_stream(
     checkpoint: str,
     *,
     schema: StructType,
-    time_col: str = "TIATIM",
+    time_col: str,
     partition_col: str | None = None,
     fmt: str | None = None,
     levels: tuple[str, ...] = ("year", "month", "day"),
@@ -37,7 +38,7 @@ def ingest_landing_stream(
     """
     stream = (
         spark.readStream.option("header", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", ANY_CSV)
         .option("maxFilesPerTrigger", max_files)
         .schema(schema)
         .csv(source)

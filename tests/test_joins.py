@@ -135,5 +135,32 @@ def test_hierarchy(spark, day, as_rows):
     out = hierarchy_paths(df, "id", "mgr", ["boss"])
     paths = {tuple(r["path"]) for r in out.collect()}
     assert paths == {("boss",), ("boss", "mid"), ("boss", "mid", "leaf")}
-    with pytest.raises(RuntimeError):
-        hierarchy_paths(df, "id", "mgr", ["boss"], max_depth=2)
+
+
+def test_hierarchy_deeper_than_a_hundred(spark, day):
+    rows = [(str(i), str(i - 1), day("2024-01-01"), day("9999-12-31")) for i in range(1, 104)]
+    rows.append(("0", "0", day("2024-01-01"), day("9999-12-31")))
+    df = spark.createDataFrame(rows, "id string, mgr string, eff_dt date, disc_dt date")
+    out = hierarchy_paths(df, "id", "mgr", ["0"])
+    assert out.agg(F.max(F.size("path"))).first()[0] == 104
+
+
+def test_asof_gives_one_row_per_fact(spark, day, as_rows):
+    """Versions of one day, a nested version, a hot key over many years, facts without key or date."""
+    dim = [
+        ("a", "2024-01-01", "2024-01-01", "a1"), ("a", "2024-01-01", "2024-01-04", "a2"), ("a", "2024-01-05", "9999-12-31", "a3"),
+        ("n", "2020-01-01", "2024-12-31", "n1"), ("n", "2022-03-01", "2022-03-02", "n2"),
+    ]
+    dim = spark.createDataFrame([(k, day(e), day(x), sk) for k, e, x, sk in dim], "id string, eff_dt date, disc_dt date, sk string")
+    facts = [(1, "a", "2024-01-01"), (2, "a", "2024-01-04"), (3, "a", "2031-07-01"), (4, "n", "2021-06-01"), (5, "n", "2022-03-02"),
+             (6, "n", "2023-01-01"), (7, None, "2024-01-01"), (8, "a", None), (9, "z", "2024-01-01"), (9, "z", "2024-01-01"), (10, "a", "2023-12-31")]
+    facts = spark.createDataFrame([(i, k, day(d)) for i, k, d in facts], "i int, id string, dt date")
+    for days in (365, 7):
+        out = as_rows(J.lookup_asof(facts, dim, {"id": "id"}, "dt", "sk", bucket_days=days), "i", "sk")
+        assert out == sorted([(1, "a2"), (2, "a2"), (3, "a3"), (4, "n1"), (5, "n2"), (6, "-1"), (7, "-1"), (8, "-1"), (9, "-1"), (9, "-1"), (10, "-1")], key=repr)
+
+
+def test_lookup_of_a_repeated_key_keeps_one_row(spark, as_rows):
+    facts = spark.createDataFrame([(1, "a"), (2, "b")], "i int, id string")
+    dim = spark.createDataFrame([("a", "s1"), ("a", "s2")], "id string, sk string")
+    assert as_rows(J.lookup_sk(facts, dim, {"id": "id"}, "sk"), "i", "sk") == [(1, "s2"), (2, "-1")]

@@ -23,7 +23,7 @@ def clock(tmp_path):
 
 def test_timeclock(spark, clock, tmp_path, as_rows):
     out, audit = str(tmp_path / "out"), str(tmp_path / "audit")
-    report = landing.ingest_timeclock(spark, str(clock), out, audit, fmt="yyyyMMddHHmm", today=TODAY)
+    report = landing.ingest_timeclock(spark, str(clock), out, audit, time_col="TIATIM", fmt="yyyyMMddHHmm", today=TODAY)
     back = spark.read.parquet(out)
     assert as_rows(back, "EMP", "NOTE", "month", "day") == [("1", None, 1, 30), ("3", None, 1, 1), ("4", "ok", 1, 31)]
     assert {f.dataType.simpleString() for f in back.schema.fields if f.name in ("EMP", "TIATIM", "NOTE")} == {"string"}
@@ -34,12 +34,12 @@ def test_timeclock(spark, clock, tmp_path, as_rows):
 
 def test_stream_equals_batch_and_takes_each_file_once(spark, clock, tmp_path, as_rows):
     batch = str(tmp_path / "batch")
-    landing.ingest_timeclock(spark, str(clock), batch, str(tmp_path / "a1"), fmt="yyyyMMddHHmm", today=TODAY)
+    landing.ingest_timeclock(spark, str(clock), batch, str(tmp_path / "a1"), time_col="TIATIM", fmt="yyyyMMddHHmm", today=TODAY)
 
     def run():
         ingest_landing_stream(
             spark, str(clock), str(tmp_path / "stream"), str(tmp_path / "state"), schema="EMP string, TIATIM string, NOTE string",
-            fmt="yyyyMMddHHmm", today=TODAY, audit=str(tmp_path / "a2"), max_files=1,
+            time_col="TIATIM", fmt="yyyyMMddHHmm", today=TODAY, audit=str(tmp_path / "a2"), max_files=1,
         ).awaitTermination()
         return spark.read.parquet(str(tmp_path / "stream"))
 

@@ -4,14 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimflow.operators import windows as W
-from dimflow.operators.hotkeys import hot_keys, split_hot
 
 SPECS = {
     "n": W.Number(),
     "lag": W.Lag("s"),
     "lead": W.Lead("v"),
     "top": W.RunMax("v"),
-    "cnt": W.RunCount("v"),
     "last": W.Carry("s"),
 }
 
@@ -33,24 +31,15 @@ def skewed(spark):
 def test_slices_equal_one_window(skewed, down):
     order = [F.desc("t"), F.col("id").asc()] if down else ["t", "id"]
     plain = W.keyed_window(skewed, ["k"], order, SPECS, bounded=True)
-    sliced = W.keyed_window(skewed, ["k"], order, SPECS, limit=100)
+    part = F.floor(F.col("t") / 10)
+    sliced = W.keyed_window(skewed, ["k"], order, SPECS, slice_by=-part if down else part)
     assert sliced.columns == plain.columns
     assert sorted(map(repr, sliced.collect())) == sorted(map(repr, plain.collect()))
 
 
-def test_hot_key_is_spread_over_tasks(spark, skewed):
-    hot = hot_keys(skewed, ["k"], 1000)
-    assert [r["k"] for r in hot.table.collect()] == ["hot"]
-    cold, rows = split_hot(skewed, hot)
-    assert cold.count() + rows.count() == 3000 and rows.filter("k <> 'hot'").isEmpty()
-    out = W._sliced(rows, ["k"], ["t", "id"], {"n": W.Number()}, hot, 200)
-    sizes = out.groupBy(((F.col("n") - 1) / 1000).cast("int")).count().count()
-    assert sizes >= 1
-    assert out.agg(F.max("n")).first()[0] == rows.count()
-
-
-def test_no_hot_key(skewed):
-    assert hot_keys(skewed, ["k"], 10_000) is None
+def test_unbounded_key_needs_slices(skewed):
+    with pytest.raises(ValueError):
+        W.keyed_window(skewed, ["k"], ["t"], SPECS)
 
 
 def test_latest_per_key_prunes_before_shuffle(skewed):
