@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimflow.session import stage_table
+
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -139,6 +141,7 @@ def fit_weights(
         F.explode(_features(F.col("hashes"), buckets)).alias("bucket"),
     )
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("target").alias("target"))
+    counts = stage_table(counts, "grams")  # read twice: for the totals and for the shares
     totals = counts.groupBy().agg(F.array(F.sum("raw"), F.sum("target")).alias("totals")).scalar()
     pad = SMOOTHING * buckets
 
