@@ -6,7 +6,7 @@ n-grams, so long and short documents meet the same threshold. Only built-in
 functions run; no text is shuffled.
 
 Defined results: a null text counts as empty; an empty text has zero counts, a
-score of 0 and fails the base rules. Repeated rows are judged one by one, each
+score of 0 and fails the base rules. Without trusted documents all scores are 0. Repeated rows are judged one by one, each
 alike. Columns beyond the text are passed through untouched, whatever their names.
 """
 
@@ -27,8 +27,8 @@ MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 #: Buckets of the hashed n-grams.
 BUCKETS = 1 << 15
-#: Added to each bucket's count of both multinomials.
-SMOOTHING = 1.0
+#: Share of a uniform multinomial over the buckets that is mixed into both.
+SMOOTHING = 0.01
 #: At most so many trusted documents are fitted on (those with the smallest hashes of their ids).
 MAX_TRUSTED = 20_000
 #: Weights are whole numbers of 1/UNIT nats, so that sums don't depend on their order.
@@ -143,13 +143,14 @@ def fit_weights(
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("target").alias("target"))
     counts = stage_table(counts, "grams")  # read twice: for the totals and for the shares
     totals = counts.groupBy().agg(F.array(F.sum("raw"), F.sum("target")).alias("totals")).scalar()
-    pad = SMOOTHING * buckets
 
     def log_share(count: str, total: Column) -> Column:
-        return F.log((F.col(count) + SMOOTHING) / (total + pad))
+        return F.log(F.col(count) / total + SMOOTHING / buckets)
 
     ratio = log_share("target", totals[1]) - log_share("raw", totals[0])
-    return counts.select("bucket", F.round(ratio * UNIT).cast("bigint").alias("weight"))
+    # Without any trusted document there is no ratio: all weights are 0.
+    weight = F.when(totals[1] > 0, F.round(ratio * UNIT)).otherwise(0.0)
+    return counts.select("bucket", weight.cast("bigint").alias("weight"))
 
 
 def judge(
