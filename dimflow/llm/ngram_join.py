@@ -14,9 +14,9 @@ once, on its sets.
 * N-grams in more than a hundredth of the documents come last in the order and
   aren't shuffled for counting. Their number is at most a hundred times the mean
   set size, which bounds what is broadcast.
-* Links are wanted as components. A hot n-gram first joins each node with one
-  pivot; later rounds join only nodes of different components. The last round joins
-  all of those, so no link between components is missed.
+* Links are wanted as components. An n-gram first joins its nodes with one pivot, then
+  with a few others a turn, and only nodes of different components. The last turn
+  joins all of those, so no link between components is missed.
 
 Defined results: null texts and texts without words have an empty set and link with
 nothing. Repeated rows are copies. Texts with one doc_id count as one document. A
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.llm.components import connected_components
@@ -69,9 +69,10 @@ def _prefix(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _signature(grams: np.ndarray) -> np.ndarray:
+    """Parity of the shingles of each bit: what two sets share cancels out of the difference of theirs."""
     bits = np.zeros(SIGNATURE, U)
     place = grams % U(64 * SIGNATURE)
-    np.bitwise_or.at(bits, (place >> U(6)).astype(int), U(1) << (place & U(63)))
+    np.bitwise_xor.at(bits, (place >> U(6)).astype(int), U(1) << (place & U(63)))
     return bits
 
 
@@ -275,12 +276,16 @@ def _meets(percent: int):
     )
 
 
+#: Nodes of a shingle that all others are compared with in each turn after the first.
+PIVOTS = 8
+
+
 def _pivots(postings: DataFrame, turn: int) -> DataFrame:
-    """For each shingle one node: at first that of the smallest doc_id, later another each turn."""
+    """For each shingle a few of its nodes: at first the one with the smallest doc_id, later others each turn."""
     rank = F.col("first") if turn == 0 else F.xxhash64("h", F.lit(turn))
-    least = postings.groupBy("gram").agg(F.min(F.struct(rank.alias("rank"), "h")).alias("p"))
-    least = least.select("gram", F.col("p.h").alias("h"))
-    return postings.join(least, ["gram", "h"])
+    order = Window.partitionBy("gram").orderBy(rank, "h")
+    ranked = postings.withColumn("at", F.row_number().over(order))
+    return ranked.filter(F.col("at") <= (1 if turn == 0 else PIVOTS)).drop("at")
 
 
 def _links(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
@@ -293,36 +298,34 @@ def _links(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
 
 
-#: Pairs of different components that a posting may meet on average before the last round.
-PAIRS_A_POSTING = 100
+#: The pivots go on while a turn joins more than one in so many of the components that still meet others.
+WORTHWHILE = 20
 
 
 def link_classes(postings: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """`node`, `component` of the nodes that link with another."""
+    """`node`, `component` of the nodes that link with another.
+
+    Turns with pivots take as many pairs as there are postings, times a constant, and
+    leave few links between components; the last turn takes all pairs of different
+    components that share a prefix shingle and pass the filters.
+    """
     spark = postings.sparkSession
-    n_postings = postings.count()
     edges = spark.createDataFrame([], "a long, b long")
     parts = spark.createDataFrame([], "node long, component long")
-    turn, before = 0, None
+    turn, apart, last = 0, None, False
     while True:
         now = postings.join(parts.withColumnRenamed("node", "h"), "h", "left")
         now = now.withColumn("component", F.coalesce("component", "h"))
         if turn:
-            sizes = now.groupBy("gram", "component").count()
-            per = sizes.groupBy("gram").agg(
-                F.sum("count").cast("double").alias("all"), F.sum(F.col("count") * F.col("count")).alias("own")
-            )
-            open_ = per.filter("all * all > own").select("gram", ((F.col("all") * F.col("all") - F.col("own")) / 2).alias("left"))
-            now = stage_table(now.join(open_.select("gram"), "gram", "left_semi"), "postings")
-            left = open_.agg(F.sum("left")).first()[0] or 0.0
-            last = left <= PAIRS_A_POSTING * n_postings or (before is not None and left > 0.9 * before)
-            before = left
-        else:
-            last = False
+            many = now.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+            now = stage_table(now.join(many.filter("x <> y").select("gram"), "gram", "left_semi"), "postings")
+            before, apart = apart, now.select("component").distinct().count()
+            last = before is not None and (before - apart) * WORTHWHILE < before
         x = (now if last else _pivots(now, turn)).alias("x")
         y = now.alias("y")
         order = F.col("x.h") < F.col("y.h") if last else F.col("x.h") != F.col("y.h")
-        met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & order & (F.col("x.component") != F.col("y.component")) & _meets(percent))
+        apart_ = F.col("x.component") != F.col("y.component")
+        met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & order & apart_ & _meets(percent))
         pairs = met.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"))
         edges = stage_table(edges.union(_links(pairs, profiles, percent)), "links")
         parts = connected_components(edges)
