@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Edits allowed as a share of the item's length.
-BUDGET = 0.05
+BUDGET = 0.08
 #: Items below this length don't identify a passage.
 MIN_CHARS = 40
 #: Characters of test items in one block.
