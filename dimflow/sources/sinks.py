@@ -209,14 +209,14 @@ def purge_where(spark: SparkSession, path: str, predicate: Column) -> None:
     hit = stage_table(per.filter("__gone > 0"), "partitions")
     same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(hit[c]) for c in parts])
     kept = stage_table(df.filter(~gone).join(hit, same, "left_semi"), "kept")
-    by_partition(kept, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *parts
-    ).parquet(path)
     # A partition without rows left has nothing to overwrite it with.
     empty = reduce(lambda a, b: a & b, [df[c].eqNullSafe(hit[c]) for c in parts])
     files = df.join(hit.filter("__kept = 0"), empty, "left_semi").select("_metadata.file_path").distinct()
-    fs, _ = _fs(spark, path)
     folders = {r[0].rsplit("/", 1)[0] for r in files.collect()}
+    by_partition(kept, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *parts
+    ).parquet(path)
+    fs, _ = _fs(spark, path)
     for folder in sorted(folders):
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder)), True)
 
