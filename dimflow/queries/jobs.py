@@ -99,9 +99,18 @@ UNTIL = "rpt_dt <= DATE '2024-01-20'"
 
 @query("job_scd2_history", f"WITH {FIRST_SEEN % UNTIL} SELECT {SCD2_KEYS} FROM c")
 def _(t):
-    return scd.load_scd2_history(
-        t.snapshot(), ["user_id"], ["event_type"], "rpt_dt", sk="user_sk", until=dt.date(2024, 1, 20), one_row_a_day=True
-    )
+    from dimflow.plans.incremental import backfill_once
+
+    path = t.scratch("history")
+    for until in (dt.date(2024, 1, 20), dt.date(2024, 1, 25)):  # the second run finds the target and writes nothing
+        backfill_once(
+            t.spark,
+            path,
+            lambda: scd.load_scd2_history(
+                t.snapshot(), ["user_id"], ["event_type"], "rpt_dt", sk="user_sk", until=until, one_row_a_day=True
+            ),
+        )
+    return t.spark.read.parquet(path)
 
 
 @query(
@@ -710,6 +719,27 @@ def _(t):
     return pay.build_comp_plan(plans(t), ["plan_wid", "element_wid", "rule"], ["state"])
 
 
+@query(
+    "job_comp_plan_wildcard",
+    f"""WITH seen AS (SELECT o_custkey AS plan_id, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS rule, o_orderpriority AS state,
+      min(CAST(o_orderdate AS DATE)) AS rpt_eff_dt FROM orders GROUP BY ALL),
+    v AS (SELECT *, row_number() OVER (PARTITION BY plan_id, rule ORDER BY rpt_eff_dt DESC, state) AS n FROM seen)
+    SELECT md5(CAST(l.plan_id AS VARCHAR) || '-' || coalesce(l.rule, '') || '-' || CAST(l.rpt_eff_dt AS VARCHAR)) AS comp_plan_sk,
+      l.plan_id, l.rule, l.state, l.rpt_eff_dt, l.rpt_eff_dt AS eff_dt, coalesce(CAST(r.rpt_eff_dt - INTERVAL 1 DAY AS DATE), {OPEN}) AS disc_dt,
+      r.rpt_eff_dt IS NULL AS is_current, md5(l.state) AS dbt_hash
+    FROM v l LEFT JOIN v r ON r.n = l.n - 1 AND r.plan_id = l.plan_id AND (l.rule IS NULL OR r.rule IS NULL OR l.rule = r.rule)""",
+)
+def _(t):
+    """The plan id is always known, so no two plans meet; a null rule fits any."""
+    rows = t.orders.select(
+        F.col("o_custkey").alias("plan_id"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("rule"),
+        F.col("o_orderpriority").alias("state"),
+        F.to_date("o_orderdate").alias("rpt_eff_dt"),
+    )
+    return pay.build_comp_plan(rows, ["plan_id", "rule"], ["state"], null_safe=False)
+
+
 @query(
     "job_role_assignments",
     f"""WITH {SNAP}, {SNAP_VERSIONS}, k AS (SELECT user_id AS u, max(rpt_dt) AS last FROM snap GROUP BY 1)

@@ -172,17 +172,21 @@ def _(t):
 
 @query(
     "snk_json_chunks",
-    "SELECT count(*) AS n_records, CAST(0 AS BIGINT) AS n_over_limit, count(*) AS n_read_back FROM documents",
+    """SELECT doc_id, text, lang, source, n_chars, CAST(0 AS BIGINT) AS n_over_limit,
+      (SELECT count(*) FROM documents) AS n_listed FROM documents""",
 )
 def _(t):
     limit = 2 * S.MEGABYTE
     path = t.scratch("chunks")
     chunks = S.write_json_chunks(t.documents, path, max_mb=2)
     back = read_report_json(t.spark, path, schema=t.documents.schema)
-    return chunks.agg(
-        F.sum("n_records").alias("n_records"),
-        F.count_if((F.col("n_bytes") > limit) & (F.col("n_records") > 1)).alias("n_over_limit"),
-    ).withColumn("n_read_back", back.agg(F.count(F.lit(1))).scalar())
+    listed = chunks.agg(
+        F.struct(
+            F.sum("n_records").alias("n"),
+            F.count_if((F.col("n_bytes") > limit) & (F.col("n_records") > 1)).alias("over"),
+        ).alias("x")
+    ).scalar()
+    return back.withColumns({"n_over_limit": listed["over"], "n_listed": listed["n"]})
 
 
 @query(

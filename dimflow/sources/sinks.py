@@ -111,7 +111,8 @@ def json_chunks(df: DataFrame, *, max_bytes: int = 10 * MEGABYTE, root: str = "R
 
 def even_partitions(df: DataFrame, *, max_bytes: int, fill: float = 0.9) -> DataFrame:
     """Spread rows so that each partition is one chunk's worth and counts are even."""
-    total = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))) + 1)).first()[0] or 0
+    line = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    total = df.agg(F.sum(F.octet_length(line) + 1)).first()[0] or 0
     n = max(1, -(-total // max(1, int(max_bytes * fill))))
     return df.repartition(int(n))
 
