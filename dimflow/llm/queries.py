@@ -13,6 +13,7 @@ from dimflow.llm import (
     html_blocks,
     mixing,
     ngram_join,
+    oracles,
     quality_rules,
     suffix_dedup,
     surrogates,
@@ -45,7 +46,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
-@query("op8_ngram_join")
+@query("op8_ngram_join", oracles.OP8)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of four-word shingles are at least 85 % alike."""
     return ngram_join.similar_documents(read(spark, folder, "documents"))
@@ -83,7 +84,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 PROBE = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
-@query("op5_chat_format")
+@query("op5_chat_format", oracles.OP5)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of every conversation, read back from its tokens and mask."""
     turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -112,14 +113,14 @@ RULES = [
 ]
 
 
-@query("op2_url_filter")
+@query("op2_url_filter", oracles.op2(RULES))
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict of every page's url."""
     rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
     return url_filter.judge(read(spark, folder, "pages"), rules)
 
 
-@query("op6_suffix_dedup")
+@query("op6_suffix_dedup", oracles.OP6)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """What every document loses to strings of 50 bytes in documents before it."""
     return suffix_dedup.remove_repeats(read(spark, folder, "documents"))

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from dimflow.llm.queries import QUERIES
+from dimflow.llm.queries import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -35,3 +35,16 @@ def test_query(spark, name):
     assert set(columns.split()) <= set(df.columns)
     n = df.count()
     assert n == (spark.read.parquet(f"{FOLDER}/{table}.parquet").count() if table else n) and n > 0
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_sql_gives_the_same_rows(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for table in ("documents", "pages", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    want = con.execute(SQL[name])
+    names = [x[0] for x in want.description]
+    df = QUERIES[name](spark, FOLDER)
+    assert sorted(df.columns) == sorted(names)
+    assert sorted(map(repr, (tuple(r) for r in df.select(*names).collect()))) == sorted(map(repr, want.fetchall()))
