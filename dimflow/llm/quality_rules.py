@@ -37,6 +37,15 @@ UNIT = 1000
 THRESHOLD = -0.1
 
 
+def computed_once(condition: Column) -> Column:
+    """The condition as a column that a later filter reads.
+
+    Without the second part, which always holds, the optimizer would put the whole
+    expression into the filter and into its lambdas, and compute it for each element.
+    """
+    return condition & (F.monotonically_increasing_id() >= 0)
+
+
 def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
@@ -177,4 +186,5 @@ def judge(
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass the base rules and the threshold, with their own columns."""
     weights = fit_weights(docs, trusted_ids(labels))
-    return judge(docs, weights).filter("kept").select("row.*")
+    judged = judge(docs, weights)
+    return judged.withColumn("kept", computed_once(F.col("kept"))).filter("kept").select("row.*")

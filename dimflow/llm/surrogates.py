@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimflow.llm.quality_rules import computed_once
 from dimflow.session import stage_table
 
 # Titles by gender.
@@ -218,9 +219,11 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     found = docs.select(F.struct("*").alias("row"))
     matches = F.when(t.rlike(_GATE), F.regexp_extract_all(t, F.lit(_ANY), F.lit(0)))
     found = found.withColumn("matches", matches)
-    none = F.coalesce(F.size("matches") <= 0, F.lit(True))
+    # A column of its own, else the filters below would search each text twice.
+    found = found.withColumn("none", computed_once(F.coalesce(F.size("matches") <= 0, F.lit(True))))
+    none = F.col("none")
     plain = found.filter(none).select("row", t.alias("text"), F.lit(0).cast("bigint").alias("n_entities"))
-    hits = found.filter(~none).withColumn("id", F.monotonically_increasing_id())
+    hits = found.filter(~none).drop("none").withColumn("id", F.monotonically_increasing_id())
     hits = stage_table(hits, "entities")  # the ids hold from here on
     each = hits.select("id", F.posexplode("matches").alias("at", "match"))
     each = each.withColumn("tokens", _tokens(F.col("match")))
