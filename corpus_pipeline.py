@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimflow.llm import decontaminate, mixing, ngram_join, quality_rules, surrogates
@@ -23,12 +23,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id.
 
-    Five words a shingle, a similarity of 0.8. Of rows that share that doc_id one
-    stays; rows without a doc_id stay only if no document has their text's group.
+    Five words a shingle, a similarity of 0.8. Of rows that share that doc_id the one
+    with the smallest hash of its text stays. Rows without a doc_id belong to no group
+    that could be named and stay as they are.
     """
     groups = ngram_join.similar_documents(docs, width=5, percent=80)
     keep = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
+    order = Window.partitionBy("doc_id").orderBy("h", "row.text")
+    kept = docs.join(keep, "doc_id", "left_semi").select(
+        F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("h")
+    )
+    kept = kept.withColumn("at", F.row_number().over(order)).filter(F.col("at") == 1)
+    return kept.select("row.*").unionByName(docs.filter("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

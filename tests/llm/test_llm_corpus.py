@@ -285,10 +285,12 @@ def test_pipeline_keeps_columns_and_decides(spark):
         spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
         assert [n for n, _ in P.STAGES] == ["quality", "near_duplicates", "decontamination", "privacy", "mixture"]
         now = spark.read.parquet(f"{folder}/documents.parquet")
-        for _, stage in P.STAGES[:-1]:
+        for name, stage in P.STAGES[:-1]:
             after = stage(spark, now, folder)
             assert after.columns == docs.columns
-            now = after
+            after.write.parquet(f"{folder}/{name}")
+            now = spark.read.parquet(f"{folder}/{name}")
+        assert {r["doc_id"] for r in now.collect()} == {*range(40), 100, 105}
         out = P.run(spark, folder).collect()
         ids = {r["doc_id"] for r in out}
         assert ids == {*range(40), 100, 105}
