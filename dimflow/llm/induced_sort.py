@@ -20,7 +20,9 @@ import numpy as np
 
 #: Tuples that all spools of a queue hold in memory together; more go to their files.
 IN_MEMORY = 1 << 22
-SPOOLS = 128
+SPOOLS = 1024
+#: Tuples that are looked at together.
+BLOCK = 8192
 
 
 class DiskQueue:
@@ -31,7 +33,7 @@ class DiskQueue:
         self.cuts = cuts[:: max(1, len(cuts) // SPOOLS)] if len(cuts) > SPOOLS else cuts
         self.held = 0
         self.spools: list[list[np.ndarray]] = [[] for _ in range(len(self.cuts) + 1)]
-        self.name = tempfile.mkdtemp(dir=folder)
+        self.name, self.on_disk = tempfile.mkdtemp(dir=folder), set()
 
     def _file(self, k: int) -> str:
         return os.path.join(self.name, str(k))
@@ -50,6 +52,7 @@ class DiskQueue:
         if self.held > IN_MEMORY:
             for k, chunks in enumerate(self.spools):
                 if chunks:
+                    self.on_disk.add(k)
                     with open(self._file(k), "ab") as f:
                         np.concatenate(chunks).tofile(f)
                     chunks.clear()
@@ -58,7 +61,8 @@ class DiskQueue:
     def take(self, k: int) -> np.ndarray:
         """All rows of a spool in the order of their keys, then of arrival."""
         rows = []
-        if os.path.exists(self._file(k)):
+        if k in self.on_disk:
+            self.on_disk.remove(k)
             rows.append(np.fromfile(self._file(k), np.int64).reshape(-1, 2))
             os.remove(self._file(k))
         rows += self.spools[k]
@@ -70,9 +74,8 @@ class DiskQueue:
         return rows[np.argsort(rows[:, 0], kind="stable")]
 
     def close(self) -> None:
-        for k in range(len(self.spools)):
-            if os.path.exists(self._file(k)):
-                os.remove(self._file(k))
+        for k in self.on_disk:
+            os.remove(self._file(k))
         os.rmdir(self.name)
 
 
@@ -102,23 +105,29 @@ def _scan(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, rising: bool,
     queue.push(keys, seeds)
     out = []
     for k in range(len(queue.spools)):
-        rows = queue.take(k)
-        while len(rows):
-            key, p = rows[:, 0], rows[:, 1]
+        rows, later, at = queue.take(k), [], 0
+        while at < len(rows) or later:
+            if at == len(rows):
+                rows, at = later.pop(0), 0
+            key, p = rows[at : at + BLOCK, 0], rows[at : at + BLOCK, 1]
             left = np.maximum(p - 1, 0)
             puts = (p > 0) & (small[left] != rising)
             new = np.where(puts, own_keys(left), np.iinfo(np.int64).max)
             early = np.minimum.accumulate(new) < key
-            m = int(np.argmax(early)) if early.any() else len(rows)
+            m = int(np.argmax(early)) if early.any() else len(key)
             induced = key[:m] % 2 == 0 if rising else key[:m] % 2 != 0
             out.append(p[:m][induced])
             queue.push(new[:m][puts[:m]], left[:m][puts[:m]])
-            rest, more = rows[m:], queue.take(k)
-            if len(more) and len(rest):
-                rows = np.concatenate((rest, more))
-                rows = rows[np.argsort(rows[:, 0], kind="stable")]
+            at += m
+            more = queue.take(k)
+            if not len(more):
+                continue
+            last = later[-1] if later else rows[at:]
+            if not len(last) or more[0, 0] >= last[-1, 0]:
+                later.append(more)
             else:
-                rows = rest if len(rest) else more
+                rows, later, at = np.concatenate((rows[at:], *later, more)), [], 0
+                rows = rows[np.argsort(rows[:, 0], kind="stable")]
     queue.close()
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 

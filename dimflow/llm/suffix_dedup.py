@@ -6,10 +6,10 @@ also starts in a document with a smaller doc_id.
    Neighbours mostly share their name, so a text falls into about one segment for 18
    bytes. Names are counted; only those in two nodes or more can matter.
 3. Segments with such names are dealt to shards by name, so equal strings meet in one.
-   Equal segments of a shard are one. Where a name has different segments, the shard
-   sorts their suffixes by external induced sorting (`induced_sort`); strings that begin
-   neighbouring suffixes and share 50 bytes form a group, and the group's smallest
-   doc_id decides for all.
+   Equal segments of a shard are one. Where a name has different segments, the parts of
+   them whose strings may occur again (by hash) are kept, and their suffixes are sorted
+   by external induced sorting (`induced_sort`); strings that begin neighbouring suffixes
+   and share 50 bytes form a group, and the group's smallest doc_id decides for all.
 4. The decided byte ranges go back to the texts.
 
 The common prefix of two neighbours matters up to 50 bytes only and is compared there,
@@ -43,7 +43,7 @@ NAME_BYTES = 16
 MOST_STRINGS = 200
 #: Names that one counting task holds, and bytes of segments in one shard, about.
 BUCKET_NAMES = 3_000_000
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 4_000_000
 NO_ID = np.iinfo(np.int64).max
 
 CUTS = "bucket int, body binary"
@@ -96,10 +96,11 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
         since = np.arange(len(starts)) - np.repeat(run, np.diff(np.append(run, len(starts))))
         cut = np.flatnonzero(since % MOST_STRINGS == 0)
         sizes = np.diff(np.append(cut, len(starts)))
-        where = np.searchsorted(starts[cut], at)
+        starts, names = starts[cut], names[cut]
+        where = np.searchsorted(starts, at)
         for k in range(last - first):
             own = slice(where[k], where[k + 1])
-            yield starts[cut][own] - at[k], sizes[own], names[cut][own]
+            yield starts[own] - at[k], sizes[own], names[own]
 
 
 def _name_parts(buckets: int):
@@ -257,7 +258,9 @@ def _distinct(rows: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _smallest(first: np.ndarray, low: np.ndarray, rows: np.ndarray, text: np.ndarray, folder: str) -> np.ndarray:
     """For each string of the different segments: the smallest doc_id in which it starts.
 
-    `first` has the rows of those segments, `low` the smallest doc_id of each.
+    `first` has the rows of those segments, `low` the smallest doc_id of each. Where a
+    name has several segments, their strings that occur once in the shard are left as
+    they are, and the pieces of segments that remain are sorted.
     """
     lengths = rows["length"].astype(np.int64)
     begins = np.cumsum(lengths) - lengths
@@ -267,11 +270,57 @@ def _smallest(first: np.ndarray, low: np.ndarray, rows: np.ndarray, text: np.nda
     several = np.flatnonzero(many[like] > 1)
     if not len(several):
         return least
-    size = lengths[first[several]]
+    # Hashes of the strings: equal ones have one hash, so a lone hash is a lone string.
+    own = text[_spread(begins[first[several]], lengths[first[several]])]
+    powers = np.full(len(own), BASE).cumprod()
+    sums = np.zeros(len(own) + 1, U)
+    np.cumsum((own.astype(U) + U(1)) * powers, out=sums[1:])
+    starts = np.cumsum(lengths[first[several]]) - lengths[first[several]]
+    place = _spread(starts, counts[several])
+    back = np.full(len(own), INVERSE).cumprod()
+    hashes = (sums[place + LENGTH] - sums[place]) * back[place]
+    order = np.argsort(hashes)
+    same = hashes[order][1:] == hashes[order][:-1]
+    again = np.zeros(len(hashes), bool)
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
+    # Pieces: runs of strings that occur again, within a segment.
+    segment = np.repeat(several, counts[several])
+    into = _spread(np.cumsum(counts)[several] - counts[several], counts[several])
+    new = again.copy()
+    new[1:] &= ~again[:-1] | (segment[1:] != segment[:-1])
+    begin = np.flatnonzero(new)
+    if not len(begin):
+        return least
+    number = np.cumsum(new) - 1
+    sizes = np.bincount(number[again], minlength=len(begin))
+    pieces = np.zeros(len(begin), SEGMENT)
+    pieces["length"], pieces["name"] = sizes + LENGTH - 1, rows["name"][first[segment[begin]]]
+    said = own[_spread(place[begin], pieces["length"])]
+    head, alike = _distinct(pieces, said)
+    smallest = np.full(len(head), NO_ID)
+    np.minimum.at(smallest, alike, low[segment[begin]])
+    found = _sorted_strings(head, smallest, pieces, said, folder)
+    offsets = np.cumsum(sizes[head]) - sizes[head]
+    least[into[again]] = found[_spread(offsets[alike], sizes)]
+    return least
+
+
+def _sorted_strings(head: np.ndarray, low: np.ndarray, pieces: np.ndarray, said: np.ndarray, folder: str) -> np.ndarray:
+    """As `_smallest`, from the sorted suffixes of the pieces of all names that have several."""
+    size = pieces["length"].astype(np.int64)
+    begins = np.cumsum(size) - size
+    counts = size[head] - LENGTH + 1
+    least = np.repeat(low, counts)
+    _, like, many = np.unique(pieces["name"][head], return_inverse=True, return_counts=True)
+    several = np.flatnonzero(many[like] > 1)
+    if not len(several):
+        return least
+    size = size[head[several]]
     where = np.cumsum(size + 1) - (size + 1)
-    joined = np.ones(int((size + 1).sum()) + 1, np.int64)  # 1 parts the segments, 0 ends the text
+    joined = np.ones(int((size + 1).sum()) + 1, np.int64)  # 1 parts the pieces, 0 ends the text
     joined[-1] = 0
-    joined[_spread(where, size)] = text[_spread(begins[first[several]], size)].astype(np.int64) + 2
+    joined[_spread(where, size)] = said[_spread(begins[head[several]], size)].astype(np.int64) + 2
     order = suffix_array(joined, folder)
     # Of the suffixes only those that begin a string count.
     target = np.full(len(joined), -1, np.int64)

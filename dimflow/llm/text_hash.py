@@ -14,7 +14,7 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 #: Texts of a batch are hashed in slices of about so many bytes, which bounds the memory of a task.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 17
 #: Shingle hashes have 56 bits, so that seven bytes hold one.
 GRAM_SHIFT = U(8)
 BASE = U(0x9E3779B97F4A7C15)
