@@ -307,7 +307,8 @@ def link_classes(postings: DataFrame, profiles: DataFrame, percent: int) -> Data
 
     Turns with pivots take as many pairs as there are postings, times a constant, and
     leave few links between components; the last turn takes all pairs of different
-    components that share a prefix shingle and pass the filters.
+    components that share a prefix shingle and pass the filters. There is none where
+    no shingle has nodes of different components left.
     """
     spark = postings.sparkSession
     edges = spark.createDataFrame([], "a long, b long")
@@ -320,7 +321,9 @@ def link_classes(postings: DataFrame, profiles: DataFrame, percent: int) -> Data
             many = now.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"))
             now = stage_table(now.join(many.filter("x <> y").select("gram"), "gram", "left_semi"), "postings")
             before, apart = apart, now.select("component").distinct().count()
-            last = before is not None and (before - apart) * WORTHWHILE < before
+            if not apart:
+                return parts
+            last = before is not None and (before - apart) * WORTHWHILE <= before
         x = (now if last else _pivots(now, turn)).alias("x")
         y = now.alias("y")
         order = F.col("x.h") < F.col("y.h") if last else F.col("x.h") != F.col("y.h")
