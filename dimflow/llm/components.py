@@ -20,8 +20,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     pairs = stage_table(_ordered(pairs), "edges")
     while True:
         pairs = stage_table(_small_star(_large_star(pairs)), "edges")
-        # Done when the edges are stars around smaller nodes: no lower end is an upper end.
-        if pairs.select(F.col("v").alias("u")).join(pairs, "u", "left_semi").isEmpty():
+        # Done when the edges are stars around smaller nodes: no lower end is an upper end, no upper end has two lower ones.
+        ends = pairs.select("u", F.lit(1).alias("up")).union(pairs.select(F.col("v").alias("u"), F.lit(0)).distinct())
+        if ends.groupBy("u").agg(F.sum("up").alias("up"), F.min("up").alias("low")).filter("up > low").isEmpty():
             break
     members = pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("component"))
