@@ -5,7 +5,8 @@ access keys and assigned secrets, and names after a title. Each distinct entity
 one surrogate, derived from a key, so every mention of it reads alike whatever its
 spelling (case of an address, separators of a number, title of a name). Surrogates
 are checked: where two entities of a kind meet in one, or one equals a real entity,
-all but the first are derived anew until all differ.
+all but the first are derived anew until all differ. A form with too few values for
+that (three digits after a country code) has its entities exchanged among each other.
 
 Only entities are shuffled, and only rows that hold one are joined; texts without
 any pass by. Built-in functions only.
@@ -171,15 +172,47 @@ def _surrogate(key: str) -> Column:
     )
 
 
+#: Attempts after which the entities of a form that still lacks surrogates are exchanged.
+ATTEMPTS = 20
+
+
+def _form() -> Column:
+    """What a surrogate has in common with its entity: the class of each character, or being hexadecimal."""
+    own, classes = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0" * 10 + "a" * 26 + "A" * 26
+    is_hex = (F.col("kind") == "secret") & F.col("normal").rlike("^[0-9a-f]{6,64}$")
+    return F.when(is_hex, F.concat(F.lit("hex "), F.length("normal").cast("string"))).otherwise(
+        F.translate("normal", own, classes)
+    )
+
+
+def _exchanged(entities: DataFrame, key: str) -> DataFrame:
+    """Each entity with the next one of its form, in keyed order, as its surrogate.
+
+    Forms have two entities at least, so none keeps its own. Country codes are kept,
+    but for a code that a single entity of its form has.
+    """
+    sizes = entities.groupBy("kind", "form", "gender").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("kind", "form").agg(F.max_by("gender", F.struct("n", "gender")).alias("most"))
+    ring = F.when(F.col("n") > 1, F.col("gender")).otherwise(F.col("most"))
+    rings = sizes.join(most, ["kind", "form"]).select("kind", "form", "gender", ring.alias("ring"))
+    group = Window.partitionBy("kind", "form", "ring").orderBy(_digest(key, F.lit("ring")), "normal")
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    following = F.coalesce(F.lead("normal").over(group), F.first("normal").over(whole))
+    return entities.join(rings, ["kind", "form", "gender"]).select("kind", "normal", following.alias("surrogate"))
+
+
 def assign(entities: DataFrame, key: str) -> DataFrame:
-    """`kind`, `normal`, `surrogate` of distinct entities; no two of a kind get one surrogate, and none a real entity.
+    """`kind`, `normal`, `surrogate` of distinct entities; no two of a kind get one surrogate, and none its own value.
 
-    An entity that has its surrogate keeps it: those derived anew come after it.
+    An entity that has its surrogate keeps it: those derived anew come after it. No
+    surrogate is a real entity, except in forms that hold too few values: where some
+    of a form still lack one after ATTEMPTS, all entities of that form are exchanged.
     """
     own = entities.groupBy("kind", "normal").agg(F.min("gender").alias("gender"))
     now = stage_table(own.withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(key)), "entities")
     real = now.select("kind", F.col("normal").alias("surrogate"), F.lit(True).alias("real"))
     order = Window.partitionBy("kind", "surrogate").orderBy("attempt", "normal")
+    attempts, exchanged = 0, None
     while True:
         ranked = now.join(real, ["kind", "surrogate"], "left").withColumn(
             "again", (F.row_number().over(order) > 1) | F.col("real").isNotNull()
@@ -187,7 +220,16 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         ranked = stage_table(ranked.drop("real"), "entities")
         # A one-word name of a list can be a real one too; only more syllables part them.
         if ranked.filter("again").isEmpty():
-            return ranked.select("kind", "normal", "surrogate")
+            done = ranked.select("kind", "normal", "surrogate")
+            return done.unionByName(exchanged) if exchanged is not None else done
+        attempts += 1
+        if attempts == ATTEMPTS:
+            formed = ranked.filter("kind not in ('first', 'last')").withColumn("form", _form())
+            forms = formed.groupBy("kind", "form").agg(F.count("*").alias("n"), F.bool_or("again").alias("short"))
+            short = stage_table(forms.filter("short and n > 1").select("kind", "form"), "forms")
+            exchanged = stage_table(_exchanged(formed.join(short, ["kind", "form"], "left_semi"), key), "exchanged")
+            ranked = ranked.join(exchanged.select("kind", "normal"), ["kind", "normal"], "left_anti")
+            ranked = stage_table(ranked, "entities")
         moved = ranked.filter("again").withColumn("attempt", F.col("attempt") + 1).withColumn("surrogate", _surrogate(key))
         now = ranked.filter("not again").unionByName(moved).drop("again")
 
