@@ -18,6 +18,7 @@ from dimflow.llm import (
     suffix_dedup,
     surrogates,
     token_counts,
+    token_files,
     url_filter,
 )
 from dimflow.session import tune
@@ -124,3 +125,13 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """What every document loses to strings of 50 bytes in documents before it."""
     return suffix_dedup.remove_repeats(read(spark, folder, "documents"))
+
+
+@query("op13_token_files")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as read back from the corpus' token files."""
+    import public_tokenizers
+
+    docs = read(spark, folder, "documents")
+    files = token_files.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_documents(files, docs.schema["doc_id"].dataType.simpleString())
