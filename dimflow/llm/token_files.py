@@ -21,6 +21,7 @@ written in a text are encoded as the library does by default. Other columns aren
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,119 +39,160 @@ from dimflow.session import scratch_path, stage_table
 END_ID = 0
 #: A shard ends after the document that reaches so many ids.
 SHARD_IDS = 1 << 22
-#: Units that a worker remembers the ids of.
-UNITS = 1_000_000
+#: Units that a worker remembers the ids of, in some 40 bytes each.
+UNITS = 2_000_000
 #: Texts of about so many bytes are encoded at once.
-SLICE_BYTES = 1 << 24
+SLICE_BYTES = 1 << 23
 #: White space in any of the definitions that the libraries use.
 _WHITE = r"\s\v\x1c-\x1f\x{85}\x{180e}\x{feff}\p{Z}"
 UNSAFE_SPACE = rf"[{_WHITE}] | [{_WHITE}]"
+SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: Characters that all libraries put into the same class: letters, digits, and marks but the apostrophe.
+_LETTER, _DIGIT, _MARK = r"A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}", "0-9", r"!-&(-/:-@\[-`{-~"
+SIMPLE = rf"^[{_LETTER}{_DIGIT}{_MARK}]+(?:\n[{_LETTER}{_DIGIT}{_MARK}]+)*$"
+#: In a simple unit a token of the pattern ends where the class changes.
+BETWEEN_LETTERS = rf"([{_MARK}]+|[{_DIGIT}]+|\n)"
+CUT = "\x01"
+#: A space, as the vocabulary writes it.
+SPACE = "\u0120"
+#: Tells the hashes of units without a space in front from the others.
+BARE = 0x5DEECE66D
+
 
 
 class Encoder:
-    """Ids of texts under a byte-level BPE file of the tokenizers library."""
+    """Ids of texts under a byte-level BPE file of the tokenizers library.
+
+    Known units are found by two 64-bit hashes, in arrays sorted by the first; a unit
+    whose first hash belongs to another one is encoded anew each time.
+    """
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.bpe = Tokenizer.from_file(vocabulary)
         size = self.bpe.get_vocab_size(with_added_tokens=True)
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
-        self.after_space = np.array([(self.bpe.id_to_token(k) or "").startswith("Ġ") for k in range(size)])
+        self.special = [x.content for x in self.bpe.get_added_tokens_decoder().values()]
+        self.after_space = np.array([(self.bpe.id_to_token(k) or "").startswith(SPACE) for k in range(size)])
+        # For units whose parts are known, with a CUT between them.
+        self.parts = Tokenizer.from_file(vocabulary)
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.parts.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(CUT), as_bytes])
         self._forget()
 
     def _forget(self) -> None:
-        self.slots: dict[str, int] = {}
-        self.flat = np.zeros(0, self.kind)
-        self.ends = np.zeros(1, np.int64)
-        self.uses = np.zeros(0, np.uint8)
-
-    def _ids(self, units: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, self.kind) for x in self.bpe.encode_batch_fast(units, add_special_tokens=False)]
-
-    def _learn(self, units: list[str]) -> None:
-        """Encode units that aren't known yet; those of one space, in front, are encoded together."""
-        joined = [x for x in units if x[:1] == " " and len(x) > 1 and x.count(" ") == 1]
-        alone = [x for x in units if not (x[:1] == " " and len(x) > 1 and x.count(" ") == 1)]
-        parts, lengths = [], []
-        if joined:
-            ids = self._ids(["".join(joined)])[0]
-            at = np.flatnonzero(self.after_space[ids])
-            if len(at) == len(joined):
-                parts.append(ids)
-                lengths.append(np.diff(np.append(at, len(ids))))
-            else:
-                alone, joined = joined + alone, []
-        if alone:
-            each = self._ids(alone)
+        self.first, self.second = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.slot = np.zeros(0, np.int32)
+        self.flat, self.ends = np.zeros(0, self.kind), np.zeros(1, np.int64)
+        self.seen = np.zeros(0, bool)
+
+    def _learn(self, units: pa.Array, spaced: bool) -> None:
+        """Add the ids of units to the end of the store; `spaced` ones have a space in front."""
+        simple = pc.match_substring_regex(units, SIMPLE).to_numpy(zero_copy_only=False) & spaced
+        for special in self.special:
+            simple &= ~pc.match_substring(units, special).to_numpy(zero_copy_only=False)
+        plain, alone = np.flatnonzero(simple), np.flatnonzero(~simple)
+        lengths = np.zeros(len(units), np.int64)
+        parts = []
+        if len(plain):
+            cut = pc.replace_substring_regex(units.take(plain), BETWEEN_LETTERS, f"{CUT}\\1{CUT}")
+            lines = pc.ascii_ltrim(cut, CUT).to_pylist()
+            (got,) = self.parts.encode_batch_fast([" " + f"{CUT} ".join(lines)], add_special_tokens=False)
+            parts.append(np.array(got.ids, self.kind))
+            at = np.flatnonzero(self.after_space[parts[0]])
+            lengths[plain] = np.diff(np.append(at, len(parts[0])))
+        if len(alone):
+            each = self.bpe.encode_batch_fast([" " * spaced + x for x in units.take(alone).to_pylist()], add_special_tokens=False)
+            each = [np.array(x.ids, self.kind) for x in each]
+            lengths[alone] = [len(x) for x in each]
             parts += each
-            lengths.append(np.array([len(x) for x in each], np.int64))
-        self.slots.update(zip(joined + alone, range(len(self.ends) - 1, len(self.ends) - 1 + len(units))))
-        self.flat = np.concatenate([self.flat, *parts])
-        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(np.concatenate(lengths))))
-        self.uses = np.concatenate((self.uses, np.zeros(len(units), np.uint8)))
+        order = np.concatenate((plain, alone))
+        ends = np.empty(len(units), np.int64)
+        ends[order] = np.cumsum(lengths[order])
+        flat = np.concatenate([np.zeros(0, self.kind), *parts])
+        self.flat = np.concatenate((self.flat, flat[_ranges(ends - lengths, ends)]))
+        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(lengths)))
+        self.seen = np.concatenate((self.seen, np.zeros(len(units), bool)))
 
     def _keep_common(self) -> None:
-        """Forget the units used in one slice only; all, if that leaves too many."""
-        names, kept = list(self.slots), self.uses > 1
+        """Forget the units met in one slice only; all, if that leaves too many."""
+        kept = self.seen[self.slot]
         if kept.sum() > UNITS // 2:
             return self._forget()
-        slots = np.fromiter(self.slots.values(), np.int64, len(names))
-        names = [x for x, k in zip(names, kept[slots].tolist()) if k]
-        slots = slots[kept[slots]]
+        slots = self.slot[kept].astype(np.int64)
         starts, ends = self.ends[slots], self.ends[slots + 1]
-        self.flat = self.flat[_ranges(starts, ends)]
-        self.ends = np.concatenate(([0], np.cumsum(ends - starts)))
-        self.slots, self.uses = dict(zip(names, range(len(names)))), np.ones(len(names), np.uint8)
+        self.flat, self.ends = self.flat[_ranges(starts, ends)], np.concatenate(([0], np.cumsum(ends - starts)))
+        self.first, self.second = self.first[kept], self.second[kept]
+        self.slot, self.seen = np.arange(len(slots), dtype=np.int32), np.ones(len(slots), bool)
 
-    def _find(self, units: list[str]) -> np.ndarray:
+    def _find(self, units: pa.Array, spaced: bool) -> np.ndarray:
         """Slots of units, all different."""
-        get = self.slots.get
-        if new := [x for x in units if get(x) is None]:
-            self._learn(new)
-        found = np.fromiter(map(self.slots.__getitem__, units), np.int64, len(units))
-        self.uses[found] = np.minimum(self.uses[found], 200) + 1
-        return found
+        names, salt = units.to_pylist(), "s" if spaced else "b"
+        first = np.fromiter(map(hash, names), np.int64, len(units)) ^ (0 if spaced else BARE)
+        second = np.fromiter([hash(x + salt) for x in names], np.int64, len(units))
+        at = np.searchsorted(self.first, first)
+        inside = at < len(self.first)
+        there = np.zeros(len(units), bool)
+        there[inside] = self.first[at[inside]] == first[inside]
+        known = there.copy()
+        known[there] = self.second[at[there]] == second[there]
+        slots = np.empty(len(units), np.int64)
+        slots[known] = self.slot[at[known]]
+        self.seen[slots[known]] = True
+        new = np.flatnonzero(~known)
+        if len(new):
+            slots[new] = np.arange(len(self.ends) - 1, len(self.ends) - 1 + len(new))
+            self._learn(units.take(new), spaced)
+            new = np.flatnonzero(~there)  # those of another unit's hash are not remembered
+            new = new[np.argsort(first[new], kind="stable")]
+            new = new[np.append(True, first[new][1:] != first[new][:-1])] if len(new) else new
+            where = np.searchsorted(self.first, first[new])
+            self.first = np.insert(self.first, where, first[new])
+            self.second = np.insert(self.second, where, second[new])
+            self.slot = np.insert(self.slot, where, slots[new])
+        return slots
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the offsets of each; no null."""
-        import re
-
         rows = pc.split_pattern(texts, " ")
         unsafe = pc.indices_nonzero(pc.match_substring_regex(texts, UNSAFE_SPACE)).to_pylist()
         if unsafe:
             lists = rows.to_pylist()
             for k in unsafe:
-                lists[k] = re.split(r"(?<=\S) (?=\S)", texts[k].as_py())
+                lists[k] = SAFE_SPACE.split(texts[k].as_py())
             rows = pa.array(lists, pa.list_(texts.type))
         at = rows.offsets.to_numpy().astype(np.int64)
         words = rows.flatten().dictionary_encode()
-        at, index = at - at[0], words.indices.to_numpy()
-        names = words.dictionary.to_pylist()
-        first = at[:-1]
-        is_first = np.zeros(len(index), bool)
-        is_first[first] = True
+        at, index, names = at - at[0], words.indices.to_numpy(), words.dictionary
         # The first unit of a text has no space before it.
-        heads, head_of = np.unique(index[first], return_inverse=True)
-        tails = np.unique(index[~is_first])
-        if len(self.slots) + len(heads) + len(tails) > UNITS:
+        heads, head_of = np.unique(index[at[:-1]], return_inverse=True)
+        inner = np.ones(len(index), bool)
+        inner[at[:-1]] = False
+        is_tail = np.zeros(len(names), bool)
+        is_tail[index[inner]] = True
+        tails = np.flatnonzero(is_tail)
+        if len(self.ends) + len(heads) + len(tails) > UNITS:
             self._keep_common()
         slot_of = np.zeros(len(names), np.int64)
-        slot_of[tails] = self._find([" " + names[k] for k in tails.tolist()])
+        slot_of[tails] = self._find(names.take(tails), True)
         slots = slot_of[index]
-        slots[first] = self._find([names[k] for k in heads.tolist()])[head_of]
-        starts, ends = self.ends[slots], self.ends[slots + 1]
-        ids = self.flat[_ranges(starts, ends)]
-        total = np.concatenate(([0], np.cumsum(ends - starts)))
-        return ids, total[at]
+        slots[at[:-1]] = self._find(names.take(heads), False)[head_of]
+        starts = self.ends[slots]
+        lengths = self.ends[slots + 1] - starts
+        total = np.concatenate(([0], np.cumsum(lengths)))
+        return self.flat[_ranges(starts, starts + lengths)], total[at]
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """All whole numbers of the ranges, one range after the other."""
     lengths = ends - starts
     before = np.cumsum(lengths) - lengths
-    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+    kind = np.int32 if len(ends) and max(int(ends.max()), int(lengths.sum())) < 1 << 31 else np.int64
+    out = np.repeat((starts - before).astype(kind), lengths)
+    out += np.arange(len(out), dtype=kind)
+    return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
