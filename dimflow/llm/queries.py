@@ -14,6 +14,7 @@ from dimflow.llm import (
     mixing,
     ngram_join,
     oracles,
+    periodic_runs,
     quality_rules,
     suffix_dedup,
     surrogates,
@@ -135,3 +136,35 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     files = token_files.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return token_files.read_documents(files, docs.schema["doc_id"].dataType.simpleString())
+
+
+def replanted(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of a tenth of the documents, by the checksum of the id, the words from some place on repeat."""
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    said = F.when(F.col("h") % 10 == 0, F.array_remove(F.split("text", quality_rules.SPACE), ""))
+    rows = rows.select("doc_id", "text", F.floor(F.col("h") / 10).alias("g"), said.alias("said"))
+    n = F.size("said")
+    a = F.pmod("g", n).cast("int")
+    rows = rows.withColumn("n", F.when(n > 0, n)).withColumn("a", F.when(n > 0, a))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.pmod("g", F.lit(8)))).cast("int")
+    rows = rows.withColumn("p", period)
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("said", F.col("a") + 1, F.col("p")), times)), F.lit(1), F.col("n") - F.col("a"))
+    text = F.array_join(F.concat(F.slice("said", F.lit(1), F.col("a")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("n").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of every document, the strongest of them, and the text without repeats."""
+    docs = replanted(read(spark, folder, "documents"))
+    found = periodic_runs.find_runs(docs, keep=["doc_id"])
+    found = found.select(
+        "row.doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        periodic_runs.strongest(F.col("runs")).alias("best"),
+        F.sha2(periodic_runs.runs_text(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+    milli = F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli")
+    return found.select("doc_id", "n_runs", "best.start", "best.length", "best.period", milli, "runs_sha256", "collapsed_sha256")

@@ -300,7 +300,8 @@ def _read(kind: str):
 
 def read_documents(files: DataFrame, doc_id: str = "long") -> DataFrame:
     """Every document as the files have it: its first place in the corpus, its length and the checksum of its ids."""
-    rows = files.select("path", "start").repartition("path")
+    # A number of its own, since Spark would put so few bytes into one task.
+    rows = files.select("path", "start").repartition(max(1, files.count()), "path")
     return rows.mapInArrow(_read(doc_id), f"doc_id {doc_id}, start long, n_tokens long, ids_crc32 long")
 
 

@@ -21,6 +21,7 @@ CONTRACT = {
     "op8_ngram_join": ("doc_id n_shingles component_id", "documents"),
     "op9_token_counts": ("doc_id n_tokens", "documents"),
     "op10_quality_rules": ("doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept", "documents"),
+    "op11_periodic_runs": ("doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256", "documents"),
     "op13_token_files": ("doc_id start n_tokens ids_crc32", "documents"),
 }
 
