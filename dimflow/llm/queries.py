@@ -15,6 +15,7 @@ from dimflow.llm import (
     ngram_join,
     oracles,
     periodic_runs,
+    prefix_trie,
     quality_rules,
     suffix_dedup,
     surrogates,
@@ -168,3 +169,12 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     )
     milli = F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli")
     return found.select("doc_id", "n_runs", "best.start", "best.length", "best.period", milli, "runs_sha256", "collapsed_sha256")
+
+
+@query("op12_prefix_trie")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the prefix trie of conversations that begin like the first of their five."""
+    turns, convs = prefix_trie.number_turns(prefix_trie.digest_turns(read(spark, folder, "conversations")))
+    lender = F.col("conv_id") - F.pmod("conv_id", F.lit(5))
+    take = F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(9))
+    return prefix_trie.prefix_trie(*prefix_trie.rebuild(turns, convs, lender, take, 8))

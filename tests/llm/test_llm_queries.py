@@ -22,6 +22,7 @@ CONTRACT = {
     "op9_token_counts": ("doc_id n_tokens", "documents"),
     "op10_quality_rules": ("doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept", "documents"),
     "op11_periodic_runs": ("doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256", "documents"),
+    "op12_prefix_trie": ("conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256", None),
     "op13_token_files": ("doc_id start n_tokens ids_crc32", "documents"),
 }
 
