@@ -1,17 +1,28 @@
 """Quality rules: rule counts of a text and the log-likelihood ratio of its hashed n-grams.
 
-The ratio compares two multinomials over hashed words and word pairs: one of
-trusted target documents, one of the raw corpus. It is divided by the number of
-n-grams, so long and short documents meet the same threshold. Only built-in
-functions run; no text is shuffled.
-
-Defined results: a null text counts as empty; an empty text has zero counts, a
-score of 0 and fails the base rules. Without trusted documents all scores are 0. Repeated rows are judged one by one, each
-alike. Columns beyond the text are passed through untouched, whatever their names.
+The ratio compares two multinomials over hashed words and word pairs: one of trusted
+target documents, one of the raw corpus. Both counts of an n-gram, the one found in the
+target and the one the raw share lets expect there, get the same prior count, so an n-gram
+too rare to tell weighs next to nothing, and what remains below NOISE counts as nothing. A
+document is thus not rejected for words that no trusted one happens to hold, unless the
+corpus has far more of such words than the target's own rare words let expect. The sum is
+divided by the number of n-grams, so long and short documents meet the same threshold.
+
+The trusted documents are dealt in two by a hash of their ids: one half is the target, the
+other is held out and sets the threshold, so that HELD_OUT_LOSS of it is rejected. Both
+are bounded; the raw counts and the verdicts cover every document. Only built-in functions
+run; no text is shuffled.
+
+Defined results: a null text counts as empty; an empty text has zero counts, a score of 0
+and fails the base rules. Without trusted documents all scores are 0. Repeated rows are
+judged one by one, each alike; labels of one doc_id that disagree count as trusted if one
+of them is. Columns beyond the text are passed through untouched, whatever their names.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,15 +37,19 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 #: Buckets of the hashed n-grams.
-BUCKETS = 1 << 15
-#: Share of a uniform multinomial over the buckets that is mixed into both.
-SMOOTHING = 0.01
+BUCKETS = 1 << 17
+#: Count added to what an n-gram has in the target, and to what it should have.
+PRIOR = 2.0
+#: Weights of less than so many nats either way count as 0.
+NOISE = 1.0
 #: At most so many trusted documents are fitted on (those with the smallest hashes of their ids).
 MAX_TRUSTED = 20_000
 #: Weights are whole numbers of 1/UNIT nats, so that sums don't depend on their order.
 UNIT = 1000
-#: Mean log-likelihood ratio, in nats an n-gram, below which a document is rejected.
-THRESHOLD = -0.1
+#: Share of the trusted documents held out from the fit that the threshold rejects.
+HELD_OUT_LOSS = 0.03
+#: The threshold, in nats an n-gram, is this at most, however well the held-out documents score.
+HIGHEST = -0.01
 
 
 def computed_once(condition: Column) -> Column:
@@ -134,57 +149,86 @@ def trusted_ids(labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
+def _half(doc_id: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(doc_id), F.lit("half")), F.lit(2))
+
+
 def fit_weights(
-    docs: DataFrame, trusted: DataFrame, text: str = "text", doc_id: str = "doc_id", buckets: int = BUCKETS
+    docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str = "doc_id", buckets: int = BUCKETS
 ) -> DataFrame:
     """One row per bucket seen: its log-likelihood ratio of target against raw, in 1/UNIT nats.
 
-    `trusted` must be bounded (see `trusted_ids`): it is broadcast. The raw counts
-    cover every document; each task sends one row per bucket.
+    `target`, ids of documents, must be bounded (see `trusted_ids`): it is broadcast. The
+    raw counts cover every document; each task sends one row per bucket.
     """
-    ids = trusted.select(F.col(trusted.columns[0]).alias("trusted_id"))
+    ids = target.select(F.col(target.columns[0]).alias("target_id"))
     rows = docs.select(F.col(doc_id).alias("id"), _word_hashes(F.col(text)).alias("hashes"))
-    rows = rows.join(F.broadcast(ids), F.col("id") == F.col("trusted_id"), "left")
+    rows = rows.join(F.broadcast(ids), F.col("id") == F.col("target_id"), "left")
     grams = rows.select(
-        F.col("trusted_id").isNotNull().cast("bigint").alias("target"),
+        F.col("target_id").isNotNull().cast("bigint").alias("target"),
         F.explode(_features(F.col("hashes"), buckets)).alias("bucket"),
     )
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("target").alias("target"))
     counts = stage_table(counts, "grams")  # read twice: for the totals and for the shares
-    totals = counts.groupBy().agg(F.array(F.sum("raw"), F.sum("target")).alias("totals")).scalar()
+    once = F.count_if(F.col("target") == 1)
+    totals = counts.groupBy().agg(F.array(F.sum("raw"), F.sum("target"), once).alias("totals")).scalar()
+
+    def ratio(target: Column, raw: Column) -> Column:
+        return F.log((target + PRIOR) / (raw * totals[1] / totals[0] + PRIOR))
+
+    own = ratio(F.col("target"), F.col("raw"))
+    # What the target doesn't have and is too rare to tell counts together; the target
+    # should have as much of it as it has n-grams that occur once (Good and Turing).
+    unseen = (F.col("target") == 0) & (F.abs(own) < NOISE)
+    together = ratio(totals[2], counts.filter(unseen).agg(F.sum("raw")).scalar())
+    chosen = F.when(unseen, F.coalesce(together, F.lit(0.0))).otherwise(own)
+    # Without any target document there is no ratio: all weights are 0.
+    weight = F.when((totals[1] > 0) & (F.abs(chosen) >= NOISE), F.round(chosen * UNIT)).otherwise(0.0)
+    return counts.select("bucket", weight.cast("bigint").alias("weight"))
 
-    def log_share(count: str, total: Column) -> Column:
-        return F.log(F.col(count) / total + SMOOTHING / buckets)
 
-    ratio = log_share("target", totals[1]) - log_share("raw", totals[0])
-    # Without any trusted document there is no ratio: all weights are 0.
-    weight = F.when(totals[1] > 0, F.round(ratio * UNIT)).otherwise(0.0)
-    return counts.select("bucket", weight.cast("bigint").alias("weight"))
+@dataclass(frozen=True)
+class Fit:
+    """Weights by bucket, in 1/UNIT nats, and the threshold of the mean."""
 
+    weights: list[int]
+    threshold: float
 
-def judge(
-    df: DataFrame, weights: DataFrame, text: str = "text", buckets: int = BUCKETS, threshold: float = THRESHOLD
-) -> DataFrame:
+
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", buckets: int = BUCKETS) -> Fit:
+    """Weights from one half of the trusted documents, the threshold from the other."""
+    trusted = trusted_ids(labels)
+    half = _half("doc_id")
+    weights = [0] * buckets
+    for bucket, weight in fit_weights(docs, trusted.filter(half == 0), text, doc_id, buckets).filter("weight <> 0").collect():
+        weights[bucket] = weight
+    ids = trusted.filter(half == 1).select(F.col("doc_id").alias("held_id"))
+    held = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    held = held.join(F.broadcast(ids), F.col("id") == F.col("held_id"), "left_semi").select("text")
+    scores = judge(held, Fit(weights, 0.0)).filter("not base_failed")
+    low = scores.agg(F.percentile("score", F.lit(HELD_OUT_LOSS))).first()[0]
+    return Fit(weights, HIGHEST if low is None else min(HIGHEST, low))
+
+
+def judge(df: DataFrame, fitted: Fit, text: str = "text") -> DataFrame:
     """`df` as the struct `row` with rule counts, `score`, `base_failed` and `kept`.
 
-    The weights, `buckets` whole numbers at any corpus size, reach the tasks as one
+    The weights, one number a bucket at any corpus size, reach the tasks as one
     constant array.
     """
-    dense = [0] * buckets
-    for bucket, weight in weights.collect():
-        dense[bucket] = weight
-    table = F.split(F.lit(",".join(map(str, dense))), ",").cast("array<bigint>")
+    buckets = len(fitted.weights)
+    table = F.split(F.lit(",".join(map(str, fitted.weights))), ",").cast("array<bigint>")
     df = rule_counts(df, text)
     total = F.aggregate(
         _features(F.col("hashes"), buckets), F.lit(0).cast("bigint"), lambda acc, b: acc + F.get(table, b)
     )
     grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     df = df.withColumn("score", total / grams / UNIT).drop("hashes")
-    return df.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    kept = ~F.col("base_failed") & (F.col("score") >= fitted.threshold)
+    # Filters on the result must not be put into the expressions above.
+    return df.withColumns({"base_failed": computed_once(F.col("base_failed")), "kept": computed_once(kept)})
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass the base rules and the threshold, with their own columns."""
-    weights = fit_weights(docs, trusted_ids(labels))
-    judged = judge(docs, weights)
-    return judged.withColumn("kept", computed_once(F.col("kept"))).filter("kept").select("row.*")
+    return judge(docs, fit(docs, labels)).filter("kept").select("row.*")

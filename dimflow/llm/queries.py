@@ -59,8 +59,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Rule counts and verdict of every document."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    trusted = quality_rules.trusted_ids(read(spark, folder, "labels"))
-    judged = quality_rules.judge(docs, quality_rules.fit_weights(docs, trusted))
+    judged = quality_rules.judge(docs, quality_rules.fit(docs, read(spark, folder, "labels")))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("row.doc_id", *counts, "base_failed", "kept", "score")
 

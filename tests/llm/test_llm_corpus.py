@@ -284,6 +284,15 @@ def test_pipeline_keeps_columns_and_decides(spark):
         spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
         spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
         assert [n for n, _ in P.STAGES] == ["quality", "near_duplicates", "decontamination", "privacy", "mixture"]
+        now, left = spark.read.parquet(f"{folder}/documents.parquet"), []
+        for name, stage in P.STAGES[:-1]:
+            after = stage(spark, now, folder)
+            assert after.columns == docs.columns
+            after.write.parquet(f"{folder}/{name}")
+            now = spark.read.parquet(f"{folder}/{name}")
+            left.append({r["doc_id"] for r in now.collect()})
+        clean = {*range(40), 100, 105}
+        assert left == [clean | {101, 102, 103}, clean | {103}, clean, clean]
         result = P.run(spark, folder)
         assert result.columns == [*docs.columns, "mix_block", "mix_slot"]
         out = result.collect()
