@@ -68,14 +68,14 @@ def correct_cost_center(col: Col, default: str | None = None) -> Column:
     """
     c = _c(col)
     block = F.trim(F.substring(c, 8, 4))
-    zeroed = F.concat(F.substring(c, 1, 7), F.lit("0000"), F.substring(c, 12, 1000))
+    zeroed = F.concat(F.substring(c, 1, 7), F.lit("0000"), F.substr(c, F.lit(12)))
     return F.when(c.isNull(), F.lit(default)).when((block < "1000") | (block == "ARCH"), zeroed).otherwise(c)
 
 
 def strip_code_prefix(col: Col) -> Column:
     """Drop a leading four-character code from a value that starts with a digit."""
     c = _c(col)
-    return F.when(c.rlike("^[0-9]"), F.trim(F.substring(c, 5, 200))).otherwise(c)
+    return F.when(c.rlike("^[0-9]"), F.trim(F.substr(c, F.lit(5)))).otherwise(c)
 
 
 def tagged_value(col: Col, tag: str, end: str = ";") -> Column:

@@ -8,6 +8,7 @@ shuffle join whose oversized partitions adaptive execution splits.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -52,6 +53,58 @@ def _bucket(col: Column, days: int) -> Column:
     return F.floor(F.datediff(col, F.lit(EPOCH).cast("date")) / days).cast("long")
 
 
+@dataclass(frozen=True)
+class AsOf:
+    """One dated lookup: the version of a dimension row that is valid on a fact's date."""
+
+    dim: DataFrame
+    on: On
+    date_col: str
+    sk: str
+    out: str | None = None
+    eff: str = "eff_dt"
+    disc: str = "disc_dt"
+    default: str | None = UNKNOWN
+
+    @property
+    def name(self) -> str:
+        return self.out or self.sk
+
+
+def version_index(look: AsOf, keys: list[Column]) -> DataFrame:
+    """One row per key: its versions in the order of their starts, and the steps of a search in them.
+
+    ``keys`` are the key columns as the fact has them. Of versions that begin on one day
+    the one with the largest key stands, so a key has one version a day at most.
+    """
+    eff, disc = F.col(look.eff).cast("date"), F.col(look.disc).cast("date")
+    side = look.dim.select(*keys, eff.alias("eff"), F.struct(F.col(look.sk).alias("sk"), disc.alias("disc")).alias("version"))
+    names = side.columns[: len(keys)]
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in names])
+    days = side.filter(known & (F.col("eff") <= F.col("version.disc"))).groupBy(*names, "eff").agg(F.max("version").alias("v"))
+    # Grouped by one value more, always 0, this side isn't dealt out as the join needs it: the
+    # join's own shuffles are those that adaptive execution can split.
+    listed = days.groupBy(*names, F.pmod(F.xxhash64(*names), F.lit(1)).alias("__zero")).agg(
+        F.sort_array(F.collect_list(F.struct("eff", "v.sk", "v.disc"))).alias("__versions")
+    )
+    listed = listed.drop("__zero")
+    top = F.floor(F.log2(F.size("__versions"))).cast("int")
+    steps = F.transform(F.sequence(top, F.lit(0), F.lit(-1)), lambda b: F.pow(F.lit(2), b).cast("int"))
+    return listed.withColumn("__steps", steps)
+
+
+def _valid(at: Column) -> Column:
+    """Surrogate key of the version valid on a day, by binary search for the last one begun by then."""
+    versions = F.col("__versions")
+
+    def step(begun: Column, more: Column) -> Column:
+        reached = F.get(versions, begun + more - 1)["eff"] <= at
+        return F.when(F.coalesce(reached, F.lit(False)), begun + more).otherwise(begun)
+
+    last = F.get(versions, F.aggregate("__steps", F.lit(0), step) - 1)
+    return F.when(last["disc"] >= at, last["sk"])
+
+
 def lookup_asof(
     fact: DataFrame,
     dim: DataFrame,
@@ -63,10 +116,79 @@ def lookup_asof(
     disc: str = "disc_dt",
     out: str | None = None,
     default: str | None = UNKNOWN,
-    bucket_days: int = 365,
 ) -> DataFrame:
     """Surrogate key of the version valid on the fact's date, both ends included; one row per fact row.
 
+    From its start on a version takes the place of those that began before it; of
+    versions that begin on one day the one with the largest key stands. The versions
+    of a key become one row with a sorted array, no longer than the calendar, which the
+    fact meets in an equi join and searches in two's steps. So a small dimension is
+    broadcast and the fact isn't shuffled; for a large one adaptive execution splits the
+    facts of a hot key over tasks.
+    """
+    look = AsOf(dim, on, date_col, sk, out, eff, disc, default)
+    side = version_index(look, [F.col(d).cast(fact.schema[f].dataType).alias(f"__k{i}") for i, (f, d) in enumerate(on.items())])
+    same = reduce(lambda a, b: a & b, [fact[f] == side[f"__k{i}"] for i, f in enumerate(on)])
+    value = _valid(fact[date_col].cast("date"))
+    value = value if default is None else F.coalesce(value, F.lit(default))
+    joined = fact.join(side, same, "left")
+    return joined.select(*[fact[c] for c in fact.columns if c != look.name], value.alias(look.name))
+
+
+def lookup_many(fact: DataFrame, ids: list[str], looks: list[AsOf]) -> DataFrame:
+    """Several dated lookups in one pass over narrow rows; ``ids`` tell the fact's rows apart.
+
+    Each fact row asks once per lookup, with its ids, the key and the date only. All
+    questions meet the versions of all dimensions in one join on lookup and key; the
+    answers come back in one row per fact row and one join. For wide facts and dimensions
+    too large to broadcast: else every ``lookup_asof`` would shuffle whole rows.
+    """
+
+    def key(i: int, cols: list[Column]) -> Column:
+        return F.array(F.lit(str(i)), *[c.cast("string") for c in cols])
+
+    def asked(i: int, look: AsOf) -> Column:
+        cols = [F.col(f) for f in look.on]
+        known = reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
+        return F.struct(F.lit(i).alias("no"), F.when(known, key(i, cols)).alias("key"), F.col(look.date_col).cast("date").alias("at"))
+
+    asks = fact.select(*ids, F.explode(F.array(*[asked(i, x) for i, x in enumerate(looks)])).alias("ask"))
+    asks = asks.select(*ids, "ask.*").filter("key is not null and at is not null")
+    sides = []
+    for i, look in enumerate(looks):
+        # Keys are compared in the fact's type, as in a lookup of its own.
+        cols = [F.col(d).cast(fact.schema[f].dataType) for f, d in look.on.items()]
+        known = reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
+        text = AsOf(look.dim.withColumn("__text", F.col(look.sk).cast("string")), look.on, look.date_col, "__text", None, look.eff, look.disc)
+        sides.append(version_index(text, [F.when(known, key(i, cols)).alias("key")]))
+    met = asks.join(reduce(DataFrame.unionByName, sides), "key")
+    met = met.select(*ids, "no", _valid(F.col("at")).alias("sk"))
+    answers = [F.max(F.when(F.col("no") == i, F.col("sk"))).alias(f"__a{i}") for i in range(len(looks))]
+    answered = met.groupBy(*[F.col(c).alias(f"__i{n}") for n, c in enumerate(ids)]).agg(*answers)
+    same = reduce(lambda a, b: a & b, [fact[c].eqNullSafe(answered[f"__i{n}"]) for n, c in enumerate(ids)])
+    found = {}
+    for i, look in enumerate(looks):
+        value = F.col(f"__a{i}").cast(look.dim.schema[look.sk].dataType)
+        found[look.name] = value if look.default is None else F.coalesce(value, F.lit(look.default))
+    joined = fact.join(answered, same, "left")
+    return joined.select(*[fact[c] for c in fact.columns if c not in found], *[v.alias(n) for n, v in found.items()])
+
+
+def lookup_asof_pass(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: On,
+    date_col: str,
+    sk: str,
+    *,
+    eff: str = "eff_dt",
+    disc: str = "disc_dt",
+    out: str | None = None,
+    default: str | None = UNKNOWN,
+    bucket_days: int = 365,
+) -> DataFrame:
+    """As ``lookup_asof``, without a join: for keys with too many versions for one array.
+
     From its start on a version takes the place of those that began before it; of
     versions that begin on one day the one with the largest key stands. Facts and
     version starts are read in one sorted pass per key and time bucket that carries

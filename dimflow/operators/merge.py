@@ -63,8 +63,8 @@ def wider(a, b):
             return DoubleType()
         return max(a, b, key=lambda t: _RANK.index(type(t)))
     if isinstance(a, DecimalType) or isinstance(b, DecimalType):
-        if isinstance(a, (FloatType, DoubleType)) or isinstance(b, (FloatType, DoubleType)):
-            return DoubleType()
+        if isinstance(a, fractions) or isinstance(b, fractions):
+            raise NoCommonType(f"{a.simpleString()} and {b.simpleString()}: cast one side first")
 
         def parts(t):
             if isinstance(t, DecimalType):
@@ -154,24 +154,46 @@ def scd2_merge(
     target, source = align_schema(target, source)
     if check:
         require_unique(source, keys)
-    is_open = F.col(disc) == open_end()
+    how = dict(hash_col=hash_col, disc=disc)
+    closed = close_versions(target, source, keys, source_eff=source_eff, current=current, **how)
+    return closed.unionByName(new_versions(target, source, keys, **how))
+
+
+def close_versions(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    *,
+    hash_col: str = "dbt_hash",
+    source_eff: str = "rpt_eff_dt",
+    disc: str = "disc_dt",
+    current: str = "is_current",
+) -> DataFrame:
+    """The target with those open versions closed whose key arrives with another hash."""
     side = source.select(
         *[F.col(k).alias(f"__s_{k}") for k in keys],
         F.col(hash_col).alias("__s_hash"),
         F.col(source_eff).cast("date").alias("__s_eff"),
     )
     cond = reduce(lambda a, b: a & b, [target[k] == side[f"__s_{k}"] for k in keys])
-    joined = target.join(side, cond & is_open, "left")
+    joined = target.join(side, cond & (F.col(disc) == open_end()), "left")
     closes = F.col("__s_hash").isNotNull() & (F.col("__s_hash") != F.col(hash_col))
-    rewritten = joined.withColumns(
+    return joined.withColumns(
         {
             disc: F.when(closes, day_before("__s_eff")).otherwise(F.col(disc)),
             current: F.when(closes, F.lit(False)).otherwise(F.col(current)),
         }
     ).select(*target.columns)
+
+
+def new_versions(
+    target: DataFrame, source: DataFrame, keys: list[str], *, hash_col: str = "dbt_hash", disc: str = "disc_dt"
+) -> DataFrame:
+    """The source rows whose key has no open version with the same hash."""
     same = [*keys, hash_col]
+    is_open = F.col(disc) == open_end()
     standing = target.filter(is_open).select(*same).join(source.select(*same), same, "left_semi").distinct()
-    return rewritten.unionByName(source.join(standing, same, "left_anti"))
+    return source.join(standing, same, "left_anti")
 
 
 def delete_insert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

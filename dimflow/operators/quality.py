@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.operators.windows import latest_per_key
+from dimflow.session import stage_table
 
 
 def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -38,27 +39,24 @@ def dedupe_intervals(df: DataFrame, sk: str, eff: str = "eff_dt", disc: str = "d
     return latest_per_key(df, [sk, eff], [F.col(disc).desc(), *others])
 
 
-def append_sequence(
-    new: DataFrame, target: DataFrame | None, key: str, by: list[str], *, rows_per_bucket: int = 1_000_000
-) -> DataFrame:
-    """Number new rows densely, continuing after the target's largest key.
+def append_sequence(new: DataFrame, target: DataFrame | None, key: str, by: list[str]) -> DataFrame:
+    """Number new rows densely in the order of ``by``, continuing after the target's largest key.
 
-    Rows are hashed into buckets, numbered inside each bucket and shifted by the
-    sizes of the buckets before it; no task sees more than one bucket. ``by``
-    must identify a row, which also makes the numbers repeatable.
+    Rows are sorted over range partitions and stored; a row's number is its place in its
+    partition and the sizes of the partitions before it, one row each. ``by`` must
+    identify a row, which also makes the numbers repeatable.
     """
     start = target.agg(F.max(key)).first()[0] if target is not None else None
-    buckets = max(1, -(-new.count() // rows_per_bucket))
-    hashed = new.withColumn("__b", F.pmod(F.xxhash64(*by), F.lit(buckets)))
-    sizes = hashed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    # One row per bucket: a millionth of the table.
-    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    within = F.row_number().over(Window.partitionBy("__b").orderBy(*by))
-    numbered = hashed.withColumn("__i", within).join(offsets, "__b")
-    return numbered.withColumn(key, F.lit(int(start or 0)) + F.col("__off") + F.col("__i")).select(
-        key, *[c for c in new.columns if c != key]
-    )
+    rows = new.select([c for c in new.columns if c != key or c in by])
+    ranked = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    ranked = stage_table(ranked.withColumn("__at", F.monotonically_increasing_id()), "ranked")
+    part, row = F.shiftright("__at", 33), F.col("__at").bitwiseAND((1 << 33) - 1)
+    sizes = ranked.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    numbered = ranked.withColumn("__part", part).join(offsets, "__part")
+    number = F.lit(int(start or 0)) + F.col("__off") + row + 1
+    return numbered.select(number.alias(key), *[c for c in new.columns if c != key])
 
 
 def reconcile(source_rows: int, written: int, rejected: int = 0) -> None:
@@ -119,5 +117,3 @@ def masks_by_suffix(columns: list[str], suffixes: dict[str, str]) -> dict[str, s
     return {c: p for c in columns for end, p in suffixes.items() if c.lower().endswith(end)}
 
 
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dimflow.functions.keys import surrogate_key
 from dimflow.functions.text import POSITION_IDS, REQUISITION_IDS, distinct_ids, single_or_null
-from dimflow.operators.joins import lookup_asof, lookup_sk, lookup_sk_multi
+from dimflow.operators.joins import AsOf, lookup_asof, lookup_many, lookup_sk, lookup_sk_multi
 from dimflow.operators.merge import merge_upsert
 from dimflow.operators.reshape import stamp
 from dimflow.operators.windows import latest_per_key
@@ -35,7 +35,6 @@ class Lookup:
     eff: str = "eff_dt"
     disc: str = "disc_dt"
     retry: bool = True
-    bucket_days: int = 365
 
     @property
     def name(self) -> str:
@@ -53,12 +52,13 @@ class Lookup:
             eff=self.eff,
             disc=self.disc,
             out=self.name,
-            bucket_days=self.bucket_days,
         )
 
 
 @dataclass(frozen=True)
 class FactSpec:
+    """``narrow``: the dated lookups run in one pass over ids, keys and dates (see ``lookup_many``)."""
+
     pk: str
     pk_cols: list[str]
     event_col: str
@@ -67,6 +67,7 @@ class FactSpec:
     columns: list[str] | None = None
     rec_src: str | None = None
     now: dt.datetime | None = None
+    narrow: bool = False
 
 
 def resolve(rows: DataFrame, spec: FactSpec) -> DataFrame:
@@ -77,8 +78,12 @@ def resolve(rows: DataFrame, spec: FactSpec) -> DataFrame:
     """
     ties = [F.col(c) for c in rows.columns if rows.schema[c].dataType.typeName() not in ("map", "variant")]
     out = latest_per_key(rows, [spec.pk], [*(spec.order or [F.col(spec.event_col).desc()]), *ties])
+    dated = [lk for lk in spec.lookups if spec.narrow and lk.date_col is not None]
+    if dated:
+        looks = [AsOf(lk.dim, lk.on, lk.date_col, lk.sk, lk.name, lk.eff, lk.disc) for lk in dated]
+        out = lookup_many(stage_table(out, spec.pk), [spec.pk], looks)
     for look in spec.lookups:
-        out = look.apply(out)
+        out = out if look in dated else look.apply(out)
     if spec.columns is not None:
         out = out.select(spec.pk, *[lk.name for lk in spec.lookups], *spec.columns)
     return stamp(out, spec.rec_src, spec.now) if spec.rec_src is not None else out

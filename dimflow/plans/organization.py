@@ -44,7 +44,7 @@ def company_rows(company: DataFrame) -> DataFrame:
         F.trim(F.substring(cc, 1, 4)).alias("com_div"),
         F.when(zeroed, F.lit(NO_LOCAL_USE)).otherwise(block).alias("com_local"),
         F.trim(F.substring(cc, 15, 4)).alias("com_dept"),
-        F.when(zeroed, F.concat(F.substring("cc_code", 1, 7), F.lit("0000"), F.substring("cc_code", 12, 1000)))
+        F.when(zeroed, F.concat(F.substring("cc_code", 1, 7), F.lit("0000"), F.substr("cc_code", F.lit(12))))
         .otherwise(F.col("cc_code"))
         .alias("cost_center_cd"),
         correct_cost_center(cc).alias("cost_center_desc"),

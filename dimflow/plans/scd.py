@@ -118,32 +118,92 @@ def build_scd2(
     *,
     sk: str,
     target: DataFrame | None = None,
+    arrived: Column | None = None,
+    done: dt.date | None = None,
     rec_src: str | None = None,
     now: dt.datetime | None = None,
     **how,
 ) -> DataFrame:
-    """Type-2 dimension; with a target, only keys that reported since its mark are rebuilt.
-
-    Rebuilding takes the whole history of those keys, since a new row can end
-    an old version. The target's versions of a rebuilt key that are not built
-    again, as after a late report, are taken out.
+    """Type-2 dimension; with a target, only keys that reported since its mark are touched.
+
+    ``arrived`` tells the rows of the stage that are new in this run, by a load date or a
+    report date, and ``done`` the last day that earlier runs have seen. Then the new days
+    go on from the latest version of their keys and no older row is read, except for keys
+    with a late row, one of a day earlier runs have seen. Without ``arrived``, for states
+    first seen and with gaps, which a version doesn't tell, the whole history of every
+    key that reported is taken. A rebuilt key's versions that are not built again, as
+    after a late report, are taken out of the target.
     """
     if target is None:
         out = type2_versions(stage, key, attrs, date_col, sk=sk, **how)
         return stamp(out, rec_src, now) if rec_src is not None else out
-    changed = since_watermark(stage, target, date_col, date_col)
-    out = type2_versions(history_of_changed_keys(stage, changed, key), key, attrs, date_col, sk=sk, **how)
+    if arrived is None or how.get("method", "islands") != "islands" or how.get("gap_days") is not None:
+        changed = since_watermark(stage, target, date_col, date_col)
+        history = history_of_changed_keys(stage, changed, key)
+        out = type2_versions(history, key, attrs, date_col, sk=sk, **how)
+    else:
+        if done is None:
+            done = stage.filter(~arrived).agg(F.max(F.col(date_col).cast("date"))).first()[0]
+        new, day = stage.filter(arrived), F.col(date_col).cast("date")
+        late = stage_table(new.filter(day <= F.lit(done)).select(*key).distinct(), "late")
+        fresh = new if done is None else new.filter(day > F.lit(done))
+        built = continue_versions(_of_keys(fresh, late, key, "left_anti"), target, key, attrs, date_col, sk=sk, **how)
+        if late.isEmpty():
+            rebuilt = stage_table(stamp(built, rec_src, now) if rec_src is not None else built, sk)
+            return merge.merge_upsert(target, rebuilt, [sk], no_update_cols=("ins_batch_id",))
+        history = type2_versions(_of_keys(stage, late, key, "left_semi"), key, attrs, date_col, sk=sk, **how)
+        fixed = _replace_keys(target, stamp(history, rec_src, now) if rec_src is not None else history, key, sk)
+        rebuilt = stage_table(stamp(built, rec_src, now) if rec_src is not None else built, sk)
+        return merge.merge_upsert(fixed, rebuilt, [sk], no_update_cols=("ins_batch_id",))
     if rec_src is not None:
         out = stamp(out, rec_src, now)
+    return _replace_keys(target, out, key, sk)
+
+
+def _of_keys(df: DataFrame, keys: DataFrame, key: list[str], how: str) -> DataFrame:
+    named = keys.select(*[F.col(k).alias(f"__k_{k}") for k in key])
+    return df.join(named, reduce(lambda a, b: a & b, [df[k].eqNullSafe(named[f"__k_{k}"]) for k in key]), how)
+
+
+def _replace_keys(target: DataFrame, out: DataFrame, key: list[str], sk: str) -> DataFrame:
+    """The target with the keys of ``out`` as they are in ``out``."""
     rebuilt = stage_table(out, sk)
-    keys = rebuilt.select(*[F.col(k).alias(f"__k_{k}") for k in key]).distinct()
     again = rebuilt.select(F.col(sk).alias("__again"))
-    same = reduce(lambda a, b: a & b, [target[k].eqNullSafe(keys[f"__k_{k}"]) for k in key])
-    stale = target.join(keys, same, "left_semi").join(again, F.col(sk) == F.col("__again"), "left_anti").select(sk)
+    of_keys = _of_keys(target, rebuilt.select(*key).distinct(), key, "left_semi")
+    stale = of_keys.join(again, F.col(sk) == F.col("__again"), "left_anti").select(sk)
     kept = target.join(stale, sk, "left_anti")
     return merge.merge_upsert(kept, rebuilt, [sk], no_update_cols=("ins_batch_id",))
 
 
+def continue_versions(
+    fresh: DataFrame,
+    target: DataFrame,
+    key: list[str],
+    attrs: list[str],
+    date_col: str,
+    *,
+    sk: str,
+    order: list[Column | str] | None = None,
+    one_row_a_day: bool = False,
+    method: str = "islands",
+) -> DataFrame:
+    """Versions that new days begin, and the versions these end, from each key's latest version.
+
+    That version stands before the new days as if it were a row of its first day: its
+    state is all that the history says about them. ``fresh`` holds days after all that
+    the target has been built from. Versions that stay as they are aren't returned.
+    """
+    rows = fresh if one_row_a_day else daily(fresh, key, date_col, order or list(attrs))
+    rows = stage_table(rows.select(*key, *attrs, date_col), "days")
+    ranked = [F.col("eff_dt").desc(), F.col(sk).desc()]
+    latest = latest_per_key(_of_keys(target, rows.select(*key).distinct(), key, "left_semi"), key, ranked)
+    latest = stage_table(latest.select(sk, *key, *attrs, date_col, "disc_dt"), "latest")
+    before = latest.select(*key, *attrs, F.col(date_col).cast(rows.schema[date_col].dataType).alias(date_col))
+    out = type2_versions(rows.unionByName(before), key, attrs, date_col, sk=sk, one_row_a_day=True)
+    same = latest.select(F.col(sk).alias("__sk"), F.col("disc_dt").alias("__disc"))
+    return out.join(same, (F.col(sk) == F.col("__sk")) & (F.col("disc_dt") == F.col("__disc")), "left_anti")
+
+
 def load_scd2_history(
     stage: DataFrame,
     key: list[str],

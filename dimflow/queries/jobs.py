@@ -88,9 +88,22 @@ def _(t):
 @query("job_scd2_incremental", f"WITH {SNAP}, {SNAP_VERSIONS} SELECT {SCD2_KEYS} FROM snap_versions")
 def _(t):
     # Loading up to a day and then the rest gives the same table as one full load.
-    snap = t.snapshot()
+    snap, day = t.snapshot(), dt.date(2024, 1, 15)
+    how = dict(sk="user_sk", one_row_a_day=True)
+    first = scd.build_scd2(snap.filter(F.col("rpt_dt") <= F.lit(day)), ["user_id"], ["event_type"], "rpt_dt", **how)
+    how |= dict(arrived=F.col("rpt_dt") > F.lit(day), done=day)
+    return scd.build_scd2(snap, ["user_id"], ["event_type"], "rpt_dt", target=stored(t, first, "scd2"), **how)
+
+
+@query("job_scd2_late_reports", f"WITH {SNAP}, {SNAP_VERSIONS} SELECT {SCD2_KEYS} FROM snap_versions")
+def _(t):
+    # The second run brings the days after the first, and older days of some users that came late.
+    snap, day = t.snapshot(), dt.date(2024, 1, 15)
+    late = (F.pmod("user_id", F.lit(5)) == 0) & (F.dayofmonth("rpt_dt") == 9)
+    arrived = (F.col("rpt_dt") > F.lit(day)) | late
     how = dict(sk="user_sk", one_row_a_day=True)
-    first = scd.build_scd2(snap.filter("rpt_dt <= '2024-01-15'"), ["user_id"], ["event_type"], "rpt_dt", **how)
+    first = scd.build_scd2(snap.filter(~arrived), ["user_id"], ["event_type"], "rpt_dt", **how)
+    how |= dict(arrived=arrived, done=day)
     return scd.build_scd2(snap, ["user_id"], ["event_type"], "rpt_dt", target=stored(t, first, "scd2"), **how)
 
 
@@ -375,7 +388,7 @@ def staff(t):
         F.concat(F.lit("Leave > Own > Reason "), (k % 4).cast("string"), F.lit(" (inactive)")).alias("bp_reason_sens"),
         (k % 2).cast("string").alias("term_eligible_for_rehire_ind_sens"),
         F.date_add(day, 14).alias("term_pay_through_dt"),
-        F.concat(F.lit("w"), F.lpad(k.cast("string"), 12, "0")).alias("overall_bp_wid"),
+        F.concat(F.lit("w"), F.lpad(k.cast("string"), F.greatest(F.length(k.cast("string")), F.lit(12)), F.lit("0"))).alias("overall_bp_wid"),
     )
     return snapshots, events, wid
 
@@ -402,7 +415,7 @@ STAFF = f"""{SNAP}, stage AS (SELECT user_id AS ein, rpt_dt, event_type AS job_c
     QUALIFY row_number() OVER (PARTITION BY h.ein, h.eff_dt ORDER BY e.done DESC NULLS LAST, e.eff DESC NULLS LAST) = 1),
   own AS (SELECT *, CASE WHEN is_rehire = 0 THEN eff END AS td, CASE WHEN is_rehire = 0 THEN done END AS tc,
     CASE WHEN is_rehire = 0 AND event_id IS NOT NULL THEN 'Reason ' || (event_id % 4) END AS tr,
-    CASE WHEN is_rehire = 0 AND event_id IS NOT NULL THEN 'w' || lpad(CAST(event_id AS VARCHAR), 12, '0') END AS tw FROM met),
+    CASE WHEN is_rehire = 0 AND event_id IS NOT NULL THEN 'w' || {padded_sql("event_id", 12)} END AS tw FROM met),
   filled AS (SELECT *, max(td) OVER w AS mtd, max(tc) OVER w AS mtc, max(tr) OVER w AS mtr, max(tw) OVER w AS mtw,
     lead(eff_dt) OVER (PARTITION BY ein ORDER BY eff_dt) AS nxt FROM own WINDOW w AS (PARTITION BY ein ORDER BY eff_dt))"""
 

@@ -49,12 +49,29 @@ def _(t):
       ON v.o_custkey = s.o_custkey AND s.ship_dt BETWEEN v.eff_dt AND v.disc_dt""",
 )
 def _(t):
-    out = J.lookup_asof(
+    out = J.lookup_asof_pass(
         t.shipments(), t.priority_versions(), {"o_custkey": "o_custkey"}, "ship_dt", "cust_sk", bucket_days=365
     )
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "ship_dt", "cust_sk")
 
 
+@query(
+    "jn_lookup_many",
+    f"""WITH {VERSIONS}, {SHIPMENTS}
+    SELECT s.l_orderkey, s.l_linenumber, s.ship_dt, coalesce(v.cust_sk, '-1') AS cust_sk, w.cust_sk AS part_as_cust_sk
+    FROM shipments s LEFT JOIN prio_versions v ON v.o_custkey = s.o_custkey AND s.ship_dt BETWEEN v.eff_dt AND v.disc_dt
+    LEFT JOIN prio_versions w ON w.o_custkey = s.l_partkey AND s.ship_dt BETWEEN w.eff_dt AND w.disc_dt""",
+)
+def _(t):
+    versions = t.priority_versions()
+    looks = [
+        J.AsOf(versions, {"o_custkey": "o_custkey"}, "ship_dt", "cust_sk"),
+        J.AsOf(versions, {"l_partkey": "o_custkey"}, "ship_dt", "cust_sk", out="part_as_cust_sk", default=None),
+    ]
+    out = J.lookup_many(t.shipments(), ["l_orderkey", "l_linenumber"], looks)
+    return out.select("l_orderkey", "l_linenumber", "ship_dt", "cust_sk", "part_as_cust_sk")
+
+
 @query(
     "jn_lookup_roles",
     f"""WITH {SNAP}, moves AS (

@@ -129,6 +129,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def sql_of(name: str) -> str:
+    """The SQL of a query registered before, for another way to the same rows."""
+    return _SQL[name]
+
+
 def _load() -> None:
     for m in MODULES:
         importlib.import_module(f"dimflow.queries.{m}")

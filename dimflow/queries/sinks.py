@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from dimflow.functions.keys import row_hash
 from dimflow.operators import merge as M
-from dimflow.queries.registry import DAYS, latest_orders_sql, query
+from dimflow.queries.registry import DAYS, latest_orders_sql, query, sql_of
 from dimflow.sources import sinks as S
 from dimflow.sources.readers import read_report_json
+from dimflow.sources.tables import VersionedTable
 
 OLD = latest_orders_sql("o_orderdate < DATE '1998-01-01'")
 NEW = latest_orders_sql("o_orderdate >= DATE '1998-01-01'")
@@ -95,20 +96,8 @@ src AS (
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY rpt_dt) = 1)"""
 
 
-@query(
-    "snk_scd2_merge",
-    f"""WITH {SCD_PARTS}, closed AS (
-      SELECT t.o_custkey, t.o_orderpriority, t.rpt_eff_dt,
-        CASE WHEN t.disc_dt = DATE '9999-12-31' AND s.o_orderpriority <> t.o_orderpriority
-          THEN CAST(s.rpt_eff_dt - INTERVAL 1 DAY AS DATE) ELSE t.disc_dt END AS disc_dt
-      FROM tgt t LEFT JOIN src s ON s.o_custkey = t.o_custkey),
-    added AS (SELECT s.o_custkey, s.o_orderpriority, s.rpt_eff_dt, DATE '9999-12-31' AS disc_dt FROM src s
-      WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.o_custkey = s.o_custkey AND t.o_orderpriority = s.o_orderpriority
-        AND t.disc_dt = DATE '9999-12-31')),
-    merged AS (SELECT * FROM closed UNION ALL SELECT * FROM added)
-    SELECT *, disc_dt = DATE '9999-12-31' AS is_current FROM merged""",
-)
-def _(t):
+def scd_sides(t):
+    """Versions up to a day, and each key's first state after it."""
     from dimflow.operators.windows import close_intervals, islands, latest_per_key
 
     days = t.priority_days()
@@ -124,6 +113,24 @@ def _(t):
         F.lit(True).alias("is_current"),
         hashed,
     )
+    return tgt, src
+
+
+@query(
+    "snk_scd2_merge",
+    f"""WITH {SCD_PARTS}, closed AS (
+      SELECT t.o_custkey, t.o_orderpriority, t.rpt_eff_dt,
+        CASE WHEN t.disc_dt = DATE '9999-12-31' AND s.o_orderpriority <> t.o_orderpriority
+          THEN CAST(s.rpt_eff_dt - INTERVAL 1 DAY AS DATE) ELSE t.disc_dt END AS disc_dt
+      FROM tgt t LEFT JOIN src s ON s.o_custkey = t.o_custkey),
+    added AS (SELECT s.o_custkey, s.o_orderpriority, s.rpt_eff_dt, DATE '9999-12-31' AS disc_dt FROM src s
+      WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.o_custkey = s.o_custkey AND t.o_orderpriority = s.o_orderpriority
+        AND t.disc_dt = DATE '9999-12-31')),
+    merged AS (SELECT * FROM closed UNION ALL SELECT * FROM added)
+    SELECT *, disc_dt = DATE '9999-12-31' AS is_current FROM merged""",
+)
+def _(t):
+    tgt, src = scd_sides(t)
     return M.scd2_merge(stored(t, tgt, "versions"), src, ["o_custkey"]).drop("dbt_hash")
 
 
@@ -139,6 +146,36 @@ def _(t):
     return M.delete_insert(rows, source, ["o_custkey"])
 
 
+def table_of(t, rows, key):
+    """A versioned table whose files each hold a range of keys, as an earlier run would have left it."""
+    table = VersionedTable(t.spark, t.scratch("table"))
+    table.overwrite(rows.repartitionByRange(8, key))
+    return table
+
+
+@query("snk_upsert_files", sql_of("snk_upsert"))
+def _(t):
+    table = table_of(t, t.latest_orders(before=SPLIT), "o_custkey")
+    table.upsert(t.latest_orders(since=SPLIT), ["o_custkey"])
+    return table.read()
+
+
+@query("snk_scd2_files", sql_of("snk_scd2_merge"))
+def _(t):
+    tgt, src = scd_sides(t)
+    table = table_of(t, tgt, "o_custkey")
+    table.scd2(src, ["o_custkey"])
+    return table.read().drop("dbt_hash")
+
+
+@query("snk_delete_insert_files", sql_of("snk_delete_insert"))
+def _(t):
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    table = table_of(t, rows, "o_custkey")
+    table.delete_insert(rows.filter("o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("X")), ["o_custkey"])
+    return table.read()
+
+
 @query(
     "snk_partitioned",
     """SELECT event_id, year(ts) AS year, month(ts) AS month, day(ts) AS day FROM events""",
@@ -237,7 +274,7 @@ def _(t):
     ).withColumn("status", F.lit("RUNNING"))
     shaped.write.parquet(path)
     S.set_run_status(t.spark, path, "error", "FAILED", dt.datetime(2024, 2, 1))
-    return t.spark.read.parquet(path).select("run_key", "source_rows", "status")
+    return S.read_audit(t.spark, path).select("run_key", "source_rows", "status")
 
 
 @query(

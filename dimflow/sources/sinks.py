@@ -5,10 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from functools import reduce
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
@@ -19,7 +17,6 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from dimflow.operators.merge import update_from
 from dimflow.operators.quality import dedupe_intervals
 from dimflow.session import stage_table
 
@@ -73,59 +70,43 @@ MEGABYTE = 1024 * 1024
 def json_chunks(df: DataFrame, *, max_bytes: int = 10 * MEGABYTE, root: str = "Report_Entry") -> DataFrame:
     """Rows wrapped into ``{root: [...]}`` documents of at most ``max_bytes``.
 
-    Returns (chunk_id, n_records, document), every input row in exactly one
-    document. Each task fills one document after the other as its rows stream
-    by, so it holds at most one document and nothing is shuffled. A single row
-    larger than the limit gets a document of its own.
+    Returns (chunk_id, n_records, document), every input row in exactly one document.
+    Rows are serialised once and stored; a row's offset is the sum of the bytes before
+    it, in its partition and in those before, one row each. Equal steps of offsets are
+    the documents, a step being the room less the longest row, so no document overflows.
+    A row of more than half the room gets a document of its own, whatever its size.
     """
-    lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("line"))
     frame = len(f'{{"{root}":[]}}')
-
-    def wrap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        made = 0
-
-        def document(held: list[str]) -> pd.DataFrame:
-            nonlocal made
-            made += 1
-            body = f'{{"{root}":[' + ",".join(held) + "]}"
-            return pd.DataFrame({"chunk_id": [f"{part:06d}-{made - 1:05d}"], "n_records": [len(held)], "document": [body]})
-
-        held: list[str] = []
-        size = frame
-        for batch in batches:
-            for line in batch["line"]:
-                n = len(line.encode("utf-8")) + 1
-                if held and size + n > max_bytes:
-                    yield document(held)
-                    held, size = [], frame
-                held.append(line)
-                size += n
-        if held:
-            yield document(held)
-
-    return lines.mapInPandas(wrap, "chunk_id string, n_records long, document string")
-
-
-def even_partitions(df: DataFrame, *, max_bytes: int, fill: float = 0.9) -> DataFrame:
-    """Spread rows so that each partition is one chunk's worth and counts are even."""
-    line = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    total = df.agg(F.sum(F.octet_length(line) + 1)).first()[0] or 0
-    n = max(1, -(-total // max(1, int(max_bytes * fill))))
-    return df.repartition(int(n))
+    room = max(1, max_bytes - frame)
+    lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("line"))
+    lines = lines.withColumn("size", (F.octet_length("line") + 1).cast("bigint")).withColumn("at", F.monotonically_increasing_id())
+    lines = stage_table(lines, "lines").withColumns({"part": F.shiftright("at", 33), "small": 2 * F.col("size") <= room})
+    sizes = lines.groupBy("part").agg(
+        F.coalesce(F.sum(F.when(F.col("small"), F.col("size"))), F.lit(0)).alias("bytes"),
+        F.max(F.when(F.col("small"), F.col("size"))).alias("longest"),
+    )
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("before"))
+    step = F.lit(room) - F.coalesce(sizes.agg(F.max("longest")).scalar(), F.lit(0))
+    within = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum(F.when(F.col("small"), F.col("size"))).over(within), F.lit(0))
+    placed = lines.withColumn("inside", inside).join(starts, "part")
+    chunk = F.floor((F.col("before") + F.col("inside")) / step)
+    # A document's rows are bounded by its bytes, so one task can hold them.
+    kept = placed.withColumn("chunk", F.when(F.col("small"), chunk).otherwise(-1 - F.col("at")))
+    docs = kept.groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("n_records"), F.sort_array(F.collect_list(F.struct("at", "line"))).alias("rows")
+    )
+    number = F.abs("chunk").cast("string")
+    name = F.concat(F.when(F.col("chunk") < 0, "single-").otherwise("chunk-"), F.lpad(number, F.greatest(F.length(number), F.lit(9)), F.lit("0")))
+    body = F.concat(F.lit(f'{{"{root}":['), F.array_join("rows.line", ","), F.lit("]}"))
+    return docs.select(name.alias("chunk_id"), "n_records", body.alias("document"))
 
 
 def write_json_chunks(df: DataFrame, path: str, max_mb: float = 10, *, root: str = "Report_Entry") -> DataFrame:
-    """Write one text file per chunk and return (chunk_id, n_records, n_bytes).
-
-    Rows are dealt round-robin over as many partitions as chunks are needed,
-    so record counts are even; the byte limit is enforced on every file.
-    """
-    limit = int(max_mb * MEGABYTE)
+    """Write one text file per chunk and return (chunk_id, n_records, n_bytes)."""
     # The documents are staged once: the listing below describes the written files.
-    docs = stage_table(json_chunks(even_partitions(df, max_bytes=limit), max_bytes=limit, root=root), "chunks")
+    docs = stage_table(json_chunks(df, max_bytes=int(max_mb * MEGABYTE), root=root), "chunks")
     docs.select("document").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
     return docs.select("chunk_id", "n_records", F.octet_length("document").cast("long").alias("n_bytes"))
 
@@ -254,11 +235,50 @@ def append_audit(spark: SparkSession, path: str, row: dict) -> None:
     spark.createDataFrame([values], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
+def has_audit(spark: SparkSession, path: str, run_key: str) -> bool:
+    if not path_exists(spark, path):
+        return False
+    return not spark.read.schema(AUDIT_SCHEMA).parquet(path).filter(F.col("run_key") == run_key).isEmpty()
+
+
+def count_rows(spark: SparkSession, path: str) -> int:
+    """Rows in the parquet files under a path; 0 where no file was written."""
+    fs, at = _fs(spark, path)
+    found = fs.exists(at) and fs.listFiles(at, True)
+    while found and found.hasNext():
+        if found.next().getPath().getName().endswith(".parquet"):
+            return spark.read.parquet(path).count()
+    return 0
+
+
+STATUS_SCHEMA = StructType(
+    [StructField("run_key", StringType()), StructField("status", StringType()), StructField("updt_tmsp", TimestampType())]
+)
+
+
+def _status_log(path: str) -> str:
+    return f"{path.rstrip('/')}_status"
+
+
 def set_run_status(spark: SparkSession, path: str, key: str, status: str, now: dt.datetime | None = None) -> None:
-    """Set status and update time of one run, other fields untouched."""
+    """Set status and update time of one run, other fields untouched.
+
+    One row is appended to a log beside the audit rows; ``read_audit`` takes the newest of
+    a run. No row is ever written again, so other writers lose nothing.
+    """
+    at = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    spark.createDataFrame([(key, status, at)], STATUS_SCHEMA).coalesce(1).write.mode("append").parquet(_status_log(path))
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """The audit rows, each with the newest status of its run; of changes at one time the largest text."""
     audit = spark.read.schema(AUDIT_SCHEMA).parquet(path)
-    change = spark.createDataFrame(
-        [(key, status, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
-        "run_key string, status string, updt_tmsp timestamp",
-    )
-    publish_swap(update_from(audit, change, ["run_key"], {"status": "status", "updt_tmsp": "updt_tmsp"}), path)
+    if not path_exists(spark, _status_log(path)):
+        return audit
+    log = spark.read.schema(STATUS_SCHEMA).parquet(_status_log(path))
+    newest = log.groupBy("run_key").agg(F.max(F.struct("updt_tmsp", "status")).alias("__s"))
+    joined = audit.join(newest.withColumnRenamed("run_key", "__run"), F.col("run_key") == F.col("__run"), "left")
+    set_ = F.col("__s").isNotNull()
+    return joined.withColumns(
+        {c: F.when(set_, F.col(f"__s.{c}")).otherwise(F.col(c)) for c in ("status", "updt_tmsp")}
+    ).select(*AUDIT_SCHEMA.names)

@@ -30,7 +30,7 @@ def test_bucketed_asof_equals_plain(spark, versions, as_rows, days):
     data = [(i, rng.choice(["a", "b", "z", None]), start + dt.timedelta(rng.randint(0, 60))) for i in range(200)]
     facts = spark.createDataFrame(data, "i int, k string, dt date")
     plain = J.lookup_asof(facts, versions, {"k": "k"}, "dt", "sk")
-    assert as_rows(J.lookup_asof(facts, versions, {"k": "k"}, "dt", "sk", bucket_days=days)) == as_rows(plain)
+    assert as_rows(J.lookup_asof_pass(facts, versions, {"k": "k"}, "dt", "sk", bucket_days=days)) == as_rows(plain)
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -155,11 +155,83 @@ def test_asof_gives_one_row_per_fact(spark, day, as_rows):
     facts = [(1, "a", "2024-01-01"), (2, "a", "2024-01-04"), (3, "a", "2031-07-01"), (4, "n", "2021-06-01"), (5, "n", "2022-03-02"),
              (6, "n", "2023-01-01"), (7, None, "2024-01-01"), (8, "a", None), (9, "z", "2024-01-01"), (9, "z", "2024-01-01"), (10, "a", "2023-12-31")]
     facts = spark.createDataFrame([(i, k, day(d)) for i, k, d in facts], "i int, id string, dt date")
-    for days in (365, 7):
-        out = as_rows(J.lookup_asof(facts, dim, {"id": "id"}, "dt", "sk", bucket_days=days), "i", "sk")
+    ways = [J.lookup_asof_pass(facts, dim, {"id": "id"}, "dt", "sk", bucket_days=days) for days in (365, 7)]
+    many = [J.AsOf(dim, {"id": "id"}, "dt", "sk"), J.AsOf(dim, {"id": "id"}, "dt", "sk", out="sk2", default=None)]
+    two = J.lookup_many(facts.distinct(), ["i"], many)
+    assert two.filter("sk <> coalesce(sk2, '-1')").isEmpty() and two.count() == 10
+    for out in (*ways, J.lookup_asof(facts, dim, {"id": "id"}, "dt", "sk"), two.union(two.filter("i = 9")).drop("sk2")):
+        out = as_rows(out, "i", "sk")
         assert out == sorted([(1, "a2"), (2, "a2"), (3, "a3"), (4, "n1"), (5, "n2"), (6, "-1"), (7, "-1"), (8, "-1"), (9, "-1"), (9, "-1"), (10, "-1")], key=repr)
 
 
+def test_ways_of_dated_lookups_agree(spark, as_rows):
+    """Random overlapping versions, a hot key among them, two key columns of unlike types."""
+    import datetime as dt
+
+    rng, day0 = random.Random(4), dt.date(2020, 1, 1)
+    key = lambda: rng.choice(["hot"] * 5 + ["b", "c", None])
+    dim = []
+    for n in range(300):
+        start = rng.randrange(400)
+        dim.append((key(), rng.randrange(2), day0 + dt.timedelta(start), day0 + dt.timedelta(start + rng.randrange(-2, 60)), f"s{n:03d}"))
+    dim = spark.createDataFrame(dim, "id string, part int, eff_dt date, disc_dt date, sk string")
+    facts = [(i, key(), rng.choice([0, 1, None]), day0 + dt.timedelta(rng.randrange(-5, 480))) for i in range(400)]
+    facts = spark.createDataFrame(facts, "i int, k string, p long, dt date")
+    on = {"k": "id", "p": "part"}
+    want = as_rows(J.lookup_asof_pass(facts, dim, on, "dt", "sk"), "i", "sk")
+    assert as_rows(J.lookup_asof(facts, dim, on, "dt", "sk"), "i", "sk") == want
+    assert as_rows(J.lookup_many(facts, ["i"], [J.AsOf(dim, on, "dt", "sk")]), "i", "sk") == want
+    assert len({x for x in want if x[1] != "-1"}) > 150
+
+
+def test_small_dimension_leaves_the_facts_unshuffled(spark, versions, tmp_path):
+    spark.range(100).select(F.col("id").cast("string").alias("k"), F.current_date().alias("dt")).write.parquet(str(tmp_path / "f"))
+    facts = spark.read.parquet(str(tmp_path / "f"))
+    out = J.lookup_asof(facts, versions, {"k": "k"}, "dt", "sk")
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+
+
+def test_a_hot_key_of_a_large_dimension_is_split(spark, as_rows):
+    """A third of the facts under one key: adaptive execution splits its partition."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.adaptive.coalescePartitions.enabled"]
+    was = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n, v in zip(names, ["-1", "-1", "20k", "10k", "1.5", "false"]):
+            spark.conf.set(n, v)
+        key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+        facts = spark.range(0, 60_000, 1, 8).select("id", key.alias("k"), F.lit("2024-05-05").cast("date").alias("dt"))
+        dim = spark.range(60_000).select(key.alias("k"), F.lit("2024-01-01").cast("date").alias("eff_dt"), F.lit("9999-12-31").cast("date").alias("disc_dt"), F.concat(F.lit("s"), "id").alias("sk"))
+        out = J.lookup_asof(facts, dim, {"k": "k"}, "dt", "sk")
+        assert out.filter("sk = '-1'").count() == 0
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, v in was.items():
+            spark.conf.set(n, v) if v is not None else spark.conf.unset(n)
+
+
+def test_a_thousand_levels_take_few_rounds(spark, day, monkeypatch):
+    from dimflow.operators import hierarchy
+
+    stored = []
+    monkeypatch.setattr(hierarchy, "stage_table", lambda df, name, f=hierarchy.stage_table: stored.append(name) or f(df, name))
+    rows = [(i, max(0, i - 1), day("2024-01-01"), day("9999-12-31")) for i in range(1001)]
+    rows += [(2000, 2001, day("2024-01-01"), day("9999-12-31")), (2001, 2000, day("2024-01-01"), day("9999-12-31"))]  # a cycle
+    out = hierarchy_paths(spark.createDataFrame(rows, "id int, mgr int, eff_dt date, disc_dt date"), "id", "mgr", [0])
+    assert out.agg(F.count("*"), F.max(F.size("path"))).first()[:] == (1001, 1001)
+    assert out.filter("path[0] <> 0 or path[size(path) - 1] <> id").isEmpty()
+    assert stored.count("ways") <= 11
+
+
+def test_roots_below_roots_and_cycles_through_them(spark, day, as_rows):
+    rows = [("r", "r"), ("s", "r"), ("a", "s"), ("b", "a"), ("c", "d"), ("d", "c"), ("e", "c"), ("t", "u"), ("u", "t")]
+    df = spark.createDataFrame([(a, b, day("2024-01-01"), day("9999-12-31")) for a, b in rows], "id string, mgr string, eff_dt date, disc_dt date")
+    out = [(r["id"], "".join(r["path"])) for r in hierarchy_paths(df, "id", "mgr", ["r", "s", "t"]).collect()]
+    assert sorted(out) == sorted([("r", "r"), ("s", "s"), ("s", "rs"), ("a", "sa"), ("a", "rsa"), ("b", "sab"), ("b", "rsab"), ("t", "t"), ("u", "tu")])
+
+
 def test_lookup_of_a_repeated_key_keeps_one_row(spark, as_rows):
     facts = spark.createDataFrame([(1, "a"), (2, "b")], "i int, id string")
     dim = spark.createDataFrame([("a", "s1"), ("a", "s2")], "id string, sk string")

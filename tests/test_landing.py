@@ -47,10 +47,37 @@ def test_stream_equals_batch_and_takes_each_file_once(spark, clock, tmp_path, as
     assert as_rows(run(), *shown) == as_rows(spark.read.parquet(batch), *shown)
     (clock / "c.csv").write_text("EMP,TIATIM,NOTE\n6,202401200000,x\n")
     assert sorted(r["EMP"] for r in run().collect()) == ["1", "3", "4", "6"]
-    audit = spark.read.parquet(str(tmp_path / "a2"))
+    audit = S.read_audit(spark, str(tmp_path / "a2"))
     assert audit.agg(F.sum("source_rows"), F.sum("insert_rows")).first()[:] == (6, 4)
 
 
+def test_repeated_batch_and_refusals_of_the_stream(spark, clock, tmp_path, monkeypatch):
+    import shutil
+
+    from dimflow.streaming import landing as streaming
+
+    def run():
+        ingest_landing_stream(
+            spark, str(clock), str(tmp_path / "stream"), str(tmp_path / "state"), schema="EMP string, TIATIM string, NOTE string",
+            time_col="TIATIM", fmt="yyyyMMddHHmm", today=TODAY, audit=str(tmp_path / "a"),
+        ).awaitTermination()
+
+    run()
+    before = S.read_audit(spark, str(tmp_path / "a")).collect()
+    shutil.rmtree(tmp_path / "state" / "commits")  # as if the stream had stopped before it noted the batch
+    run()
+    assert S.read_audit(spark, str(tmp_path / "a")).collect() == before
+    assert [r["rejected_rows"] for r in before] == [2]
+    (clock / "d.csv").write_text("EMP,TIATIM,NOTE\n7,202401200000,x\n")
+    monkeypatch.setattr(streaming, "count_rows", lambda *a: 0)
+    with pytest.raises(Exception):
+        run()
+    monkeypatch.undo()
+    (clock / "b.txt").write_text("EMP\n1\n")
+    with pytest.raises(R.InvalidFileFormat):
+        run()
+
+
 def test_landing_csv_checks(spark, tmp_path):
     (tmp_path / "e.csv").write_text("A,B\n")
     (tmp_path / "x.txt").write_text("A,B\n1,2\n")
@@ -97,14 +124,14 @@ def test_land_report(spark, tmp_path):
     audit = str(tmp_path / "audit")
     got = landing.land_report(spark, str(tmp_path / "r.json"), str(tmp_path / "out"), audit, run_key="k1")
     assert got["source_rows"] == got["insert_rows"] == 50
-    row = spark.read.parquet(audit).first()
+    row = S.read_audit(spark, audit).first()
     assert (row["status"], row["run_key"]) == ("SUCCESS", "k1")
     (tmp_path / "z.json").write_text('{"Report_Entry": []}')
     empty = landing.land_report(spark, str(tmp_path / "z.json"), str(tmp_path / "out2"), audit, run_key="k2")
     assert empty["source_rows"] == 0 and not (tmp_path / "out2").exists()
     with pytest.raises(Exception):
         landing.land_report(spark, str(tmp_path / "missing.json"), str(tmp_path / "out3"), audit, run_key="k3")
-    status = {r["run_key"]: r["status"] for r in spark.read.parquet(audit).collect()}
+    status = {r["run_key"]: r["status"] for r in S.read_audit(spark, audit).collect()}
     assert status == {"k1": "SUCCESS", "k2": "SUCCESS", "k3": "FAILED"}
 
 

@@ -90,6 +90,9 @@ def test_align_schema(spark):
     types = [f.dataType for f in left.schema.fields]
     assert types == [LongType(), StringType(), DecimalType(12, 2), DoubleType()]
     assert M.wider(IntegerType(), StringType()) == StringType()
+    for a, b in [(DecimalType(38, 10), DoubleType()), (DoubleType(), DecimalType(20, 0))]:
+        with pytest.raises(M.NoCommonType):
+            M.wider(a, b)
     assert left.unionByName(right).count() == 2
 
 
@@ -137,7 +140,12 @@ def test_run_status(spark, tmp_path):
     for key in ("r1", "r2"):
         S.append_audit(spark, path, {"run_key": key, "source_rows": 5, "status": "RUNNING"})
     S.set_run_status(spark, path, "r2", "SUCCESS")
-    got = {r["run_key"]: (r["status"], r["source_rows"], r["updt_tmsp"] is None) for r in spark.read.parquet(path).collect()}
+    got = {r["run_key"]: (r["status"], r["source_rows"], r["updt_tmsp"] is None) for r in S.read_audit(spark, path).collect()}
     assert got == {"r1": ("RUNNING", 5, True), "r2": ("SUCCESS", 5, False)}
     with pytest.raises(ValueError):
         S.append_audit(spark, path, {"nonsense": 1})
+    # A change beside another writer's row loses neither.
+    S.append_audit(spark, path, {"run_key": "r9", "status": "RUNNING"})
+    S.set_run_status(spark, path, "r2", "FAILED")
+    got = {r["run_key"]: r["status"] for r in S.read_audit(spark, path).collect()}
+    assert got["r2"] == "FAILED" and got["r9"] == "RUNNING"

@@ -37,10 +37,10 @@ def test_dedupe_intervals(spark, day, as_rows):
 def test_sequence_is_dense_and_repeatable(spark, as_rows):
     new = spark.range(1000).select(F.col("id").alias("n"))
     target = spark.createDataFrame([(41,)], "k bigint")
-    out = Q.append_sequence(new, target, "k", ["n"], rows_per_bucket=90)
+    out = Q.append_sequence(new, target, "k", ["n"])
     keys = sorted(r["k"] for r in out.collect())
     assert keys == list(range(42, 1042))
-    assert as_rows(Q.append_sequence(new, target, "k", ["n"], rows_per_bucket=90)) == as_rows(out)
+    assert as_rows(Q.append_sequence(new, target, "k", ["n"])) == as_rows(out)
     first = Q.append_sequence(new, None, "k", ["n"])
     assert first.agg(F.min("k"), F.max("k")).first()[:] == (1, 1000)
 

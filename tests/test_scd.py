@@ -45,6 +45,63 @@ def test_incremental_equals_full(feed, as_rows):
     assert as_rows(scd.build_scd2(feed, ["k"], ["a", "b"], "rpt_dt", sk="sk", target=second), *full.columns) == as_rows(full)
 
 
+def as_of_runs(feed, tmp_path, spark, arrived, done, **how):
+    """The feed stored; the dimension of the rows that haven't arrived, then with those that have."""
+    path = str(tmp_path / "feed")
+    feed.write.mode("overwrite").parquet(path)
+    stage = spark.read.parquet(path)
+    first = scd.build_scd2(stage.filter(~arrived), ["k"], ["a", "b"], "rpt_dt", sk="sk", **how)
+    first.write.mode("overwrite").parquet(str(tmp_path / "dim"))
+    target = spark.read.parquet(str(tmp_path / "dim"))
+    return scd.build_scd2(stage, ["k"], ["a", "b"], "rpt_dt", sk="sk", target=target, arrived=arrived, done=done, **how)
+
+
+@pytest.mark.parametrize("one_row_a_day", [True, False])
+def test_new_days_go_on_from_the_latest_version(spark, feed, tmp_path, as_rows, one_row_a_day):
+    full = scd.build_scd2(feed, ["k"], ["a", "b"], "rpt_dt", sk="sk")
+    cut = F.col("rpt_dt") > F.lit(dt.date(2024, 1, 6))
+    got = as_of_runs(feed, tmp_path, spark, cut, dt.date(2024, 1, 6), one_row_a_day=one_row_a_day)
+    assert as_rows(got, *full.columns) == as_rows(full)
+
+
+@pytest.mark.parametrize("done", [dt.date(2024, 1, 6), None])
+def test_late_reports_equal_a_full_load(spark, feed, tmp_path, as_rows, done):
+    full = scd.build_scd2(feed, ["k"], ["a", "b"], "rpt_dt", sk="sk")
+    late = (F.col("k") % 4 == 0) & F.dayofmonth("rpt_dt").isin(1, 3, 4)
+    arrived = (F.col("rpt_dt") > F.lit(dt.date(2024, 1, 6))) | late
+    got = as_of_runs(feed, tmp_path, spark, arrived, done)
+    assert as_rows(got, *full.columns) == as_rows(full)
+
+
+def test_keys_that_come_back_and_keys_without_rows(spark, tmp_path, as_rows, day):
+    rows = [("x", "2024-01-01", "A"), ("x", "2024-01-05", "A"), (None, "2024-01-01", "N"), (None, "2024-01-06", "M"), ("y", "2024-01-07", None), ("z", "2024-01-02", "Z")]
+    stage = spark.createDataFrame([(k, day(x), a) for k, x, a in rows], "k string, rpt_dt date, a string")
+    full = scd.build_scd2(stage, ["k"], ["a"], "rpt_dt", sk="sk")
+    cut = F.col("rpt_dt") > F.lit(dt.date(2024, 1, 3))
+    first = scd.build_scd2(stage.filter(~cut), ["k"], ["a"], "rpt_dt", sk="sk")
+    closed = first.withColumns({"disc_dt": F.when(F.col("k") == "x", F.lit("2024-01-01").cast("date")).otherwise(F.col("disc_dt")), "is_current": F.col("k") != "x"})
+    got = scd.build_scd2(stage, ["k"], ["a"], "rpt_dt", sk="sk", target=closed.withColumn("is_current", F.coalesce("is_current", F.lit(True))), arrived=cut, done=dt.date(2024, 1, 3))
+    assert as_rows(got, *full.columns) == as_rows(full)
+    nothing = scd.build_scd2(stage, ["k"], ["a"], "rpt_dt", sk="sk", target=full, arrived=F.lit(False), done=dt.date(2024, 1, 7))
+    assert as_rows(nothing, *full.columns) == as_rows(full)
+
+
+def test_unchanged_history_is_not_read(spark, feed, tmp_path, monkeypatch):
+    """Every scan of the feed has the new days' filter pushed to it."""
+    plans, store = [], scd.stage_table
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name)
+
+    monkeypatch.setattr(scd, "stage_table", noted)
+    cut = F.col("rpt_dt") > F.lit(dt.date(2024, 1, 6))
+    got = as_of_runs(feed, tmp_path, spark, cut, dt.date(2024, 1, 6))
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    scans = [line for plan in plans for line in plan.split("FileScan")[1:] if str(tmp_path / "feed") in line.split("\n")[0]]
+    assert scans and all("GreaterThan(rpt_dt,2024-01-06)" in x.split("\n")[0] for x in scans)
+
+
 def test_close_disappeared(feed):
     dim = scd.build_scd2(feed, ["k"], ["a", "b"], "rpt_dt", sk="sk")
     out = scd.close_disappeared(dim, feed, ["k"], "rpt_dt")
