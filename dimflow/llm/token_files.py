@@ -132,7 +132,9 @@ class Encoder:
         names, salt = units.to_pylist(), "s" if spaced else "b"
         first = np.fromiter(map(hash, names), np.int64, len(units)) ^ (0 if spaced else BARE)
         second = np.fromiter([hash(x + salt) for x in names], np.int64, len(units))
-        at = np.searchsorted(self.first, first)
+        order = np.argsort(first)  # a sorted search stays in the caches
+        at = np.empty(len(units), np.int64)
+        at[order] = np.searchsorted(self.first, first[order])
         inside = at < len(self.first)
         there = np.zeros(len(units), bool)
         there[inside] = self.first[at[inside]] == first[inside]
@@ -177,12 +179,17 @@ class Encoder:
             self._keep_common()
         slot_of = np.zeros(len(names), np.int64)
         slot_of[tails] = self._find(names.take(tails), True)
-        slots = slot_of[index]
-        slots[at[:-1]] = self._find(names.take(heads), False)[head_of]
-        starts = self.ends[slots]
-        lengths = self.ends[slots + 1] - starts
+        # The ids of this slice's units, side by side: tails by their numbers, then heads.
+        units = np.concatenate((slot_of, self._find(names.take(heads), False)))
+        index = index.astype(np.int64)
+        index[at[:-1]] = len(names) + head_of
+        starts = self.ends[units]
+        lengths = np.where(np.append(is_tail, np.ones(len(heads), bool)), self.ends[units + 1] - starts, 0)
+        local = self.flat[_ranges(starts, starts + lengths)]
+        ends = np.cumsum(lengths)
+        lengths, ends = lengths[index], ends[index]
         total = np.concatenate(([0], np.cumsum(lengths)))
-        return self.flat[_ranges(starts, starts + lengths)], total[at]
+        return local[_ranges(ends - lengths, ends)], total[at]
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
