@@ -56,7 +56,7 @@ def _query(url: str) -> str:
     return rf"regexp_extract(substring({url}, instr({url}, '://') + 3), '^[^?#]*(\?[^#]*)', 1)"
 
 
-TRACKING = "utm_[a-z]+|fbclid|gclid|ref"
+TRACKING = "utm_[a-z]+|fbclid|gclid"
 
 
 def op2(rules: list[tuple[str, str, str]]) -> str:
@@ -66,7 +66,7 @@ def op2(rules: list[tuple[str, str, str]]) -> str:
     kept = rf"regexp_replace(regexp_replace({_query('url')}, '([?&])(?:{TRACKING})=[^&]*(?:&|$)', '\1', 'g'), '[?&]+$', '')"
     # RE2 has no look-behind: the separator is taken in and put back.
     return rf"""WITH RECURSIVE rules(said, rule_host, rule_path) AS (VALUES {values}),
-p AS (SELECT page_id, url, html, instr(url, '://') > 0 AS ok FROM pages),
+p AS (SELECT page_id, url, regexp_replace(html, '(?s)<!--.*?-->', '', 'g') AS html, instr(url, '://') > 0 AS ok FROM pages),
 named AS (SELECT url, unnest([regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]*)', 1),
     regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''>]*)', 1)]) AS target FROM p WHERE ok),
 targets AS (SELECT url AS source, CASE WHEN target LIKE '%://%' THEN target ELSE split_part(url, '://', 1) || '://' || {_host('url')} || target END AS url

@@ -53,8 +53,8 @@ SIMPLE = rf"^[{_LETTER}{_DIGIT}{_MARK}]+(?:\n[{_LETTER}{_DIGIT}{_MARK}]+)*$"
 #: In a simple unit a token of the pattern ends where the class changes.
 BETWEEN_LETTERS = rf"([{_MARK}]+|[{_DIGIT}]+|\n)"
 CUT = "\x01"
-#: A space, as the vocabulary writes it.
-SPACE = "\u0120"
+#: A space and a line feed, as the vocabulary writes them.
+SPACE, LINE = "\u0120", "\u010a"
 #: Tells the hashes of units without a space in front from the others.
 BARE = 0x5DEECE66D
 
@@ -76,10 +76,11 @@ class Encoder:
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         self.special = [x.content for x in self.bpe.get_added_tokens_decoder().values()]
         self.after_space = np.array([(self.bpe.id_to_token(k) or "").startswith(SPACE) for k in range(size)])
-        # For units whose parts are known, with a CUT between them.
-        self.parts = Tokenizer.from_file(vocabulary)
+        # For units whose parts are known, with a CUT between them; ASCII ones come as the vocabulary writes them.
+        self.parts, self.written = Tokenizer.from_file(vocabulary), Tokenizer.from_file(vocabulary)
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.parts.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(CUT), as_bytes])
+        self.written.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(CUT)
         self._forget()
 
     def _forget(self) -> None:
@@ -93,22 +94,29 @@ class Encoder:
         simple = pc.match_substring_regex(units, SIMPLE).to_numpy(zero_copy_only=False) & spaced
         for special in self.special:
             simple &= ~pc.match_substring(units, special).to_numpy(zero_copy_only=False)
-        plain, alone = np.flatnonzero(simple), np.flatnonzero(~simple)
+        ascii_ = pc.string_is_ascii(units).to_numpy(zero_copy_only=False)
+        alone = np.flatnonzero(~simple)
         lengths = np.zeros(len(units), np.int64)
-        parts = []
-        if len(plain):
-            cut = pc.replace_substring_regex(units.take(plain), BETWEEN_LETTERS, f"{CUT}\\1{CUT}")
-            lines = pc.ascii_ltrim(cut, CUT).to_pylist()
-            (got,) = self.parts.encode_batch_fast([" " + f"{CUT} ".join(lines)], add_special_tokens=False)
+        order, parts = [], []
+        for chosen, bpe, space in ((simple & ascii_, self.written, SPACE), (simple & ~ascii_, self.parts, " ")):
+            chosen = np.flatnonzero(chosen)
+            if not len(chosen):
+                continue
+            cut = pc.replace_substring_regex(units.take(chosen), BETWEEN_LETTERS, f"{CUT}\\1{CUT}")
+            lines = pc.ascii_ltrim(cut, CUT)
+            if space == SPACE:
+                lines = pc.replace_substring(lines, "\n", LINE)
+            (got,) = bpe.encode_batch_fast([space + f"{CUT}{space}".join(lines.to_pylist())], add_special_tokens=False)
             parts.append(np.array(got.ids, self.kind))
-            at = np.flatnonzero(self.after_space[parts[0]])
-            lengths[plain] = np.diff(np.append(at, len(parts[0])))
+            at = np.flatnonzero(self.after_space[parts[-1]])
+            lengths[chosen] = np.diff(np.append(at, len(parts[-1])))
+            order.append(chosen)
         if len(alone):
             each = self.bpe.encode_batch_fast([" " * spaced + x for x in units.take(alone).to_pylist()], add_special_tokens=False)
             each = [np.array(x.ids, self.kind) for x in each]
             lengths[alone] = [len(x) for x in each]
             parts += each
-        order = np.concatenate((plain, alone))
+        order = np.concatenate((*order, alone))
         ends = np.empty(len(units), np.int64)
         ends[order] = np.cumsum(lengths[order])
         flat = np.concatenate([np.zeros(0, self.kind), *parts])

@@ -9,8 +9,9 @@ without a rule takes the verdict of its component: allow if any member is explic
 allowed, else block if any is blocked, else allow. A url's own rule always decides.
 
 Defined results: a null url, or one without "://", has an empty host and path, no rule
-and no aliases, and is allowed. A relative target is resolved against its page; a null
-or empty one makes no edge. Repeated rows are judged alike. Other columns aren't read.
+and no aliases, and is allowed. A relative target is resolved against its page, or the
+base that it names; a null or empty one, or one of another kind than a page, makes no
+edge, and what stands in a comment names nothing. Repeated rows are judged alike. Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -23,9 +24,7 @@ from dimflow.session import stage_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Query parameters that don't change what a url shows.
-TRACKING = r"utm_[a-z]+|fbclid|gclid|ref"
-#: Rules up to this number are sent to every task; more are joined by their host.
-SMALL_RULES = 10_000
+TRACKING = r"utm_[a-z]+|fbclid|gclid"
 
 
 def _rest(url: Column) -> Column:
@@ -58,21 +57,37 @@ def plain(url: Column) -> Column:
     return F.when(_rest(url).isNotNull(), F.concat(host(url), trimmed, kept))
 
 
+def _flat(at: Column) -> Column:
+    """A path without . and .. segments."""
+    steps = F.split(at, "/")
+    up = F.element_at(steps, -1).isin(".", "..")
+
+    def walk(kept: Column, step: Column) -> Column:
+        back = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1)))  # the part before the first slash stays
+        return F.when(step == ".", kept).when(step == "..", back).otherwise(F.array_append(kept, step))
+
+    kept = F.aggregate(steps, F.array().cast("array<string>"), walk)
+    flat = F.concat(F.array_join(kept, "/"), F.when(up, "/").otherwise(""))
+    return F.when(at.rlike(r"(^|/)\.\.?(/|$)"), flat).otherwise(at)
+
+
 def _resolved(page: Column, target: Column) -> Column:
-    """An absolute url for a target found on a page."""
+    """An absolute url for a target found on a page; null for one of another kind, such as mailto:."""
     target = F.replace(F.trim(target), F.lit("&amp;"), F.lit("&"))
     scheme = F.substring_index(page, "://", 1)
     site = F.concat(scheme, F.lit("://"), host(page))
     folder = F.regexp_replace(path(page), "[^/]*$", "")
     folder = F.when(folder == "", "/").otherwise(folder)
+    own, rest = F.regexp_extract(target, r"^[^?#]*", 0), F.regexp_extract(target, r"[?#].*$", 0)
     return (
         F.when(F.coalesce(target, F.lit("")) == "", F.lit(None).cast("string"))
         .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
         .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-        .when(target.startswith("/"), F.concat(site, target))
-        .when(target.startswith("#"), page)
+        .when(target.startswith("/"), F.concat(site, _flat(own), rest))
+        .when(target.startswith("#"), F.concat(F.regexp_extract(page, "^[^#]*", 0), target))
         .when(target.startswith("?"), F.concat(site, path(page), target))
-        .otherwise(F.concat(site, folder, target))
+        .otherwise(F.concat(site, _flat(F.concat(folder, own)), rest))
     )
 
 
@@ -81,12 +96,17 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.concat(*[F.regexp_extract(tag, quoted, k) for k in (1, 2, 3)])
 
 
-def page_targets(url: Column, html: Column) -> Column:
-    """Resolved targets that a page names: its canonical link and its refresh."""
-    link = F.regexp_extract(html, r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    refresh = F.regexp_extract(html, r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    moved = F.regexp_extract(_attribute(refresh, "content"), r"(?is)\burl\s*=\s*[\"']?([^\"']*)", 1)
-    return F.array(_resolved(url, _attribute(link, "href")), _resolved(url, moved))
+def page_targets(pages: DataFrame) -> DataFrame:
+    """`url`, `target`: what a page names as its canonical link or refreshes to, resolved against its base."""
+    rows = pages.select("url", F.regexp_replace("html", r"(?s)<!--.*?(?:-->|$)", "").alias("html"))
+    base = F.regexp_extract("html", r"(?is)<base\b[^>]*\bhref\b[^>]*>", 0)
+    link = F.regexp_extract("html", r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
+    refresh = F.regexp_extract("html", r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
+    rows = rows.select("url", _attribute(base, "href").alias("base"), link.alias("link"), refresh.alias("refresh"))
+    moved = F.regexp_extract(_attribute(F.col("refresh"), "content"), r"(?is)\burl\s*=\s*[\"']?([^\"']*)", 1)
+    rows = rows.select("url", "base", F.explode(F.array(_attribute(F.col("link"), "href"), moved)).alias("named"))
+    rows = rows.filter("named <> ''").withColumn("base", F.coalesce(_resolved(F.col("url"), F.col("base")), F.col("url")))
+    return rows.select("url", _resolved(F.col("base"), F.col("named")).alias("target")).filter("target is not null")
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -97,8 +117,6 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
         F.concat("host", "path").alias("rule"),
         (F.col("verdict") == "allow").alias("allow"),
     )
-    if rules.limit(SMALL_RULES + 1).count() <= SMALL_RULES:
-        rules = F.broadcast(rules)
     keys = urls.select("host", "path").filter("host <> ''").distinct()
     labels = F.split("host", r"\.")
     n = F.size(labels)
@@ -114,8 +132,7 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def alias_edges(pages: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
     """`a`, `b`: nodes that show the same page."""
     own = pages.select(node(F.col("url")).alias("a"), plain(F.col("url")).alias("b"))
-    named = pages.select("url", F.explode(page_targets(F.col("url"), F.col("html"))).alias("target"))
-    named = named.filter("target is not null")
+    named = page_targets(pages)
     edges = own.union(named.select(node(F.col("url")), node(F.col("target"))))
     edges = edges.union(named.select(node(F.col("target")), plain(F.col("target"))))
     if redirects is not None:
