@@ -40,7 +40,7 @@ END_ID = 0
 #: A shard ends after the document that reaches so many ids.
 SHARD_IDS = 1 << 22
 #: Units that a worker remembers the ids of, in some 40 bytes each.
-UNITS = 2_000_000
+UNITS = 1_500_000
 #: Texts of about so many bytes are encoded at once.
 SLICE_BYTES = 1 << 23
 #: White space in any of the definitions that the libraries use.
@@ -53,8 +53,10 @@ SIMPLE = rf"^[{_LETTER}{_DIGIT}{_MARK}]+(?:\n[{_LETTER}{_DIGIT}{_MARK}]+)*$"
 #: In a simple unit a token of the pattern ends where the class changes.
 BETWEEN_LETTERS = rf"([{_MARK}]+|[{_DIGIT}]+|\n)"
 CUT = "\x01"
-#: A space and a line feed, as the vocabulary writes them.
-SPACE, LINE = "\u0120", "\u010a"
+#: How the vocabulary writes the bytes that are no printable characters, but for the CUT: by numbers from 256 on.
+_HIDDEN = [b for b in range(256) if not (0x21 <= b < 0x7F or 0xA1 <= b < 0xAD or 0xAE <= b)]
+WRITTEN = {b: chr(256 + k) for k, b in enumerate(_HIDDEN) if chr(b) != CUT}
+SPACE = WRITTEN[0x20]
 #: Tells the hashes of units without a space in front from the others.
 BARE = 0x5DEECE66D
 
@@ -76,11 +78,9 @@ class Encoder:
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         self.special = [x.content for x in self.bpe.get_added_tokens_decoder().values()]
         self.after_space = np.array([(self.bpe.id_to_token(k) or "").startswith(SPACE) for k in range(size)])
-        # For units whose parts are known, with a CUT between them; ASCII ones come as the vocabulary writes them.
-        self.parts, self.written = Tokenizer.from_file(vocabulary), Tokenizer.from_file(vocabulary)
-        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.parts.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(CUT), as_bytes])
-        self.written.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(CUT)
+        # For units whose parts are known, in the vocabulary's writing, with a CUT between them.
+        self.parts = Tokenizer.from_file(vocabulary)
+        self.parts.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(CUT)
         self._forget()
 
     def _forget(self) -> None:
@@ -94,29 +94,24 @@ class Encoder:
         simple = pc.match_substring_regex(units, SIMPLE).to_numpy(zero_copy_only=False) & spaced
         for special in self.special:
             simple &= ~pc.match_substring(units, special).to_numpy(zero_copy_only=False)
-        ascii_ = pc.string_is_ascii(units).to_numpy(zero_copy_only=False)
-        alone = np.flatnonzero(~simple)
+        plain, alone = np.flatnonzero(simple), np.flatnonzero(~simple)
         lengths = np.zeros(len(units), np.int64)
-        order, parts = [], []
-        for chosen, bpe, space in ((simple & ascii_, self.written, SPACE), (simple & ~ascii_, self.parts, " ")):
-            chosen = np.flatnonzero(chosen)
-            if not len(chosen):
-                continue
-            cut = pc.replace_substring_regex(units.take(chosen), BETWEEN_LETTERS, f"{CUT}\\1{CUT}")
-            lines = pc.ascii_ltrim(cut, CUT)
-            if space == SPACE:
-                lines = pc.replace_substring(lines, "\n", LINE)
-            (got,) = bpe.encode_batch_fast([space + f"{CUT}{space}".join(lines.to_pylist())], add_special_tokens=False)
+        parts = []
+        if len(plain):
+            cut = pc.replace_substring_regex(units.take(plain), BETWEEN_LETTERS, f"{CUT}\\1{CUT}")
+            said = " " + f"{CUT} ".join(pc.ascii_ltrim(cut, CUT).to_pylist())
+            # Each byte as the character that the vocabulary writes for it.
+            written = said.encode().decode("latin-1").translate(WRITTEN)
+            (got,) = self.parts.encode_batch_fast([written], add_special_tokens=False)
             parts.append(np.array(got.ids, self.kind))
-            at = np.flatnonzero(self.after_space[parts[-1]])
-            lengths[chosen] = np.diff(np.append(at, len(parts[-1])))
-            order.append(chosen)
+            at = np.flatnonzero(self.after_space[parts[0]])
+            lengths[plain] = np.diff(np.append(at, len(parts[0])))
         if len(alone):
             each = self.bpe.encode_batch_fast([" " * spaced + x for x in units.take(alone).to_pylist()], add_special_tokens=False)
             each = [np.array(x.ids, self.kind) for x in each]
             lengths[alone] = [len(x) for x in each]
             parts += each
-        order = np.concatenate((*order, alone))
+        order = np.concatenate((plain, alone))
         ends = np.empty(len(units), np.int64)
         ends[order] = np.cumsum(lengths[order])
         flat = np.concatenate([np.zeros(0, self.kind), *parts])
@@ -221,7 +216,7 @@ def _encoder(vocabulary: str) -> Encoder:
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
     while first < len(texts):
         done = int(ends[first - 1]) if first else 0
@@ -254,9 +249,10 @@ def _write(folder: str, vocabulary: str, shard_ids: int):
             )
 
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_string()).fill_null("")
+            texts = batch.column("text")
             for a, b in _slices(texts):
-                got, at = encoder.encode(texts.slice(a, b - a))
+                got, at = encoder.encode(texts.slice(a, b - a).cast(pa.large_string()).fill_null(""))
+                pa.default_memory_pool().release_unused()
                 # The end id follows each document.
                 whole = np.insert(got, at[1:], END_ID)
                 sizes = np.diff(at) + 1
