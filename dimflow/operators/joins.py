@@ -136,7 +136,10 @@ def lookup_asof(
 
 
 def lookup_many(fact: DataFrame, ids: list[str], looks: list[AsOf]) -> DataFrame:
-    """Several dated lookups in one pass over narrow rows; ``ids`` tell the fact's rows apart.
+    """Several dated lookups in one pass over narrow rows.
+
+    Rows with the same ``ids``, which may be a key of the fact or all columns that the
+    lookups read, must have the same keys and dates.
 
     Each fact row asks once per lookup, with its ids, the key and the date only. All
     questions meet the versions of all dimensions in one join on lookup and key; the

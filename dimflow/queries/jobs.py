@@ -839,9 +839,9 @@ def _(t):
 )
 def _(t):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
-    from dimflow.sources.sinks import write_json_chunks
+    from dimflow.sources.sinks import read_audit, write_json_chunks
 
     source, audit = t.scratch("report-in"), t.scratch("report-audit")
     write_json_chunks(rows, source, max_mb=0.2)
     landing.land_report(t.spark, source, t.scratch("report-out"), audit, run_key="r1", schema=rows.schema, max_mb=0.5)
-    return t.spark.read.parquet(audit).select("job", "source_rows", "insert_rows", "rejected_rows", "status")
+    return read_audit(t.spark, audit).select("job", "source_rows", "insert_rows", "rejected_rows", "status")

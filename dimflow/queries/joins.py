@@ -68,7 +68,8 @@ def _(t):
         J.AsOf(versions, {"o_custkey": "o_custkey"}, "ship_dt", "cust_sk"),
         J.AsOf(versions, {"l_partkey": "o_custkey"}, "ship_dt", "cust_sk", out="part_as_cust_sk", default=None),
     ]
-    out = J.lookup_many(t.shipments(), ["l_orderkey", "l_linenumber"], looks)
+    # Line numbers repeat, so rows are told apart by what is looked up.
+    out = J.lookup_many(t.shipments(), ["o_custkey", "l_partkey", "ship_dt"], looks)
     return out.select("l_orderkey", "l_linenumber", "ship_dt", "cust_sk", "part_as_cust_sk")
 
 
