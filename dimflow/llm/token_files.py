@@ -43,6 +43,8 @@ SHARD_IDS = 1 << 22
 UNITS = 1_500_000
 #: Texts of about so many bytes are encoded at once.
 SLICE_BYTES = 1 << 23
+#: Units whose ids are put together at once.
+PIECE = 1 << 15
 #: White space in any of the definitions that the libraries use.
 _WHITE = r"\s\v\x1c-\x1f\x{85}\x{180e}\x{feff}\p{Z}"
 UNSAFE_SPACE = rf"[{_WHITE}] | [{_WHITE}]"
@@ -190,9 +192,12 @@ class Encoder:
         lengths = np.where(np.append(is_tail, np.ones(len(heads), bool)), self.ends[units + 1] - starts, 0)
         local = self.flat[_ranges(starts, starts + lengths)]
         ends = np.cumsum(lengths)
-        lengths, ends = lengths[index], ends[index]
-        total = np.concatenate(([0], np.cumsum(lengths)))
-        return local[_ranges(ends - lengths, ends)], total[at]
+        total = np.concatenate(([0], np.cumsum(lengths[index])))
+        ids = np.empty(int(total[-1]), self.kind)
+        for a in range(0, len(index), PIECE):  # a piece's arrays stay in the caches
+            own = index[a : a + PIECE]
+            ids[total[a] : total[a + len(own)]] = local[_ranges(ends[own] - lengths[own], ends[own])]
+        return ids, total[at]
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

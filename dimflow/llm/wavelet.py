@@ -54,11 +54,16 @@ def encode(ids: np.ndarray, owners: pa.Array, starts: np.ndarray) -> bytes:
     for shift in range(planes - 1, -1, -1):
         bits = _bit(codes, shift)
         packed = np.packbits(bits)
-        left, right = np.flatnonzero(~bits), np.flatnonzero(bits)
-        edges = np.arange(0, len(bits), BLOCK)
-        ones_before.append(np.searchsorted(right, edges))
-        zeros.append(len(left))
-        codes = np.concatenate((codes[left], codes[right]))
+        ones = [int(np.count_nonzero(bits[a : a + BLOCK])) for a in range(0, len(bits), BLOCK)]
+        ones_before.append(np.cumsum([0, *ones[:-1]]))
+        zeros.append(len(bits) - sum(ones))
+        below, low, high = np.empty_like(codes), 0, zeros[-1]
+        for a, n in zip(range(0, len(bits), BLOCK), ones):  # a block's arrays stay in the caches
+            part, bit = codes[a : a + BLOCK], bits[a : a + BLOCK]
+            below[low : low + len(part) - n] = part[np.flatnonzero(~bit)]
+            below[high : high + n] = part[np.flatnonzero(bit)]
+            low, high = low + len(part) - n, high + n
+        codes = below
         for at in range(0, len(packed), BLOCK_BYTES):
             blocks.append(packer.compress(packed[at : at + BLOCK_BYTES].tobytes()))
             sizes.append(len(blocks[-1]))
@@ -197,11 +202,16 @@ class WaveletFile:
         unpacker = zstandard.ZstdDecompressor()
         for plane in range(self.planes - 1, -1, -1):
             ks = range(plane * per, (plane + 1) * per)
-            raw = b"".join(unpacker.decompress(data[base[k] : base[k + 1]]) for k in ks)
-            bits = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n).view(bool)
-            above, zeros = np.empty(self.n, kind), self.zeros[plane]
-            above[np.flatnonzero(~bits)] = codes[:zeros]
-            above[np.flatnonzero(bits)] = codes[zeros:] | kind(1 << (self.planes - 1 - plane))
+            above, low, high = np.empty(self.n, kind), 0, self.zeros[plane]
+            bit = kind(1 << (self.planes - 1 - plane))
+            for a, k in zip(range(0, self.n, BLOCK), ks):
+                raw = unpacker.decompress(data[base[k] : base[k + 1]])
+                bits = np.unpackbits(np.frombuffer(raw, np.uint8), count=min(BLOCK, self.n - a)).view(bool)
+                ones, zeros = np.flatnonzero(bits), np.flatnonzero(~bits)
+                part = above[a : a + BLOCK]
+                part[zeros] = codes[low : low + len(zeros)]
+                part[ones] = codes[high : high + len(ones)] | bit
+                low, high = low + len(zeros), high + len(ones)
             codes = above
         return self.alphabet[codes]
 
