@@ -104,9 +104,13 @@ def page_targets(pages: DataFrame) -> DataFrame:
     refresh = F.regexp_extract("html", r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
     rows = rows.select("url", _attribute(base, "href").alias("base"), link.alias("link"), refresh.alias("refresh"))
     moved = F.regexp_extract(_attribute(F.col("refresh"), "content"), r"(?is)\burl\s*=\s*[\"']?([^\"']*)", 1)
-    rows = rows.select("url", "base", F.explode(F.array(_attribute(F.col("link"), "href"), moved)).alias("named"))
-    rows = rows.filter("named <> ''").withColumn("base", F.coalesce(_resolved(F.col("url"), F.col("base")), F.col("url")))
-    return rows.select("url", _resolved(F.col("base"), F.col("named")).alias("target")).filter("target is not null")
+    # Each explode ends an expression: put into one another, they would grow beyond all bounds.
+    named = F.array(_attribute(F.col("link"), "href"), moved)
+    rows = rows.select("url", F.explode(F.transform(named, lambda x: F.struct(F.col("base").alias("base"), x.alias("named")))).alias("x"))
+    rows = rows.select("url", "x.base", "x.named").filter("named <> ''")
+    base = F.coalesce(_resolved(F.col("url"), F.col("base")), F.col("url"))
+    rows = rows.select("url", "named", F.explode(F.array(base)).alias("page"))
+    return rows.select("url", F.explode(F.array(_resolved(F.col("page"), F.col("named")))).alias("target")).filter("target is not null")
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
