@@ -105,7 +105,7 @@ def _valid(at: Column) -> Column:
     return F.when(last["disc"] >= at, last["sk"])
 
 
-def lookup_asof(
+def lookup_indexed(
     fact: DataFrame,
     dim: DataFrame,
     on: On,
@@ -144,7 +144,7 @@ def lookup_many(fact: DataFrame, ids: list[str], looks: list[AsOf]) -> DataFrame
     Each fact row asks once per lookup, with its ids, the key and the date only. All
     questions meet the versions of all dimensions in one join on lookup and key; the
     answers come back in one row per fact row and one join. For wide facts and dimensions
-    too large to broadcast: else every ``lookup_asof`` would shuffle whole rows.
+    too large to broadcast: else every ``lookup_indexed`` would shuffle whole rows.
     """
 
     def key(i: int, cols: list[Column]) -> Column:
@@ -177,7 +177,7 @@ def lookup_many(fact: DataFrame, ids: list[str], looks: list[AsOf]) -> DataFrame
     return joined.select(*[fact[c] for c in fact.columns if c not in found], *[v.alias(n) for n, v in found.items()])
 
 
-def lookup_asof_pass(
+def lookup_asof(
     fact: DataFrame,
     dim: DataFrame,
     on: On,
@@ -190,7 +190,7 @@ def lookup_asof_pass(
     default: str | None = UNKNOWN,
     bucket_days: int = 365,
 ) -> DataFrame:
-    """As ``lookup_asof``, without a join: for keys with too many versions for one array.
+    """As ``lookup_indexed``, in one sorted pass without a join: for dimensions too large to broadcast.
 
     From its start on a version takes the place of those that began before it; of
     versions that begin on one day the one with the largest key stands. Facts and

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dimflow.functions.keys import surrogate_key
 from dimflow.functions.text import POSITION_IDS, REQUISITION_IDS, distinct_ids, single_or_null
-from dimflow.operators.joins import AsOf, lookup_asof, lookup_many, lookup_sk, lookup_sk_multi
+from dimflow.operators.joins import AsOf, lookup_indexed, lookup_many, lookup_sk, lookup_sk_multi
 from dimflow.operators.merge import merge_upsert
 from dimflow.operators.reshape import stamp
 from dimflow.operators.windows import latest_per_key
@@ -43,7 +43,7 @@ class Lookup:
     def apply(self, fact: DataFrame) -> DataFrame:
         if self.date_col is None:
             return lookup_sk(fact, self.dim, self.on, self.sk, out=self.name)
-        return lookup_asof(
+        return lookup_indexed(
             fact,
             self.dim,
             self.on,

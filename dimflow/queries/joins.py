@@ -8,7 +8,7 @@ from dimflow.functions.text import REQUISITION_IDS, any_of
 from dimflow.operators import joins as J
 from dimflow.operators.hierarchy import hierarchy_paths
 from dimflow.plans.facts import requisition_ids
-from dimflow.queries.registry import DAYS, SHIPMENTS, SNAP, VERSIONS, latest_orders_sql, padded, padded_sql, query
+from dimflow.queries.registry import DAYS, SHIPMENTS, SNAP, VERSIONS, latest_orders_sql, padded, padded_sql, query, sql_of
 
 PART_DIM = "md5(CAST(p_partkey AS VARCHAR))"
 
@@ -49,12 +49,18 @@ def _(t):
       ON v.o_custkey = s.o_custkey AND s.ship_dt BETWEEN v.eff_dt AND v.disc_dt""",
 )
 def _(t):
-    out = J.lookup_asof_pass(
+    out = J.lookup_asof(
         t.shipments(), t.priority_versions(), {"o_custkey": "o_custkey"}, "ship_dt", "cust_sk", bucket_days=365
     )
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "ship_dt", "cust_sk")
 
 
+@query("jn_lookup_indexed", sql_of("jn_lookup_asof"))
+def _(t):
+    out = J.lookup_indexed(t.shipments(), t.priority_versions(), {"o_custkey": "o_custkey"}, "ship_dt", "cust_sk")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "ship_dt", "cust_sk")
+
+
 @query(
     "jn_lookup_many",
     f"""WITH {VERSIONS}, {SHIPMENTS}

@@ -17,7 +17,7 @@ def versions(spark, day):
 def test_asof_includes_both_ends(spark, versions, day, as_rows):
     data = [(1, "a", "2024-01-01"), (2, "a", "2024-01-10"), (3, "a", "2024-01-11"), (4, "a", "2023-12-31"), (5, "z", "2024-01-01"), (6, None, "2024-01-01")]
     facts = spark.createDataFrame([(i, k, day(x)) for i, k, x in data], "i int, k string, dt date")
-    out = J.lookup_asof(facts, versions, {"k": "k"}, "dt", "sk")
+    out = J.lookup_indexed(facts, versions, {"k": "k"}, "dt", "sk")
     assert as_rows(out, "i", "sk") == [(1, "a1"), (2, "a1"), (3, "a2"), (4, "-1"), (5, "-1"), (6, "-1")]
 
 
@@ -29,8 +29,8 @@ def test_bucketed_asof_equals_plain(spark, versions, as_rows, days):
     start = dt.date(2023, 12, 25)
     data = [(i, rng.choice(["a", "b", "z", None]), start + dt.timedelta(rng.randint(0, 60))) for i in range(200)]
     facts = spark.createDataFrame(data, "i int, k string, dt date")
-    plain = J.lookup_asof(facts, versions, {"k": "k"}, "dt", "sk")
-    assert as_rows(J.lookup_asof_pass(facts, versions, {"k": "k"}, "dt", "sk", bucket_days=days)) == as_rows(plain)
+    plain = J.lookup_indexed(facts, versions, {"k": "k"}, "dt", "sk")
+    assert as_rows(J.lookup_asof(facts, versions, {"k": "k"}, "dt", "sk", bucket_days=days)) == as_rows(plain)
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -44,12 +44,12 @@ def test_events_in_interval(spark, versions, day, as_rows, how):
 
 def test_asof_on_a_timestamp_compares_days(spark, versions, as_rows):
     facts = spark.sql("SELECT 1 i, 'a' k, TIMESTAMP '2024-01-10 23:59:00' dt")
-    assert as_rows(J.lookup_asof(facts, versions, {"k": "k"}, "dt", "sk"), "sk") == [("a1",)]
+    assert as_rows(J.lookup_indexed(facts, versions, {"k": "k"}, "dt", "sk"), "sk") == [("a1",)]
 
 
 def test_asof_is_one_hash_join(spark, versions):
     facts = spark.range(10).select(F.col("id").cast("string").alias("k"), F.current_date().alias("dt"))
-    plan = J.lookup_asof(facts, versions, {"k": "k"}, "dt", "sk")._jdf.queryExecution().toString()
+    plan = J.lookup_indexed(facts, versions, {"k": "k"}, "dt", "sk")._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
@@ -155,11 +155,11 @@ def test_asof_gives_one_row_per_fact(spark, day, as_rows):
     facts = [(1, "a", "2024-01-01"), (2, "a", "2024-01-04"), (3, "a", "2031-07-01"), (4, "n", "2021-06-01"), (5, "n", "2022-03-02"),
              (6, "n", "2023-01-01"), (7, None, "2024-01-01"), (8, "a", None), (9, "z", "2024-01-01"), (9, "z", "2024-01-01"), (10, "a", "2023-12-31")]
     facts = spark.createDataFrame([(i, k, day(d)) for i, k, d in facts], "i int, id string, dt date")
-    ways = [J.lookup_asof_pass(facts, dim, {"id": "id"}, "dt", "sk", bucket_days=days) for days in (365, 7)]
+    ways = [J.lookup_asof(facts, dim, {"id": "id"}, "dt", "sk", bucket_days=days) for days in (365, 7)]
     many = [J.AsOf(dim, {"id": "id"}, "dt", "sk"), J.AsOf(dim, {"id": "id"}, "dt", "sk", out="sk2", default=None)]
     two = J.lookup_many(facts.distinct(), ["i"], many)
     assert two.filter("sk <> coalesce(sk2, '-1')").isEmpty() and two.count() == 10
-    for out in (*ways, J.lookup_asof(facts, dim, {"id": "id"}, "dt", "sk"), two.union(two.filter("i = 9")).drop("sk2")):
+    for out in (*ways, J.lookup_indexed(facts, dim, {"id": "id"}, "dt", "sk"), two.union(two.filter("i = 9")).drop("sk2")):
         out = as_rows(out, "i", "sk")
         assert out == sorted([(1, "a2"), (2, "a2"), (3, "a3"), (4, "n1"), (5, "n2"), (6, "-1"), (7, "-1"), (8, "-1"), (9, "-1"), (9, "-1"), (10, "-1")], key=repr)
 
@@ -178,8 +178,8 @@ def test_ways_of_dated_lookups_agree(spark, as_rows):
     facts = [(i, key(), rng.choice([0, 1, None]), day0 + dt.timedelta(rng.randrange(-5, 480))) for i in range(400)]
     facts = spark.createDataFrame(facts, "i int, k string, p long, dt date")
     on = {"k": "id", "p": "part"}
-    want = as_rows(J.lookup_asof_pass(facts, dim, on, "dt", "sk"), "i", "sk")
-    assert as_rows(J.lookup_asof(facts, dim, on, "dt", "sk"), "i", "sk") == want
+    want = as_rows(J.lookup_asof(facts, dim, on, "dt", "sk"), "i", "sk")
+    assert as_rows(J.lookup_indexed(facts, dim, on, "dt", "sk"), "i", "sk") == want
     assert as_rows(J.lookup_many(facts, ["i"], [J.AsOf(dim, on, "dt", "sk")]), "i", "sk") == want
     assert len({x for x in want if x[1] != "-1"}) > 150
 
@@ -187,7 +187,7 @@ def test_ways_of_dated_lookups_agree(spark, as_rows):
 def test_small_dimension_leaves_the_facts_unshuffled(spark, versions, tmp_path):
     spark.range(100).select(F.col("id").cast("string").alias("k"), F.current_date().alias("dt")).write.parquet(str(tmp_path / "f"))
     facts = spark.read.parquet(str(tmp_path / "f"))
-    out = J.lookup_asof(facts, versions, {"k": "k"}, "dt", "sk")
+    out = J.lookup_indexed(facts, versions, {"k": "k"}, "dt", "sk")
     out.collect()
     final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
@@ -203,7 +203,7 @@ def test_a_hot_key_of_a_large_dimension_is_split(spark, as_rows):
         key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
         facts = spark.range(0, 60_000, 1, 8).select("id", key.alias("k"), F.lit("2024-05-05").cast("date").alias("dt"))
         dim = spark.range(60_000).select(key.alias("k"), F.lit("2024-01-01").cast("date").alias("eff_dt"), F.lit("9999-12-31").cast("date").alias("disc_dt"), F.concat(F.lit("s"), "id").alias("sk"))
-        out = J.lookup_asof(facts, dim, {"k": "k"}, "dt", "sk")
+        out = J.lookup_indexed(facts, dim, {"k": "k"}, "dt", "sk")
         assert out.filter("sk = '-1'").count() == 0
         out.collect()
         assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
