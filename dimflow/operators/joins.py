@@ -36,11 +36,17 @@ def lookup_sk(
 ) -> DataFrame:
     """Left lookup of a surrogate key on one or several columns; one row per fact row.
 
-    A key that the dimension holds several times gives its largest surrogate key.
+    A key that the dimension holds several times gives its largest surrogate key. Facts
+    without a key find nothing; they are dealt out by their whole row, not to one task.
     """
     side = _prepare(dim, [*on.values(), sk], "d")
-    side = side.groupBy(*[f"__d_{d}" for d in dict.fromkeys(on.values())]).agg(F.max(f"__d_{sk}").alias(f"__d_{sk}"))
-    joined = fact.join(side, _equal(fact, side, on, "d"), "left")
+    names = [f"__d_{d}" for d in dict.fromkeys(on.values())]
+    # Always 0, but no constant to the optimizer, which would take it out of the join's keys.
+    side = side.groupBy(*names).agg(F.max(f"__d_{sk}").alias(f"__d_{sk}")).withColumn("__d_at", F.pmod(F.xxhash64(*names), F.lit(1)))
+    known = reduce(lambda a, b: a & b, [fact[f].isNotNull() for f in on])
+    whole = [fact[f.name] for f in fact.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    spread = F.when(known, F.lit(0)).otherwise(F.xxhash64(*whole))
+    joined = fact.join(side, _equal(fact, side, on, "d") & (spread == side["__d_at"]), "left")
     value = F.col(f"__d_{sk}")
     value = value if default is None else F.coalesce(value, F.lit(default))
     return joined.withColumn(out or sk, value).drop(*side.columns)

@@ -236,3 +236,25 @@ def test_lookup_of_a_repeated_key_keeps_one_row(spark, as_rows):
     facts = spark.createDataFrame([(1, "a"), (2, "b")], "i int, id string")
     dim = spark.createDataFrame([("a", "s1"), ("a", "s2")], "id string, sk string")
     assert as_rows(J.lookup_sk(facts, dim, {"id": "id"}, "sk"), "i", "sk") == [(1, "s2"), (2, "-1")]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins by shuffles, in four partitions that stay four."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"]
+    was = {n: spark.conf.get(n, None) for n in names}
+    for n, v in zip(names, ["-1", "-1", "false"]):
+        spark.conf.set(n, v)
+    yield
+    for n, v in was.items():
+        spark.conf.set(n, v) if v is not None else spark.conf.unset(n)
+
+
+def test_facts_without_a_key_are_dealt_over_tasks(spark, no_broadcast):
+    facts = spark.range(0, 4000, 1, 4).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    dim = spark.range(0, 4000, 20).select(F.col("id").alias("key"), F.concat(F.lit("s"), "id").alias("sk"))
+    out = J.lookup_sk(facts, dim, {"k": "key"}, "sk")
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 2000
+    assert out.columns == ["id", "k", "m", "sk"] and out.filter("sk <> '-1'").count() == 200
+    assert out.filter("sk <> '-1' and sk <> concat('s', id)").isEmpty()
