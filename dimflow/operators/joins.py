@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 from dimflow.functions.dates import open_end
 
@@ -141,8 +142,27 @@ def lookup_indexed(
     return joined.select(*[fact[c] for c in fact.columns if c != look.name], value.alias(look.name))
 
 
-def lookup_many(fact: DataFrame, ids: list[str], looks: list[AsOf]) -> DataFrame:
-    """Several dated lookups in one pass over narrow rows.
+#: Facts with so many columns besides those that lookups read, all of fixed size, are carried along by ``lookup_many``.
+CARRIED = 8
+
+
+def _is_light(fact: DataFrame, looks: list[AsOf]) -> bool:
+    read = {c for x in looks for c in [*x.on, x.date_col]}
+    rest = [f.dataType for f in fact.schema if f.name not in read]
+    return len(rest) <= CARRIED and all(isinstance(x, (NumericType, BooleanType, DatetimeType)) for x in rest)
+
+
+def _carried(fact: DataFrame, looks: list[AsOf]) -> DataFrame:
+    """The lookups of ``lookup_many`` one after the other, each row with the keys found so far."""
+    out = fact
+    for i, x in enumerate(looks):
+        out = lookup_indexed(out, x.dim, x.on, x.date_col, x.sk, eff=x.eff, disc=x.disc, out=f"__a{i}", default=x.default)
+    found = {x.name: F.col(f"__a{i}") for i, x in enumerate(looks)}
+    return out.select(*[c for c in fact.columns if c not in found], *[v.alias(n) for n, v in found.items()])
+
+
+def lookup_many(fact: DataFrame, ids: list[str], looks: list[AsOf], *, carry: bool | None = None) -> DataFrame:
+    """Several dated lookups in one pass over narrow rows, or over whole rows that are as narrow.
 
     Rows with the same ``ids``, which may be a key of the fact or all columns that the
     lookups read, must have the same keys and dates.
@@ -151,7 +171,13 @@ def lookup_many(fact: DataFrame, ids: list[str], looks: list[AsOf]) -> DataFrame
     questions meet the versions of all dimensions in one join on lookup and key; the
     answers come back in one row per fact row and one join. For wide facts and dimensions
     too large to broadcast: else every ``lookup_indexed`` would shuffle whole rows.
+
+    Of light facts (at most CARRIED other columns, all of fixed size) the row itself is no
+    wider than a question with its ids. They take their answers along from lookup to
+    lookup (``carry``), which spares the questions, their grouping and the join back.
     """
+    if carry or carry is None and _is_light(fact, looks):
+        return _carried(fact, looks)
 
     def key(i: int, cols: list[Column]) -> Column:
         return F.array(F.lit(str(i)), *[c.cast("string") for c in cols])

@@ -258,3 +258,22 @@ def test_facts_without_a_key_are_dealt_over_tasks(spark, no_broadcast):
     assert sum(sizes) == 4000 and max(sizes) < 2000
     assert out.columns == ["id", "k", "m", "sk"] and out.filter("sk <> '-1'").count() == 200
     assert out.filter("sk <> '-1' and sk <> concat('s', id)").isEmpty()
+
+
+@pytest.mark.parametrize("carry", [True, False, None])
+def test_lookup_many_carried_or_asked(spark, day, as_rows, carry):
+    dim = spark.createDataFrame([(1, day("2024-01-01"), day("2024-01-31"), "a1"), (1, day("2024-02-01"), day("9999-12-31"), "a2"), (2, day("2024-01-01"), day("9999-12-31"), "b")], "k int, eff_dt date, disc_dt date, sk string")
+    data = [(1, 1, 2, "2024-01-05"), (2, 1, 1, "2024-02-05"), (2, 1, 1, "2024-02-05"), (3, None, 2, "2024-02-05"), (4, 2, None, None), (5, 9, 1, "2023-01-01")]
+    facts = spark.createDataFrame([(n, p, q, day(x)) for n, p, q, x in data], "n int, p int, q int, dt date")
+    looks = [J.AsOf(dim, {"p": "k"}, "dt", "sk"), J.AsOf(dim, {"q": "k"}, "dt", "sk", out="p", default=None)]
+    got = J.lookup_many(facts, ["p", "q", "dt"], looks, carry=carry)
+    assert got.columns == ["n", "q", "dt", "sk", "p"]
+    assert as_rows(got, "n", "sk", "p") == sorted([(1, "a1", "b"), (2, "a2", "a2"), (2, "a2", "a2"), (3, "-1", "b"), (4, "-1", None), (5, "-1", None)], key=repr)
+
+
+def test_light_facts_ask_no_questions(spark, versions):
+    """Rows with few fixed columns besides keys and dates aren't joined back; texts are."""
+    facts = spark.sql("select 'a' as k, date'2024-01-02' as dt, 1L as n, 'x' as note")
+    looks = [J.AsOf(versions, {"k": "k"}, "dt", "sk")]
+    joins = [J.lookup_many(x, ["k", "dt"], looks)._jdf.queryExecution().optimizedPlan().toString().count("Join ") for x in (facts.drop("note"), facts)]
+    assert joins == [1, 2]
