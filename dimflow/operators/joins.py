@@ -394,9 +394,10 @@ def join_nullable(
 
     ``null_safe=True``: null equals null only. ``null_safe=False``: a null on
     either side fits anything in that column. The wildcard form is run as one
-    equi join: every row is repeated once per pattern of nulls that occurs on
-    the other side (at most 2^len(cols), usually a handful) and keyed by the
-    columns that are known on both sides, so unequal rows never meet.
+    equi join: the left side's distinct values and the right rows are repeated once
+    per pattern of nulls that occurs on the other side (at most 2^len(cols), usually
+    a handful) and keyed by the columns that are known on both sides, so unequal
+    rows never meet. Left rows, never repeated, then take the partners of their values.
     Columns of the two sides must have different names; ``cols`` are shared
     base names, ``l_<name>`` on the left and ``r_<name>`` on the right.
     """
@@ -414,13 +415,15 @@ def join_nullable(
 
     def repeated(df: DataFrame, prefix: str, own: str, other: str, masks: list[str]) -> DataFrame:
         options = F.array(*[F.lit(m) for m in masks]) if masks else F.array().cast("array<string>")
-        out = df.withColumn(other, F.explode_outer(options) if how == "left" and prefix == "l_" else F.explode(options))
+        out = df.withColumn(other, F.explode(options))
         for i, c in enumerate(cols, 1):
             both = (F.substring("__lm", i, 1) == "1") & (F.substring("__rm", i, 1) == "1")
             out = out.withColumn(f"__{prefix}{c}", F.when(both, F.col(prefix + c).cast("string")))
         return out.withColumnsRenamed({"__lm": f"__{prefix}lm", "__rm": f"__{prefix}rm"})
 
-    a = repeated(left, "l_", "__lm", "__rm", right_masks)
+    # Left rows with the same joined values have the same partners: those meet the right side once.
+    values = [*equal, *[f"l_{c}" for c in cols]]
+    a = repeated(left.select(*values, "__lm").distinct(), "l_", "__lm", "__rm", right_masks)
     b = repeated(right, "r_", "__rm", "__lm", left_masks)
     cond = (a["__l_lm"] == b["__r_lm"]) & (a["__l_rm"] == b["__r_rm"])
     for x, y in equal.items():
@@ -429,16 +432,9 @@ def join_nullable(
         cond = cond & a[f"__l_{c}"].eqNullSafe(b[f"__r_{c}"])
     right_cols = [c for c in right.columns if not c.startswith("__")]
     left_cols = [c for c in left.columns if not c.startswith("__")]
-    inner = a.join(b, cond, "inner").select(*left_cols, *right_cols)
-    if how == "inner":
-        return inner
-    # Rows without any partner: those whose values match no inner row.
-    key = F.struct(*left_cols)
-    lone = left.withColumn("__k", key).join(
-        inner.select(key.alias("__m")).distinct(), F.col("__k").eqNullSafe(F.col("__m")), "left_anti"
-    )
-    empty = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_cols]
-    return inner.unionByName(lone.select(*left_cols, *empty))
+    met = a.join(b, cond, "inner").select(*[F.col(c).alias(f"__m_{c}") for c in values], *right_cols)
+    same = reduce(lambda x, y: x & y, [left[c].eqNullSafe(met[f"__m_{c}"]) for c in values])
+    return left.join(met, same, how).select(*left_cols, *right_cols)
 
 
 def intersect_intervals(

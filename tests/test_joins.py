@@ -277,3 +277,25 @@ def test_light_facts_ask_no_questions(spark, versions):
     looks = [J.AsOf(versions, {"k": "k"}, "dt", "sk")]
     joins = [J.lookup_many(x, ["k", "dt"], looks)._jdf.queryExecution().optimizedPlan().toString().count("Join ") for x in (facts.drop("note"), facts)]
     assert joins == [1, 2]
+
+
+def test_wildcard_join_repeats_no_left_row(spark, as_rows):
+    """Only distinct values are repeated for each pattern of nulls; rows meet their partners once."""
+    rng = random.Random(7)
+    pick = lambda: rng.choice(["x", "y", None])
+    ls = [(i, pick(), pick(), rng.choice([1, 2, None])) for i in range(120)] + [(0, "x", None, 1)] * 2
+    rs = [(pick(), pick(), rng.choice([1, 3, None]), i % 9) for i in range(25)]
+    left = spark.createDataFrame(ls, "i int, l_a string, l_b string, s int")
+    right = spark.createDataFrame(rs, "r_a string, r_b string, t int, n int")
+    fits = lambda x, y: x is None or y is None or x == y
+    inner = [(*a, *b) for a in ls for b in rs if a[3] is not None and a[3] == b[2] and fits(a[1], b[0]) and fits(a[2], b[1])]
+    outer = inner + [(*a, None, None, None, None) for a in ls if a not in [x[:4] for x in inner]]
+    for how, want in (("inner", inner), ("left", outer)):
+        out = J.join_nullable(left, right, ["a", "b"], {"s": "t"}, null_safe=False, how=how)
+        assert as_rows(out) == sorted(want, key=repr)
+        plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        for at, line in enumerate(plan):  # what is repeated on the left was made distinct before
+            if "Generate explode" in line and "__rm" in line:
+                assert "Aggregate" in plan[at + 1], plan[at + 1]
+    empty = J.join_nullable(left, right.limit(0), ["a", "b"], {"s": "t"}, null_safe=False)
+    assert empty.count() == len(ls)
