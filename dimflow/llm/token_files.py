@@ -42,9 +42,11 @@ SHARD_IDS = 1 << 22
 #: Units that a worker remembers the ids of, in some 40 bytes each.
 UNITS = 1_500_000
 #: Texts of about so many bytes are encoded at once.
-SLICE_BYTES = 1 << 23
+SLICE_BYTES = 1 << 22
 #: Units whose ids are put together at once.
 PIECE = 1 << 15
+#: New units that the library is given at once.
+LEARNT = 1 << 12
 #: White space in any of the definitions that the libraries use.
 _WHITE = r"\s\v\x1c-\x1f\x{85}\x{180e}\x{feff}\p{Z}"
 UNSAFE_SPACE = rf"[{_WHITE}] | [{_WHITE}]"
@@ -58,6 +60,8 @@ CUT = "\x01"
 #: How the vocabulary writes the bytes that are no printable characters, but for the CUT: by numbers from 256 on.
 _HIDDEN = [b for b in range(256) if not (0x21 <= b < 0x7F or 0xA1 <= b < 0xAD or 0xAE <= b)]
 WRITTEN = {b: chr(256 + k) for k, b in enumerate(_HIDDEN) if chr(b) != CUT}
+#: The same as an array of UTF-16 units, by byte.
+WRITING = np.array([ord(WRITTEN.get(b, chr(b))) for b in range(256)], "<u2")
 SPACE = WRITTEN[0x20]
 #: Tells the hashes of units without a space in front from the others.
 BARE = 0x5DEECE66D
@@ -99,19 +103,22 @@ class Encoder:
         plain, alone = np.flatnonzero(simple), np.flatnonzero(~simple)
         lengths = np.zeros(len(units), np.int64)
         parts = []
-        if len(plain):
-            cut = pc.replace_substring_regex(units.take(plain), BETWEEN_LETTERS, f"{CUT}\\1{CUT}")
-            said = " " + f"{CUT} ".join(pc.ascii_ltrim(cut, CUT).to_pylist())
+        # Few at a time, since the library takes many bytes for each byte of a text.
+        for a in range(0, len(plain), LEARNT):
+            few = plain[a : a + LEARNT]
+            cut = pc.replace_substring_regex(units.take(few), BETWEEN_LETTERS, f"{CUT}\\1{CUT}")
+            said = " " + f"{CUT} ".join(_strings(pc.ascii_ltrim(cut, CUT)))
             # Each byte as the character that the vocabulary writes for it.
-            written = said.encode().decode("latin-1").translate(WRITTEN)
+            written = WRITING[np.frombuffer(said.encode(), np.uint8)].tobytes().decode("utf-16-le")
             (got,) = self.parts.encode_batch_fast([written], add_special_tokens=False)
             parts.append(np.array(got.ids, self.kind))
-            at = np.flatnonzero(self.after_space[parts[0]])
-            lengths[plain] = np.diff(np.append(at, len(parts[0])))
-        if len(alone):
-            each = self.bpe.encode_batch_fast([" " * spaced + x for x in units.take(alone).to_pylist()], add_special_tokens=False)
+            at = np.flatnonzero(self.after_space[parts[-1]])
+            lengths[few] = np.diff(np.append(at, len(parts[-1])))
+        for a in range(0, len(alone), LEARNT):
+            few = alone[a : a + LEARNT]
+            each = self.bpe.encode_batch_fast([" " * spaced + x for x in _strings(units.take(few))], add_special_tokens=False)
             each = [np.array(x.ids, self.kind) for x in each]
-            lengths[alone] = [len(x) for x in each]
+            lengths[few] = [len(x) for x in each]
             parts += each
         order = np.concatenate((plain, alone))
         ends = np.empty(len(units), np.int64)
@@ -134,7 +141,7 @@ class Encoder:
 
     def _find(self, units: pa.Array, spaced: bool) -> np.ndarray:
         """Slots of units, all different."""
-        names, salt = units.to_pylist(), "s" if spaced else "b"
+        names, salt = _strings(units), "s" if spaced else "b"
         first = np.fromiter(map(hash, names), np.int64, len(units)) ^ (0 if spaced else BARE)
         second = np.fromiter([hash(x + salt) for x in names], np.int64, len(units))
         order = np.argsort(first)  # a sorted search stays in the caches
@@ -200,6 +207,11 @@ class Encoder:
         return ids, total[at]
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    """Much faster than ``to_pylist``."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """All whole numbers of the ranges, one range after the other."""
     lengths = ends - starts

@@ -46,6 +46,27 @@ def test_forgotten_units_are_learnt_again(bpe, monkeypatch):
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [whole(bpe, x) for x in texts]
 
 
+class Noted:
+    """A tokenizer that notes how many characters it is given at once."""
+
+    def __init__(self, inner, most):
+        self.inner, self.most = inner, most
+
+    def encode_batch_fast(self, texts, **how):
+        self.most.append(sum(map(len, texts)))
+        return self.inner.encode_batch_fast(texts, **how)
+
+
+def test_new_units_are_given_to_the_library_few_at_a_time(bpe):
+    """Its memory is many times what it is given."""
+    texts = [" ".join(f"{kind}{k:07d}" for k in range(30_000)) for kind in ("w", "\u6f22")]  # of both ways to learn a unit
+    encoder, most = token_files.Encoder(VOCABULARY), []
+    encoder.parts, encoder.bpe = Noted(encoder.parts, most), Noted(encoder.bpe, most)
+    ids, at = encoder.encode(pa.array(texts, pa.large_string()))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [whole(bpe, x) for x in texts]
+    assert sum(most) > 500_000 and max(most) < 100_000
+
+
 @pytest.mark.parametrize("ids", [[], [7], [5] * 300, list(range(200)) * 3, [70000, 3, 70000, 9], None])
 def test_file_lookups(tmp_path, ids):
     rng = np.random.default_rng(3)
