@@ -27,6 +27,7 @@ from pyspark.sql.types import (
 )
 
 from dimflow.functions.dates import day_before, open_end
+from dimflow.functions.keys import packed, unpacked
 
 
 class DuplicateKeyError(ValueError):
@@ -34,6 +35,11 @@ class DuplicateKeyError(ValueError):
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> None:
+    """Texts are counted by a hash first, which is shuffled in their place; only a repeated hash has the keys compared."""
+    if keys and all(df.schema[k].dataType == StringType() for k in keys):
+        hashes = df.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+        if hashes.filter("n > 1").isEmpty():
+            return
     dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(5).collect()
     if dup:
         raise DuplicateKeyError(f"merge source repeats keys {[tuple(r)[:-1] for r in dup]}")
@@ -105,11 +111,13 @@ def merge_upsert(
     update_cols: list[str] | None = None,
     no_update_cols: tuple[str, ...] = (),
     check: bool = True,
+    hashes: tuple[str, ...] = (),
 ) -> DataFrame:
     """Type-1 merge: matched rows updated, other source rows inserted.
 
     All columns are updated, or only ``update_cols``, or all but
-    ``no_update_cols``. Without keys everything is inserted.
+    ``no_update_cols``. Without keys everything is inserted. Text columns named in
+    ``hashes`` hold hex digits mostly; if all columns are updated, they are shuffled packed.
     """
     target, source = align_schema(target, source)
     if not keys:
@@ -118,6 +126,14 @@ def merge_upsert(
         require_unique(source, keys)
     updated = [c for c in update_cols or target.columns if c not in no_update_cols and c not in keys]
     kept = [c for c in target.columns if c not in updated and c not in keys]
+    short = [c for c in hashes if target.schema[c].dataType == StringType()]
+    if not kept and short:
+        # No anti join, which the optimizer would run before the columns are packed.
+        old = target.withColumns({c: packed(c) for c in short})
+        side = source.select([(packed(k) if k in short else F.col(k)).alias(f"__s_{k}") for k in keys]).withColumn("__hit", F.lit(True))
+        cond = reduce(lambda a, b: a & b, [old[k] == side[f"__s_{k}"] for k in keys])
+        rest = old.join(side, cond, "left").filter(F.col("__hit").isNull())
+        return rest.select([(unpacked(c) if c in short else F.col(c)).alias(c) for c in target.columns]).unionByName(source)
     if not kept:
         return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
     side = source.select([F.col(c).alias(f"__s_{c}") for c in [*keys, *updated]]).withColumn("__hit", F.lit(True))

@@ -7,8 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StringType
 
-from dimflow.functions.keys import surrogate_key
+from dimflow.functions.keys import packed, surrogate_key, unpacked
 from dimflow.functions.text import POSITION_IDS, REQUISITION_IDS, distinct_ids, single_or_null
 from dimflow.operators.joins import AsOf, lookup_indexed, lookup_many, lookup_sk, lookup_sk_multi
 from dimflow.operators.merge import merge_upsert
@@ -70,20 +71,51 @@ class FactSpec:
     narrow: bool = False
 
 
+def _remade(rows: DataFrame, spec: FactSpec) -> bool:
+    """Whether the key can be made again from whole numbers that come out of the lookups as they went in."""
+    whole = {f.name for f in rows.schema if isinstance(f.dataType, ByteType | ShortType | IntegerType | LongType)}
+    read = {c for lk in spec.lookups for c in [*lk.on, lk.date_col]}
+    found = {lk.name for lk in spec.lookups}
+    plain = spec.columns is not None and not spec.narrow and whole.issuperset(spec.pk_cols)
+    return plain and spec.pk not in {*read, *found, *spec.pk_cols} and found.isdisjoint(spec.pk_cols)
+
+
 def resolve(rows: DataFrame, spec: FactSpec) -> DataFrame:
     """Latest row per key, then every lookup.
 
     Duplicates go first: no lookup is paid for a row that is dropped later, and no
     lookup repeats a row, so the key stays unique.
+
+    A hash key is wider than the columns it is made of. Where these are whole numbers, it
+    is made anew after the lookups instead of being shuffled by them, and rows that don't
+    lie by it yet are told apart by its columns (up to two, of which every pair has a text
+    of its own). Keys that a lookup has found go through the next ones packed.
     """
-    ties = [F.col(c) for c in rows.columns if rows.schema[c].dataType.typeName() not in ("map", "variant")]
-    out = latest_per_key(rows, [spec.pk], [*(spec.order or [F.col(spec.event_col).desc()]), *ties])
+    late = _remade(rows, spec)
+    keys = spec.pk_cols if late and len(spec.pk_cols) <= 2 and spec.pk not in rows.columns else [spec.pk]
+    ties = [F.col(c) for c in rows.columns if c != spec.pk and rows.schema[c].dataType.typeName() not in ("map", "variant")]
+    if spec.pk not in rows.columns:
+        rows = rows.withColumn(spec.pk, surrogate_key(*spec.pk_cols))
+    out = latest_per_key(rows, keys, [*(spec.order or [F.col(spec.event_col).desc()]), *ties])
     dated = [lk for lk in spec.lookups if spec.narrow and lk.date_col is not None]
     if dated:
         looks = [AsOf(lk.dim, lk.on, lk.date_col, lk.sk, lk.name, lk.eff, lk.disc) for lk in dated]
         out = lookup_many(stage_table(out, spec.pk), [spec.pk], looks)
-    for look in spec.lookups:
-        out = out if look in dated else look.apply(out)
+    left = [lk for lk in spec.lookups if lk not in dated]
+    short: list[str] = []
+    for i, look in enumerate(left):
+        if late:
+            read = {c for lk in left[i:] for c in [*lk.on, lk.date_col]}
+            wanted = {*read, *spec.pk_cols, *spec.columns, *[lk.name for lk in left]}
+            out = out.select([c for c in out.columns if c in wanted and c != spec.pk])
+        out = look.apply(out)
+        rest = {c for lk in left[i + 1 :] for c in [*lk.on, lk.date_col, lk.name]}
+        if late and rest and look.name not in rest and out.schema[look.name].dataType == StringType():
+            out = out.withColumn(look.name, packed(look.name))
+            short.append(look.name)
+    if late:
+        names = [c for c in out.columns if c != spec.pk]
+        out = out.select(surrogate_key(*spec.pk_cols).alias(spec.pk), *[(unpacked(c) if c in short else F.col(c)).alias(c) for c in names])
     if spec.columns is not None:
         out = out.select(spec.pk, *[lk.name for lk in spec.lookups], *spec.columns)
     return stamp(out, spec.rec_src, spec.now) if spec.rec_src is not None else out
@@ -96,13 +128,16 @@ def build_fact(
 
     ``merged=False`` returns only the rows this run would write.
     """
-    keyed = stage.withColumn(spec.pk, surrogate_key(*spec.pk_cols))
+    rows = stage
+    if spec.pk in stage.columns or not _remade(stage, spec):
+        rows = stage.withColumn(spec.pk, surrogate_key(*spec.pk_cols))
     retried = [lk.name for lk in spec.lookups if lk.retry]
-    rows = incremental_facts(keyed, target, spec.pk, spec.event_col, retried) if retried else keyed
+    rows = incremental_facts(rows, target, spec.pk, spec.event_col, retried, pk_cols=spec.pk_cols) if retried else rows
     out = resolve(rows, spec)
     if target is None or not merged:
         return out
-    return merge_upsert(target, stage_table(out, spec.pk), [spec.pk])
+    made = tuple({c: None for c in [spec.pk, *[lk.name for lk in spec.lookups]] if c in target.columns})
+    return merge_upsert(target, stage_table(out, spec.pk, compression="zstd"), [spec.pk], hashes=made)
 
 
 def requisition_ids(stage: DataFrame, text_cols: list[str]) -> DataFrame:

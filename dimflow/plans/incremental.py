@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimflow.functions.keys import surrogate_key
 from dimflow.operators.joins import UNKNOWN
 from dimflow.sources.sinks import path_exists, write_full
 
@@ -39,10 +40,13 @@ def incremental_facts(
     sk_cols: list[str],
     *,
     target_event_col: str | None = None,
+    pk_cols: list[str] | None = None,
 ) -> DataFrame:
     """Stage rows to load: new events, and every row whose fact still lacks a key.
 
-    ``stage`` must carry the fact's primary key under the name ``pk``. One small
+    ``stage`` must carry the fact's primary key under the name ``pk``, or else have the
+    columns ``pk_cols`` that it is the surrogate key of: then it isn't shuffled, and rows
+    have it only if they met the unresolved keys, by which they lie. One small
     job reads the mark and the oldest unresolved date; the older of the two is
     pushed to the scan, which is read once. The list of unresolved keys joins
     as a flag, so no union and no distinct is needed.
@@ -64,7 +68,12 @@ def incremental_facts(
     rows = stage
     if not undated:
         rows = rows.filter(F.col(event_col) >= F.lit(min(mark, oldest)).cast(kind))
-    return rows.join(retry, pk, "left").filter(new | F.col("__retry")).drop("__retry")
+    if pk in stage.columns or not pk_cols:
+        return rows.join(retry, pk, "left").filter(new | F.col("__retry")).drop("__retry")
+    own = surrogate_key(*pk_cols)
+    retry = retry.withColumnRenamed(pk, "__open")
+    met = rows.join(retry, own == F.col("__open"), "left")
+    return met.filter(new | F.col("__retry")).drop("__open", "__retry").withColumn(pk, own)
 
 
 def new_entities(stage: DataFrame, target: DataFrame, keys: dict[str, str]) -> DataFrame:

@@ -270,7 +270,7 @@ def _(t):
     # First run: shipments up to a day, versions of one priority still unknown.
     early = t.shipments().filter(F.col("ship_dt") < F.lit("1999-01-01").cast("date"))
     first = facts.build_fact(early, shipment_spec(t, F.col("o_orderpriority") != "2-HIGH"))
-    return facts.build_fact(t.shipments(), shipment_spec(t), target=stored(t, first, "fact"))
+    return facts.build_fact(t.shipments(), shipment_spec(t), target=stored(t, first, "fact", compression="zstd"))
 
 
 @query(

@@ -17,10 +17,10 @@ NEW = latest_orders_sql("o_orderdate >= DATE '1998-01-01'")
 SPLIT = "1998-01-01"
 
 
-def stored(t, df, name):
+def stored(t, df, name, **options):
     """A merge target is a stored table; store it as an earlier run would have."""
     path = t.scratch(name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return t.spark.read.parquet(path)
 
 

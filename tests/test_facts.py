@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +101,55 @@ def test_run_mode(spark, tmp_path):
     assert run_mode(spark, path) == "incremental"
     assert run_mode(spark, path, True) == "full"
     assert run_mode(spark, path, True, protect=True) == "incremental"
+
+
+def numbered(spark, day):
+    """Events of two whole numbers, repeated, null and negative ones too, with two lookups and an order that names the key."""
+    rows = [(k, j, f"c{k or 0}", "p1" if j == 2 else "p9", day(f"2024-01-{1 + (k or 0) % 9:02d}"), float(n))
+            for n, (k, j) in enumerate([(1, 2), (1, -2), (-1, 2), (None, 2), (1, None), (None, None), (12, 3), (1, 23), (5, 2), (5, 2)])]
+    stage = spark.createDataFrame(rows, "a long, b int, emp string, part string, done date, v double")
+    days = [(f"c{k}", day("2024-01-01"), day("9999-12-31"), sk) for k, sk in [(1, "d3" * 16), (5, "a1"), (0, "0123456789abcde"), (12, "AB" * 16)]]
+    emps = spark.createDataFrame(days, "emp string, eff_dt date, disc_dt date, emp_sk string")
+    parts = spark.createDataFrame([("p1", "0f" * 16)], "part string, part_sk string")
+
+    def make(stage, emps):
+        return facts.FactSpec(
+            pk="pk", pk_cols=["a", "b"], event_col="done", order=[F.desc("done"), F.desc("v"), F.asc("pk")], columns=["a", "b", "done", "v"],
+            lookups=[facts.Lookup(emps, {"emp": "emp"}, "emp_sk", date_col="done"), facts.Lookup(parts, {"part": "part"}, "part_sk")],
+        )
+
+    return stage, emps, make
+
+
+def test_whole_number_keys_give_the_facts_of_text_keys(spark, day, as_rows, tmp_path):
+    stage, emps, make = numbered(spark, day)
+    text = stage.withColumn("a", F.col("a").cast("string"))
+    got = {}
+    for name, rows in (("whole", stage), ("text", text)):
+        facts.build_fact(rows.filter("done < '2024-01-09'"), make(rows, emps.filter("emp <> 'c1'"))).write.parquet(str(tmp_path / name))
+        out = facts.build_fact(rows, make(rows, emps), target=spark.read.parquet(str(tmp_path / name)))
+        got[name] = as_rows(out.withColumn("a", F.col("a").cast("string")))
+        assert out.columns == ["pk", "emp_sk", "part_sk", "a", "b", "done", "v"]
+    assert got["whole"] == got["text"] and len(got["whole"]) == 9
+    assert {r[1] for r in got["whole"]} == {"d3" * 16, "a1", "0123456789abcde", "AB" * 16, "-1"}
+
+
+def test_hash_key_is_not_shuffled(spark, day, tmp_path, monkeypatch):
+    """Neither runs nor their lookups move the text of the key they can make again; none sorts rows anew that lie by a part of it."""
+    stage, emps, make = numbered(spark, day)
+    kept, plans = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    store = facts.stage_table
+    monkeypatch.setattr(facts, "stage_table", lambda df, *a, **k: plans.append(df._jdf.queryExecution().executedPlan().toString()) or store(df, *a, **k))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        owners = stage.select(F.col("a").alias("o")).distinct()
+        joined = stage.join(owners, F.col("a") == F.col("o")).drop("o")
+        first = facts.build_fact(joined, make(joined, emps.filter("emp <> 'c1'")))
+        plans.append(first._jdf.queryExecution().executedPlan().toString())
+        first.write.parquet(str(tmp_path / "f"))
+        facts.build_fact(joined, make(joined, emps), target=spark.read.parquet(str(tmp_path / "f"))).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    # The target's list of open keys alone lies by the key itself, and nothing by both columns.
+    assert [p.count("hashpartitioning(pk#") for p in plans] == [0, 1]
+    assert not any(re.search(r"hashpartitioning\(a#\d+L?, b#", p) for p in plans)

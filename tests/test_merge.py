@@ -149,3 +149,32 @@ def test_run_status(spark, tmp_path):
     S.set_run_status(spark, path, "r2", "FAILED")
     got = {r["run_key"]: r["status"] for r in S.read_audit(spark, path).collect()}
     assert got["r2"] == "FAILED" and got["r9"] == "RUNNING"
+
+
+def test_packed_keys_come_back(spark):
+    from dimflow.functions.keys import packed, unpacked
+
+    texts = [None, "", "-1", "é", "0f" * 16, "0F" * 16, "0f" * 8, "0f" * 15, "0f" * 17, *["x" * n for n in range(12, 20)], *["\x00" * n for n in range(12, 20)], "\x01\x00" + "y" * 13, "g" * 32]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", packed("t").alias("p"))
+    got = rows.select("t", "p", unpacked("p").alias("u")).collect()
+    assert [r["u"] for r in got] == texts
+    assert len({bytes(r["p"]) for r in got if r["t"] is not None}) == len(set(texts)) - 1
+    assert [len(r["p"]) for r in got if r["t"] == "0f" * 16] == [16]
+
+
+def test_upsert_of_hash_columns(spark, as_rows):
+    h = ["%032x" % (k * 7**30) for k in range(6)]
+    target = spark.createDataFrame([(h[0], "a1", 1), (h[1], None, 2), ("-1", h[1], 3), (None, "-1", 4), (h[2].upper(), h[3], 5)], "k string, sk string, v int")
+    source = spark.createDataFrame([(h[1], h[4], 20), ("-1", "x", 30), (h[2], None, 50), (None, h[5], 60)], "k string, sk string, v int")
+    plain, short = M.merge_upsert(target, source, ["k"]), M.merge_upsert(target, source, ["k"], hashes=("k", "sk", "v"))
+    assert short.columns == plain.columns and as_rows(short) == as_rows(plain)
+    assert len(as_rows(short)) == 7
+
+
+def test_repeated_text_keys_are_refused(spark):
+    rows = [("a", None), (None, "a"), ("b", "c")]  # the first two have one hash
+    df = spark.createDataFrame(rows, "k string, l string")
+    M.merge_upsert(df, df, ["k", "l"])
+    for more in rows:
+        with pytest.raises(M.DuplicateKeyError):
+            M.merge_upsert(df, df.union(spark.createDataFrame([more], df.schema)), ["k", "l"])
